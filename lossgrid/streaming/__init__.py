@@ -1,0 +1 @@
+"""Intentionally empty: every job of this engine is batch, so there is no streaming operator to offer."""
