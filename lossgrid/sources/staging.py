@@ -95,6 +95,36 @@ STATEMENTS = {
         SELECT event_id, concat('m', CAST(event_id % 3 AS STRING)) AS model_name, user_id % 10 AS segment,
                CAST(event_id % 12 AS INT) AS lag, ts, value AS prediction, event_type <> 'error' AS is_inference
         FROM {events}""",
+    "reserving_payload": """
+        SELECT concat('ibnr_', experiment, '_', target) AS model_name, concat('PRED | ', experiment) AS experiment_without_target,
+               concat('PRED | ', experiment, '_', target) AS full_experiment, target,
+               concat_ws('_', PolicySubType, icd) AS segment, concat_ws('_', PolicySubType, icd, CAST(lag AS STRING)) AS segment_key,
+               PolicySubType, icd AS MajorICDGroupingDescription, treatment_date, lag,
+               cumulative_amount_paid, cumulative_nb_claim_paid, cumulative_nb_invoice_paid,
+               CASE target WHEN 'ultimate_amount_paid' THEN cumulative_amount_paid WHEN 'ultimate_nb_claim_paid' THEN cumulative_nb_claim_paid
+                    ELSE cumulative_nb_invoice_paid END * (1 + CAST(lag AS DOUBLE) / 8) AS prediction,
+               CASE run WHEN 0 THEN TIMESTAMP '2001-08-10 01:30:00' WHEN 1 THEN TIMESTAMP '2001-08-10 06:00:00' ELSE TIMESTAMP '2001-08-10 09:45:00' END AS ts,
+               lag <> 11 AS is_inference, TRUE AS ibnr_standalone, experiment = 'e0' AS ibnr_inflation
+        FROM (SELECT CASE (o_custkey % 97) % 5 WHEN 0 THEN 'Employee (LC)' WHEN 1 THEN 'Employee (SME)' WHEN 2 THEN 'Individual' WHEN 3 THEN 'Trust' ELSE 'Other' END AS PolicySubType,
+                     p_type AS icd, CAST(date_trunc('month', o_orderdate) AS DATE) AS treatment_date,
+                     (2001 - year(o_orderdate)) * 12 + 7 - month(o_orderdate) AS lag,
+                     concat('e', CAST(l_suppkey % 2 AS STRING)) AS experiment,
+                     CASE l_linenumber % 3 WHEN 0 THEN 'ultimate_amount_paid' WHEN 1 THEN 'ultimate_nb_claim_paid' ELSE 'ultimate_nb_invoice_paid' END AS target,
+                     l_partkey % 3 AS run, sum(l_extendedprice) AS cumulative_amount_paid,
+                     count(DISTINCT l_orderkey) AS cumulative_nb_claim_paid, count(*) AS cumulative_nb_invoice_paid
+              FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
+              WHERE o_orderdate >= DATE '2000-08-01' AND o_orderdate < DATE '2001-08-01'
+              GROUP BY 1, 2, 3, 4, 5, 6, 7) x""",
+    "forecast_payload": """
+        SELECT concat('inflation_', target, '_', scenario) AS model_name, target, scenario AS origin, cluster_id, year_month_date,
+               value AS prediction, value - 1 AS prediction_lower, value * 2 AS prediction_upper,
+               event_type <> 'error' AS is_inference, CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS ts, event_id
+        FROM (SELECT CASE event_id % 4 WHEN 0 THEN 'burning_cost' WHEN 1 THEN ' Frequency claims ' WHEN 2 THEN 'severity_claim' ELSE 'other' END AS target,
+                     CASE WHEN user_id % 3 = 0 THEN 'high' ELSE 'base' END AS scenario,
+                     CASE user_id % 6 WHEN 0 THEN 'sub:Trust' WHEN 1 THEN 'sub:Individual' WHEN 2 THEN 'employees' WHEN 3 THEN 'sub:Other' WHEN 4 THEN 'sub:Employee (LC)' ELSE 'unknown' END AS cluster_id,
+                     CASE WHEN event_id % 13 = 0 THEN NULL ELSE CASE user_id % 4 WHEN 0 THEN DATE '2001-03-01' WHEN 1 THEN DATE '2001-04-01' WHEN 2 THEN DATE '2001-05-01' ELSE DATE '2001-06-01' END END AS year_month_date,
+                     event_id, event_type, ts, value
+              FROM {events}) e""",
     "scores": """
         SELECT l.doc_id, l.quality AS label, CAST(d.n_chars % 1000 AS DOUBLE) / 1000 AS score
         FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id""",

@@ -1,8 +1,6 @@
 """All registered queries."""
 
-from lossgrid.workload import claims
-from lossgrid.workload.steps import STEPS
+from lossgrid.workload import claims, portfolio, predictions, steps
 
-QUERIES = {**claims.QUERIES}
-
-__all__ = ["QUERIES", "STEPS"]
+STEPS = {**steps.STEPS, **portfolio.STEPS, **predictions.STEPS}
+QUERIES = {**claims.QUERIES, **portfolio.QUERIES, **predictions.QUERIES}
