@@ -69,3 +69,10 @@ def month_calendar(spark: SparkSession, begin: date, end: date) -> DataFrame:
     """One row per month of the closed range."""
     months = F.sequence(F.lit(begin), F.lit(end), F.expr("interval 1 month"))
     return spark.range(1).select(F.explode(months).alias("month"))
+
+
+def month_span(df: DataFrame, column: str) -> DataFrame:
+    """One row per month from the first to the last date of a column."""
+    span = df.agg(F.min(F.to_date(column)).alias("a"), F.max(F.to_date(column)).alias("b"))
+    months = F.sequence(F.trunc("a", "MM"), F.trunc("b", "MM"), F.expr("interval 1 month"))
+    return span.select(F.explode(months).alias("month"))

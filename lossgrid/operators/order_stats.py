@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from lossgrid.functions.columns import same_key
 
@@ -19,7 +19,12 @@ DEFAULT_BUCKETS = 64
 
 def _cut_position(df: DataFrame, value: str) -> Column:
     """Number that never decreases with the value: strings are represented by their first seven bytes."""
-    if isinstance(df.schema[value].dataType, StringType):
+    kind = df.schema[value].dataType
+    if isinstance(kind, DateType):
+        return F.datediff(F.col(value), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.col(value).cast("timestamp").cast("double")
+    if isinstance(kind, StringType):
         head = F.hex(F.substring(F.encode(F.col(value), "UTF-8"), 1, 7))
         return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
     return F.col(value).cast("double")
@@ -76,6 +81,18 @@ def running_totals(
     )
 
 
+def _ranked_features(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """Rows (by, feature, x, n, n_before, n_all) of the finite values of all columns."""
+    long = df.select(
+        *by,
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])
+        ).alias("cell"),
+    ).select(*by, "cell.feature", "cell.x")
+    finite = long.where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf")))
+    return running_totals(finite, "x", {"n": F.count("*")}, by + ["feature"])
+
+
 def exact_percentiles(
     df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
 ) -> DataFrame:
@@ -84,14 +101,7 @@ def exact_percentiles(
     All columns are ranked in one pass. NULL and non-finite values are left out.
     """
     by = list(by or [])
-    long = df.select(
-        *by,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])
-        ).alias("cell"),
-    ).select(*by, "cell.feature", "cell.x")
-    finite = long.where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf")))
-    ranked = running_totals(finite, "x", {"n": F.count("*")}, by + ["feature"])
+    ranked = _ranked_features(df, columns, by)
 
     def at(index: Column) -> Column:
         return F.max(F.when((F.col("n_before") <= index) & (index < F.col("n_before") + F.col("n")), F.col("x")))
@@ -123,3 +133,38 @@ def values_at_ranks(df: DataFrame, value: str, ranks: list[int], by: list[str] |
         lambda r: (r >= F.col("n_before")) & (r < F.col("n_before") + F.col("n")),
     )
     return ranked.select(*by, value, F.explode(wanted).alias("rank"))
+
+
+def even_knots(df: DataFrame, columns: list[str], knots: int) -> DataFrame:
+    """Rows (feature, knot, value): ``knots`` evenly spaced exact percentiles of every column.
+
+    Each value works out by integer division which knots fall on it, so the cost does not grow with the knots.
+    """
+    steps = max(knots - 1, 1)
+    ranked = _ranked_features(df, columns, [])
+    last = F.greatest(F.col("n_all") - 1, F.lit(1))
+    first_rank, end_rank = F.col("n_before"), F.col("n_before") + F.col("n")
+
+    def knots_up_to(rank: Column) -> Column:
+        """Number of knots k in 0..steps whose position k * last / steps is below ``rank``."""
+        below = F.when(rank <= 0, 0).otherwise(F.floor((rank * steps - 1) / last) + 1)
+        return F.least(below.cast("bigint"), F.lit(steps + 1))
+
+    def knots_at_most(rank: Column) -> Column:
+        at_most = F.when(rank < 0, 0).otherwise(F.floor(rank * steps / last) + 1)
+        return F.least(at_most.cast("bigint"), F.lit(steps + 1))
+
+    def spread(side: str, start: Column, end: Column) -> Column:
+        numbers = F.when(end > start, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(numbers, lambda k: F.struct(k.alias("knot"), F.lit(side).alias("side")))
+
+    low = spread("low", knots_up_to(first_rank), knots_up_to(end_rank))
+    high = spread("high", knots_at_most(first_rank - 1), knots_at_most(end_rank - 1))
+    placed = ranked.select("feature", "x", "n_all", F.explode(F.concat(low, high)).alias("k")).select("feature", "x", "n_all", "k.*")
+    bounds = placed.groupBy("feature", "knot").agg(
+        F.max("n_all").alias("n_all"),
+        F.max(F.when(F.col("side") == "low", F.col("x"))).alias("low"),
+        F.max(F.when(F.col("side") == "high", F.col("x"))).alias("high"),
+    )
+    position = F.col("knot") * (F.col("n_all") - 1) / steps
+    return bounds.select("feature", "knot", (F.col("low") + (F.col("high") - F.col("low")) * (position - F.floor(position))).alias("value"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,7 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df):
-    """Materialise a frame in the shared folder, so a lost executor never replays the jobs before it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder once and read it back.
+
+    Used where a result feeds several branches or rounds: the work before it runs once, a lost executor does
+    not replay it, and the columnar copy keeps column pruning and real sizes for the joins after it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/lossgrid/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

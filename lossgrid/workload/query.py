@@ -8,7 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Halves such as 0.00005 are moved off the rounding border, so sums taken in another order round alike.
+# Halves such as 0.00005 are moved off the rounding border, so sums taken in another order round alike;
+# adding 0.0 turns a negative zero into zero.
 NUDGE = 1e-7
 DIGITS = 4
 
@@ -40,7 +41,7 @@ def _spark_cell(df: DataFrame, name: str, kind: str):
     if kind == "i":
         return column.cast("bigint")
     if kind == "d":
-        return F.round(column.cast("double") + NUDGE, DIGITS)
+        return F.round(column.cast("double") + NUDGE, DIGITS) + F.lit(0.0)
     if kind == "t":
         return F.date_format(column, "yyyy-MM-dd")
     if kind == "ts":
@@ -54,7 +55,7 @@ def _sql_cell(name: str, kind: str) -> str:
     if kind == "i":
         return f"CAST({name} AS BIGINT)"
     if kind == "d":
-        return f"round(CAST({name} AS DOUBLE) + {NUDGE}, {DIGITS})"
+        return f"round(CAST({name} AS DOUBLE) + {NUDGE}, {DIGITS}) + 0.0"
     if kind == "t":
         return f"strftime({name}, '%Y-%m-%d')"
     if kind == "ts":

@@ -1,6 +1,7 @@
 """All registered queries."""
 
-from lossgrid.workload import claims, portfolio, predictions, steps
+from lossgrid.workload import claims, learning, portfolio, predictions, sources, steps
 
-STEPS = {**steps.STEPS, **portfolio.STEPS, **predictions.STEPS}
-QUERIES = {**claims.QUERIES, **portfolio.QUERIES, **predictions.QUERIES}
+PARTS = [claims, portfolio, predictions, learning, sources]
+STEPS = {**steps.STEPS, **portfolio.STEPS, **predictions.STEPS, **learning.STEPS, **sources.STEPS}
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
