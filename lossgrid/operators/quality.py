@@ -25,20 +25,31 @@ def add_dq_flags(df: DataFrame, keys: list[str], salts: int | None = None) -> Da
     round, which keeps hot keys spread there too.
     """
     salts = salts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys] or [F.lit(1)]
-    local = Window.partitionBy(*keys, "_salt").orderBy(*rest)
-    final = Window.partitionBy(*keys, "_round").orderBy(*rest)
+    key_list = ", ".join(f"`{k}`" for k in keys)
+    order = ", ".join(f"`{c}` ASC NULLS FIRST" for c in df.columns if c not in keys) or "1"
     numbered = (
         df.withColumn("_salt", F.spark_partition_id() % salts)
-        .withColumn("_local", F.row_number().over(local))
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {key_list}, _salt ORDER BY {order}) AS _local")
         .withColumn("_round", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_salt")))
-        .withColumn("_final", F.row_number().over(final))
-        .withColumn(DUPLICATE_FLAG, (F.col("_local") > 1) | (F.col("_final") > 1))
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {key_list}, _round ORDER BY {order}) AS _final")
+    )
+    null_flags = {f"{key}_null_dq_flag": F.col(key).isNull() for key in keys}
+    repeated = (F.col("_local") > 1) | (F.col("_final") > 1)
+    any_flag = reduce(lambda a, b: a | b, null_flags.values(), repeated)
+    return numbered.select(
+        *df.columns, *[c.alias(n) for n, c in null_flags.items()], repeated.alias(DUPLICATE_FLAG), (~any_flag).alias(VALID_COL)
     )
-    flags = list(flag_names(keys).values())
-    null_flags = [F.col(key).isNull().alias(f"{key}_null_dq_flag") for key in keys]
-    flagged = numbered.select(*df.columns, *null_flags, DUPLICATE_FLAG)
-    return flagged.withColumn(VALID_COL, ~reduce(lambda a, b: a | b, [F.col(f) for f in flags]))
+
+
+def first_copies(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows ``add_dq_flags`` calls valid, for readers that need no flags.
+
+    Spark keeps the first row per key of every task before it shuffles (window group limit), so one round is
+    enough and a hot key sends one row per task.
+    """
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys] or [F.lit(1)]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
+    return df.dropna(subset=keys).withColumn("_rank", first).where("_rank = 1").drop("_rank")
 
 
 def valid_rows(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -21,41 +21,44 @@ def cumulative_cells(
 
     ``views`` maps a view name to (lag column, row condition). Claims and invoices are counted once per grain
     (occurrence and all five dimensions), at the lag they are first seen, and then summed to the segments.
-    Each invoice is spread to one amount cell and two identity cells per view, so the big shuffle is
-    keyed by the identity and no segment meets in one task.
+    Each invoice is spread to one amount cell and two identity cells, so the big shuffle is keyed by the
+    identity and no segment meets in one task; views are told apart only after it.
     """
     max_lag = max_years * 12
     grain = [occurrence, *K.ALL_DIMS]
-    identities = [("nb_claim", "claim_id"), ("nb_invoice", "invoice_id")]
-    cells = []
-    for view, (lag, condition) in views.items():
-        inside = condition & lag.between(0, max_lag)
-        for kind, key in [("amount", None), *identities]:
-            cells.append(
-                F.when(
-                    inside,
-                    F.struct(
-                        F.lit(view).alias("view"),
-                        F.lit(kind).alias("kind"),
-                        (F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("id"),
-                        (F.lit(None) if key else lag).cast("int").alias("paid_lag"),
-                        lag.cast("int").alias("lag"),
-                        (F.col("amount_paid") if kind == "amount" else F.lit(None)).cast("double").alias("amount"),
-                    ),
-                )
-            )
+    identities = {"nb_claim": "claim_id", "nb_invoice": "invoice_id"}
+    lags = {v: F.when(condition & lag.between(0, max_lag), lag.cast("int")) for v, (lag, condition) in views.items()}
+    nothing = F.lit(None)
+    amount_cell = F.struct(
+        F.lit("amount").alias("kind"), nothing.cast("string").alias("id"), F.col("amount_paid").cast("double").alias("amount"),
+        F.struct(*[F.col(f"_lag_{v}").alias(v) for v in views]).alias("at"),
+    )
+    identity_cells = [
+        F.struct(
+            F.lit(kind).alias("kind"), F.col(key).cast("string").alias("id"), nothing.cast("double").alias("amount"),
+            F.struct(*[nothing.cast("int").alias(v) for v in views]).alias("at"),
+        )
+        for kind, key in identities.items()
+    ]
+    lag_columns = [f"_lag_{v}" for v in views]
     spread = (
         invoices.dropna(subset=grain)
-        .select(*grain, F.explode(F.array_compact(F.array(*cells))).alias("cell"))
-        .select(*grain, "cell.*")
+        .select(*grain, "amount_paid", *identities.values(), *[lag.alias(f"_lag_{v}") for v, lag in lags.items()])
+        .where(F.coalesce(*lag_columns).isNotNull())
+        .select(*grain, *lag_columns, F.explode(F.array(amount_cell, *identity_cells)).alias("cell"))
     )
-    first_seen = spread.groupBy("view", *grain, "kind", "id", "paid_lag").agg(
-        F.min("lag").alias("lag"), F.sum("amount").alias("amount")
+    # amounts meet per pair of lags, an identity meets itself at its smallest lags
+    first_seen = spread.groupBy(*grain, F.col("cell.kind").alias("kind"), F.col("cell.id").alias("id"), F.col("cell.at").alias("at")).agg(
+        F.sum("cell.amount").alias("amount"), *[F.min(c).alias(c) for c in lag_columns]
     )
     # countDistinct ignores a NULL id, so NULL ids form cells but count as zero
-    seen = {k: F.count_if((F.col("kind") == k) & F.col("id").isNotNull()) for k, _ in identities}
-    increments = first_seen.groupBy("view", occurrence, *segments, "lag").agg(
-        F.sum("amount").alias("amount"), *[c.alias(k) for k, c in seen.items()]
+    counted = {k: F.count_if((F.col("kind") == k) & F.col("id").isNotNull()).alias(k) for k in identities}
+    by_view = F.array(*[F.struct(F.lit(v).alias("view"), F.col(f"_lag_{v}").alias("lag")) for v in views])
+    increments = (
+        first_seen.select(occurrence, *segments, "kind", "id", "amount", F.inline(by_view))
+        .where(F.col("lag").isNotNull())
+        .groupBy("view", occurrence, *segments, "lag")
+        .agg(F.sum("amount").alias("amount"), *counted.values())
     )
     # at most one cell per lag of the runoff, so the map is bounded by max_lag + 1 entries
     packed = increments.groupBy("view", occurrence, *segments).agg(

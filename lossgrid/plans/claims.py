@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from lossgrid import constants as K
 from lossgrid.operators import conform, quality, triangle
+from lossgrid.session import materialise
 
 # Primary keys of the source and derived tables.
 PRIMARY_KEYS = {
@@ -27,19 +28,36 @@ PRIMARY_KEYS = {
     "portfolio": ["year_month_date", *K.ALL_DIMS],
 }
 
+# columns of the invoice table that later steps read
+INVOICE_COLUMNS = [
+    "invoice_id", "claim_id", "treatment_date", "reception_date", "payment_date", "amount_paid", "InvoiceStatus", "Age", *K.ALL_DIMS,
+]
+
 
 @dataclass
 class ClaimsRun:
-    """Builds each table of the run from ``source(name)``; nothing runs before an action."""
+    """Builds each table of the run from ``source(name)``, once per run.
+
+    Tables that feed several branches are written to the shared folder by the methods that branch.
+    """
 
     source: Callable[[str], DataFrame]
     as_of: str
     earliest: str = K.EARLIEST_DATE
     first_preauth_year: int = K.FIRST_PREAUTH_YEAR
+    built: dict[str, DataFrame] = field(default_factory=dict)
+
+    def once(self, name: str, build: Callable[[], DataFrame], write: bool = False) -> DataFrame:
+        """The table ``name``, built on first use; ``write`` stores it if that has not happened yet."""
+        if name not in self.built:
+            self.built[name] = build()
+        if write and f"{name} written" not in self.built:
+            self.built[name] = self.built[f"{name} written"] = materialise(self.built[name])
+        return self.built[name]
 
     def checked(self, name: str, df: DataFrame | None = None) -> DataFrame:
-        frame = self.source(name) if df is None else df
-        return quality.valid_rows(quality.add_dq_flags(frame, PRIMARY_KEYS[name]), PRIMARY_KEYS[name])
+        """Valid rows of a source table, or of ``df`` under the keys of ``name``."""
+        return quality.first_copies(self.source(name) if df is None else df, PRIMARY_KEYS[name])
 
     def policies(self) -> DataFrame:
         return conform.filter_policies(self.checked("policies"), self.earliest)
@@ -50,9 +68,11 @@ class ClaimsRun:
     def geography(self) -> DataFrame:
         return conform.clean_geography(self.checked("geography"))
 
-    def contracts(self) -> DataFrame:
-        built = conform.build_contracts(self.policies(), self.members(), self.geography())
-        return self.checked("contracts", built)
+    def contracts(self, write: bool = False) -> DataFrame:
+        def build() -> DataFrame:
+            return self.checked("contracts", conform.build_contracts(self.policies(), self.members(), self.geography()))
+
+        return self.once("contracts", build, write)
 
     def invoicebase(self) -> DataFrame:
         return conform.filter_invoicebase(self.checked("invoicebase"), self.as_of, self.earliest)
@@ -61,22 +81,26 @@ class ClaimsRun:
         return conform.clean_invoicelink(self.checked("invoicelink"))
 
     def invoices(self) -> DataFrame:
-        built = conform.build_invoices(self.invoicebase(), self.invoicelink(), self.contracts())
-        return self.checked("invoices", built)
+        def build() -> DataFrame:
+            joined = conform.build_invoices(self.invoicebase(), self.invoicelink(), self.contracts())
+            return self.checked("invoices", joined.select(*INVOICE_COLUMNS))
+
+        return self.once("invoices", build)
 
-    def lagged_invoices(self) -> DataFrame:
-        return conform.add_lag_features(self.invoices())
+    def lagged_invoices(self, write: bool = False) -> DataFrame:
+        return self.once("lagged_invoices", lambda: conform.add_lag_features(self.invoices()), write)
 
     def preauth(self, before: str) -> DataFrame:
         base = conform.filter_preauthbase(self.checked("preauthbase"), before, self.first_preauth_year)
-        claims = self.checked(
-            "claimcontract",
-            conform.build_claimcontract(conform.clean_claimlink(self.checked("claimlink")), self.contracts()),
-        )
+        links = conform.clean_claimlink(self.checked("claimlink"))
+        claims = self.checked("claimcontract", conform.build_claimcontract(links, self.contracts()))
         return conform.build_preauth(base, claims)
 
     def features(self, segments: list[str], preauth_before: str, max_lags: int = 12) -> DataFrame:
-        return triangle.feature_table(self.lagged_invoices(), self.preauth(preauth_before), segments, max_lags)
+        """Contracts feed invoices and pre-authorisations, invoices feed triangles and processing times: both are written."""
+        self.contracts(write=True)
+        invoices = self.lagged_invoices(write=True)
+        return triangle.feature_table(invoices, self.preauth(preauth_before), segments, max_lags)
 
     def gold(self, segments: list[str], start: str, end: str, preauth_before: str, years: int, max_lags: int = 12) -> DataFrame:
         return triangle.gold_slice(self.features(segments, preauth_before, max_lags), segments, start, end, years)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from lossgrid.operators import portfolio, predictions
 from lossgrid.plans.claims import ClaimsRun
+from lossgrid.session import materialise
 from lossgrid.sources import catalog
 
 
@@ -32,7 +33,7 @@ class InflationRun:
 
     def contract_versions(self) -> DataFrame:
         versions = self.source("contract_versions").withColumnRenamed("MemberID", "member_id")
-        return self.claims.contracts().join(versions, portfolio.VERSION_KEYS)
+        return self.claims.contracts(write=True).join(versions, portfolio.VERSION_KEYS)
 
     def member_months(self) -> DataFrame:
         active = self.claims.checked("active_members").withColumnsRenamed(
@@ -50,14 +51,16 @@ class InflationRun:
         return portfolio.development_coefficients(reserving_export(self.source("reserving_payload"), "ibnr_inflation"))
 
     def dense(self, compensate: bool = False) -> DataFrame:
-        invoices = self.invoice_months()
+        """The monthly aggregate gives both the dimension pairs and the facts, so it is written first."""
+        invoices = materialise(self.invoice_months())
         if compensate:
             segments = ["PolicySubType", "MajorICDGroupingDescription"]
             invoices = portfolio.apply_coefficients(invoices, self.coefficients(), segments)
         return portfolio.dense_portfolio(self.census_cube(), invoices)
 
     def series(self, compensate: bool = False) -> DataFrame:
-        return portfolio.cluster_series(self.dense(compensate), self.source("clusters").drop("SystemID"))
+        """Claims and members both read the dense portfolio, so it is written first."""
+        return portfolio.cluster_series(materialise(self.dense(compensate)), self.source("clusters"))
 
     def vintage(self) -> DataFrame:
         return catalog.vintage_scan(self.source("external_regressors"), self.training_end)

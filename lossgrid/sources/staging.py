@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import string
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -136,8 +137,16 @@ def table_names(statement: str) -> list[str]:
     return sorted({field for _, field, _, _ in string.Formatter().parse(statement) if field})
 
 
+@lru_cache(maxsize=64)
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Input table; the lazy frame is kept so that one run lists its files once.
+
+    A table of several splits but fewer than the cores is one unsplittable row group: it is dealt over the cores
+    by its first column. Tables of many files are read as they are.
+    """
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores, table.columns[0]) if 1 < table.rdd.getNumPartitions() < cores else table
 
 
 def run_sql(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:

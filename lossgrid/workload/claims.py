@@ -75,7 +75,7 @@ QUERIES = {
         "SELECT * FROM dq_invoicebase",
     ),
     "dq2_valid_rows": Query(
-        lambda s, d: quality.valid_rows(_dq_invoicebase(s, d), ["InvoiceKey"]),
+        lambda s, d: quality.first_copies(staging.stage(s, d, "invoicebase"), ["InvoiceKey"]),
         "InvoiceKey:s SystemID:s TreatmentDate:t PaidDate:t AmountPaid:d tie1:i tie2:i",
         "SELECT * FROM dq_invoicebase WHERE valid_row",
     ),
