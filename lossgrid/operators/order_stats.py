@@ -7,14 +7,14 @@ buckets are ordered, so the cuts decide the balance and never the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from lossgrid.functions.columns import same_key
-
-DEFAULT_BUCKETS = 64
+from lossgrid.session import materialise
 
 
 def _cut_position(df: DataFrame, value: str) -> Column:
@@ -30,33 +30,48 @@ def _cut_position(df: DataFrame, value: str) -> Column:
     return F.col(value).cast("double")
 
 
+def _bucket_of(position: Column, cuts: Column, buckets: int) -> Column:
+    """Number of sorted cuts below the position, by binary search."""
+    steps = [1 << i for i in range(buckets.bit_length() - 1, -1, -1)]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda found, step: F.when(F.try_element_at(cuts, found + step) < position, found + step).otherwise(found),
+    )
+
+
 def running_totals(
     df: DataFrame,
     value: str,
     totals: dict[str, Column],
     by: list[str] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
+    ranks: Callable[[Column], list[Column]] | None = None,
 ) -> DataFrame:
-    """One row per (by, value) with each total, ``<total>_before`` over smaller values and ``<total>_all``."""
+    """One row per (by, value) with each total, ``<total>_before`` over smaller values and ``<total>_all``.
+
+    The merged values feed the cuts, the bucket totals and the result, so they are written once. With ``ranks``,
+    a function from the number of rows ``n`` to the ranks of interest, only buckets that hold one are ordered.
+    """
     by = list(by or [])
     names = list(totals)
-    merged = (
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merged = materialise(
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value)
         .agg(*[expr.alias(name) for name, expr in totals.items()])
         .withColumn("_pos", _cut_position(df, value))
     )
     probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = merged.groupBy(*by).agg(F.percentile_approx("_pos", probabilities, 100 * buckets).alias("_cuts"))
+    cuts = merged.groupBy(*by).agg(F.percentile_approx("_pos", probabilities, 20 * buckets).alias("_cuts"))
     if by:
         cuts = cuts.select(*[F.col(c).alias(f"_cut_{c}") for c in by], "_cuts")
         condition = reduce(lambda a, b: a & b, [same_key(F.col(c), F.col(f"_cut_{c}")) for c in by])
         placed = merged.join(cuts, condition).drop(*[f"_cut_{c}" for c in by])
     else:
-        placed = merged.withColumn("_cuts", cuts.scalar())
-    placed = placed.select(
-        *by, value, *names, F.size(F.filter("_cuts", lambda cut: cut < F.col("_pos"))).alias("_bucket")
-    )
+        points = cuts.first()["_cuts"] or []
+        placed = merged.withColumn("_cuts", F.array(*[F.lit(p) for p in points]).cast("array<double>"))
+    placed = placed.select(*by, value, *names, _bucket_of(F.col("_pos"), F.col("_cuts"), buckets).alias("_bucket"))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bucket_totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in names])
@@ -65,7 +80,12 @@ def running_totals(
         F.col("_bucket").alias("_off_bucket"),
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}_offset") for n in names],
         *[F.sum(n).over(group).alias(f"{n}_all") for n in names],
+        *([F.col("n").alias("_rows")] if ranks else []),
     )
+    if ranks:
+        first = F.col("_n_offset")
+        held = [(first <= rank) & (rank < first + F.col("_rows")) for rank in ranks(F.col("n_all"))]
+        offsets = offsets.where(reduce(lambda a, b: a | b, held)).drop("_rows")
     same_bucket = reduce(
         lambda a, b: a & b,
         [same_key(F.col(c), F.col(f"_off_{c}")) for c in by],
@@ -81,7 +101,9 @@ def running_totals(
     )
 
 
-def _ranked_features(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+def _ranked_features(
+    df: DataFrame, columns: list[str], by: list[str], ranks: Callable[[Column], list[Column]] | None = None
+) -> DataFrame:
     """Rows (by, feature, x, n, n_before, n_all) of the finite values of all columns."""
     long = df.select(
         *by,
@@ -90,7 +112,7 @@ def _ranked_features(df: DataFrame, columns: list[str], by: list[str]) -> DataFr
         ).alias("cell"),
     ).select(*by, "cell.feature", "cell.x")
     finite = long.where(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf")))
-    return running_totals(finite, "x", {"n": F.count("*")}, by + ["feature"])
+    return running_totals(finite, "x", {"n": F.count("*")}, by + ["feature"], ranks=ranks)
 
 
 def exact_percentiles(
@@ -101,18 +123,18 @@ def exact_percentiles(
     All columns are ranked in one pass. NULL and non-finite values are left out.
     """
     by = list(by or [])
-    ranked = _ranked_features(df, columns, by)
+    positions = [lambda n, p=float(p): F.lit(p) * (n - 1) for p in probabilities]
+    ranked = _ranked_features(df, columns, by, lambda n: [f(place(n)) for place in positions for f in (F.floor, F.ceil)])
 
     def at(index: Column) -> Column:
         return F.max(F.when((F.col("n_before") <= index) & (index < F.col("n_before") + F.col("n")), F.col("x")))
 
     aggregates = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n_all") - 1)
-        low, high = F.floor(position), F.ceil(position)
-        aggregates += [at(low).alias(f"_low{i}"), at(high).alias(f"_high{i}")]
+    for i, place in enumerate(positions):
+        position = place(F.col("n_all"))
+        aggregates += [at(F.floor(position)).alias(f"_low{i}"), at(F.ceil(position)).alias(f"_high{i}")]
     grouped = ranked.groupBy(*by, "feature").agg(F.max("n_all").alias("n"), *aggregates)
-    fractions = [F.lit(float(p)) * (F.col("n") - 1) for p in probabilities]
+    fractions = [place(F.col("n")) for place in positions]
     return grouped.select(
         *by,
         "feature",
@@ -127,7 +149,7 @@ def exact_percentiles(
 def values_at_ranks(df: DataFrame, value: str, ranks: list[int], by: list[str] | None = None) -> DataFrame:
     """Rows (by, value, rank) holding the value at each zero-based rank, counting every row."""
     by = list(by or [])
-    ranked = running_totals(df, value, {"n": F.count("*")}, by)
+    ranked = running_totals(df, value, {"n": F.count("*")}, by, ranks=lambda n: [F.lit(int(r)) for r in ranks])
     wanted = F.filter(
         F.array(*[F.lit(int(r)).cast("bigint") for r in ranks]),
         lambda r: (r >= F.col("n_before")) & (r < F.col("n_before") + F.col("n")),

@@ -68,7 +68,12 @@ def random_split(
     """Exact-size random split by the hash order of unique keys, inside each class when stratified."""
     by = [stratify] if stratify else []
     hashed = df.withColumn("_hash", hash_order(keys, seed))
-    ranked = running_totals(hashed.select(*by, "_hash"), "_hash", {"n": F.count("*")}, by)
+
+    def last_ranks(rows: Column) -> list[Column]:
+        tests, vals = _part_sizes(rows, test_size, val_size)
+        return [tests - 1, tests + vals - 1]
+
+    ranked = running_totals(hashed.select(*by, "_hash"), "_hash", {"n": F.count("*")}, by, ranks=last_ranks)
     tests, vals = _part_sizes(F.col("n_all"), test_size, val_size)
     cuts = ranked.groupBy(*by).agg(
         F.max(F.when(F.col("n_before") < tests, F.col("_hash"))).alias("_test_cut"),
