@@ -8,6 +8,7 @@ from lossgrid import constants as K
 from lossgrid.functions.columns import normalise_target, ratio
 
 STALE_HOURS = 8
+COALESCE_KEYS = ["experiment_without_target", "segment_key"]
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -37,11 +38,14 @@ def drop_stale(df: DataFrame, hours: int = STALE_HOURS) -> DataFrame:
 
 def coalesce_targets(df: DataFrame, run_type: str, targets: list[str] = K.TARGETS) -> DataFrame:
     """Give every row of a (experiment, segment key) the non-null prediction of each target."""
-    keys = ["experiment_without_target", "segment_key"]
     columns = [f"{t}_predicted" for t in targets]
     run = df.where(F.col(run_type))
-    values = run.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
-    return run.drop(*columns).join(values, keys)
+    return run.drop(*columns).join(non_null_values(run, COALESCE_KEYS, columns), COALESCE_KEYS)
+
+
+def non_null_values(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """The non-null value of each column per key; the greatest one where several rows carry a value."""
+    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def first_full_experiment(df: DataFrame, target: str) -> DataFrame:
@@ -214,12 +218,17 @@ def pivot_forecasts(forecasts: DataFrame) -> DataFrame:
     )
 
 
+def with_actuals(forecasts: DataFrame, gold: DataFrame) -> DataFrame:
+    """Observed columns beside the forecasts of the same cluster and day; the key is computed before the join."""
+    actuals = normalise_actuals(gold).withColumnRenamed("YearMonthDate", "year_month_date")
+    keyed = forecasts.withColumn("year_month_date", F.to_date("year_month_date"))
+    return keyed.join(actuals, ["cluster_id", "year_month_date"], "left")
+
+
 def export_forecasts(forecasts: DataFrame, gold: DataFrame, clusters: DataFrame) -> DataFrame:
     """Pivoted forecasts beside the observed months and the cluster dimensions, in the fixed export layout."""
-    actuals = normalise_actuals(gold).withColumnRenamed("YearMonthDate", "year_month_date")
     return (
-        pivot_forecasts(forecasts)
-        .join(actuals, ["cluster_id", "year_month_date"], "left")
+        with_actuals(pivot_forecasts(forecasts), gold)
         .join(normalise_clusters(clusters), "cluster_id", "left")
         .withColumn("segment", F.col("cluster_id"))
         .withColumnRenamed("year_month_date", "YearMonthDate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrid import constants as K
-from lossgrid.operators import evaluate, forecast, learners, linear, reserving, splits, transforms, tuning
+from lossgrid.operators import evaluate, forecast, learners, linear, reserving, sampling, splits, transforms, tuning
 from lossgrid.plans import scoring
 from lossgrid.session import materialise
 from lossgrid.sources import staging
@@ -266,6 +266,13 @@ def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _smote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balance the doubtful documents by their length and lexical features."""
+    rows = _scores(spark, sf_dir).join(staging.read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"), "doc_id")
+    featured = rows.select("doc_id", "label", "score", F.log1p("n_chars").alias("size"), F.size(F.split("text", " ")).cast("double").alias("words"))
+    return sampling.smote(featured, ["score", "size", "words"], "label", 0, ["doc_id"], 5, SEED)
+
+
 def _wrap(fold):
     return lambda s, d: fold(_orders(s, d))
 
@@ -393,6 +400,7 @@ QUERIES = {
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_extendedprice - m) / r AS scaled, 2 * (l_extendedprice - m) + m AS prediction
            FROM lineitem CROSS JOIN (SELECT median(l_extendedprice) AS m, quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS r FROM lineitem) q""",
     ),
+    "tr13_smote": Query(_smote, "score:d size:d words:d label:i"),
     "wn6_age_to_age": Query(
         lambda s, d: reserving.age_to_age(gold(s, d), "cumulative_amount_paid", CL_SEGMENTS),
         "PolicySubType:s SystemID:s treatment_date:t lag:i ratio:d",
@@ -402,6 +410,14 @@ QUERIES = {
     "ml1_chain_ladder_fit": Query(
         _factors, "PolicySubType:s SystemID:s treatment_date_month:i lag:i factor:d to_ultimate:d", "SELECT * FROM st_factors"
     ),
+    "wn7_reverse_product": Query(
+        lambda s, d: reserving.chain_ladder_fit(gold(s, d), "cumulative_nb_invoice_paid", SEGMENTS),
+        "PolicySubType:s SystemID:s lag:i to_ultimate:d",
+        """SELECT PolicySubType, SystemID, lag, product(factor) OVER (PARTITION BY PolicySubType, SystemID ORDER BY lag DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS to_ultimate
+           FROM (SELECT PolicySubType, SystemID, lag, coalesce(avg(ratio), 1.0) AS factor
+                 FROM (SELECT *, CASE WHEN cumulative_nb_invoice_paid > 0 THEN lead(cumulative_nb_invoice_paid) OVER (PARTITION BY PolicySubType, SystemID, treatment_date ORDER BY lag)
+                              / CAST(cumulative_nb_invoice_paid AS DOUBLE) END AS ratio FROM st_gold) r GROUP BY ALL) f""",
+    ),
     "ml2_chain_ladder_predict": Query(
         _chain_ladder,
         "PolicySubType:s SystemID:s treatment_date:t lag:i cumulative_amount_paid:d prediction:d",

@@ -83,6 +83,7 @@ STEPS = {
         SELECT *, {RATIO_SQL}
         FROM (SELECT m.*, coalesce(c.amount_paid, 0) AS amount_paid, coalesce(c.nb_claim, 0) AS nb_claim, coalesce(c.nb_invoice, 0) AS nb_invoice
               FROM st_cluster_members m LEFT JOIN st_cluster_claims c USING (cluster_id, year_month_date)) x""",
+    "st_inflated_series": "",
     "st_vintage": "SELECT * FROM stg_external_regressors WHERE SeenMonth = '2001_07'",
     "st_inflation_gold": f"""
         SELECT s.*, r.CPI, r.price_CPI, r.SeenMonth FROM st_series s JOIN st_vintage r ON r.YearMonthDate = s.year_month_date
@@ -90,6 +91,19 @@ STEPS = {
 }
 
 
+def _on_inflated(step: str) -> str:
+    """A step of the plain run with the compensated invoice months and their dependants."""
+    return STEPS[step].replace("st_invoice_months", "st_inflated").replace("st_portfolio", "st_inflated_portfolio")
+
+
+STEPS["st_inflated_portfolio"] = _on_inflated("st_portfolio")
+STEPS["st_inflated_claims"] = _on_inflated("st_cluster_claims")
+STEPS["st_inflated_members"] = _on_inflated("st_cluster_members")
+STEPS["st_inflated_series"] = (
+    STEPS["st_series"].replace("st_cluster_members", "st_inflated_members").replace("st_cluster_claims", "st_inflated_claims")
+)
+
+
 def inflation_run(spark: SparkSession, sf_dir: str) -> InflationRun:
     def source(name: str) -> DataFrame:
         return staging.stage(spark, sf_dir, name)
@@ -205,6 +219,18 @@ QUERIES = {
         f"SELECT *, {RATIO_SQL} FROM st_portfolio",
     ),
     "pf9_cluster_series": Query(lambda s, d: inflation_run(s, d).series(), SERIES_COLUMNS, "SELECT * FROM st_series"),
+    "ag9_cluster_members": Query(
+        lambda s, d: portfolio.cluster_members(
+            inflation_run(s, d).dense(), portfolio.cluster_dims(staging.stage(s, d, "clusters")), ["MajorICDGroupingDescription"]
+        ),
+        "cluster_id:s year_month_date:t nb_member:i",
+        "SELECT * FROM st_cluster_members",
+    ),
+    "pf9_compensated_series": Query(
+        lambda s, d: inflation_run(s, d).series(compensate=True),
+        SERIES_COLUMNS,
+        "SELECT * FROM st_inflated_series",
+    ),
     "jn8_wildcard_join": Query(
         lambda s, d: portfolio.cluster_claims(
             inflation_run(s, d).dense(), portfolio.cluster_dims(staging.stage(s, d, "clusters")),

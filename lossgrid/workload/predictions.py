@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lossgrid.constants import TARGETS
 from lossgrid.functions.columns import normalise_target, short_id
 from lossgrid.operators import experiments, predictions
 from lossgrid.plans.inflation import reserving_export
@@ -156,6 +157,23 @@ QUERIES = {
     "pr3_coalesce_targets": Query(
         _coalesced, f"model_name:s segment_key:s target:s lag:i {CUMULATIVE} {PRED}", "SELECT * FROM st_coalesced"
     ),
+    "ag4_first_non_null": Query(
+        lambda s, d: predictions.non_null_values(_fresh(s, d).where("ibnr_inflation"), predictions.COALESCE_KEYS, [f"{t}_predicted" for t in TARGETS]),
+        f"experiment_without_target:s segment_key:s {PRED}",
+        """SELECT experiment_without_target, segment_key, max(ultimate_amount_paid_predicted) AS ultimate_amount_paid_predicted,
+                  max(ultimate_nb_claim_paid_predicted) AS ultimate_nb_claim_paid_predicted, max(ultimate_nb_invoice_paid_predicted) AS ultimate_nb_invoice_paid_predicted
+           FROM st_fresh WHERE ibnr_inflation GROUP BY 1, 2""",
+    ),
+    "wn3_centred_mean": Query(
+        lambda s, d: predictions.smoothed_price(_coalesced(s, d), "ultimate_nb_invoice_paid").withColumnRenamed("price_smoothed_ultimate_nb_invoice_paid", "price"),
+        "segment:s treatment_date:t target:s lag:i price:d",
+        "SELECT * FROM st_price_invoice",
+    ),
+    "wn4_forward_fill": Query(
+        lambda s, d: reserving_export(_payload(s, d), "ibnr_inflation"),
+        "segment:s target:s VisibleDate:t lag:i full_experiment:s treatment_date:t price_smoothed:d",
+        "SELECT * FROM st_export",
+    ),
     "pr4_first_experiment": Query(
         lambda s, d: predictions.first_full_experiment(_coalesced(s, d), "ultimate_nb_claim_paid"),
         "full_experiment:s",
@@ -192,6 +210,12 @@ QUERIES = {
         "cluster_id:s year_month_date:t origin:s BC_pred:d BC_pred_lower:d BC_pred_upper:d Frequency_claims_pred:d Severity_claims_pred:d Severity_claims_pred_upper:d model_name:s model_config:s",
         "SELECT * FROM st_pivoted",
     ),
+    "jn7_forecast_actuals": Query(
+        lambda s, d: predictions.with_actuals(_forecasts(s, d), inflation_run(s, d).gold()),
+        "model_name:s cluster_id:s year_month_date:t prediction:d BC:d NumberMembers:d",
+        """SELECT f.*, g.burning_cost AS BC, g.nb_member AS NumberMembers FROM st_forecasts f
+           LEFT JOIN st_inflation_gold g ON g.cluster_id = f.cluster_id AND g.year_month_date = f.year_month_date""",
+    ),
     "pr9_forecast_export": Query(
         lambda s, d: predictions.export_forecasts(_forecasts(s, d), inflation_run(s, d).gold(), staging.stage(s, d, "clusters")),
         EXPORT_SHOW,
