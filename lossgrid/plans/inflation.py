@@ -14,10 +14,11 @@ from lossgrid.sources import catalog
 
 
 def reserving_export(payload: DataFrame, run_type: str) -> DataFrame:
-    """Reserving payload -> latest -> not stale -> coalesced -> priced export."""
+    """Reserving payload -> latest -> not stale -> coalesced -> priced export; steps that are read several times are written."""
     keys = ["PolicySubType", "MajorICDGroupingDescription", "lag"]
-    fresh = predictions.drop_stale(predictions.latest_predictions(payload, keys))
-    return predictions.export_predictions(predictions.coalesce_targets(fresh, run_type))
+    latest = materialise(predictions.latest_predictions(payload, keys))
+    coalesced = materialise(predictions.coalesce_targets(predictions.drop_stale(latest), run_type))
+    return predictions.export_predictions(coalesced)
 
 
 @dataclass
@@ -48,7 +49,8 @@ class InflationRun:
         return portfolio.monthly_invoices(self.claims.invoices(), self.cut_off)
 
     def coefficients(self) -> DataFrame:
-        return portfolio.development_coefficients(reserving_export(self.source("reserving_payload"), "ibnr_inflation"))
+        export = materialise(reserving_export(self.source("reserving_payload"), "ibnr_inflation"))
+        return portfolio.development_coefficients(export)
 
     def dense(self, compensate: bool = False) -> DataFrame:
         """The monthly aggregate gives both the dimension pairs and the facts, so it is written first."""
@@ -59,8 +61,8 @@ class InflationRun:
         return portfolio.dense_portfolio(self.census_cube(), invoices)
 
     def series(self, compensate: bool = False) -> DataFrame:
-        """Claims and members both read the dense portfolio, so it is written first."""
-        return portfolio.cluster_series(materialise(self.dense(compensate)), self.source("clusters"))
+        """Claims and members both read the dense portfolio and the clusters, so these are written first."""
+        return portfolio.cluster_series(materialise(self.dense(compensate)), materialise(self.source("clusters")))
 
     def vintage(self) -> DataFrame:
         return catalog.vintage_scan(self.source("external_regressors"), self.training_end)

@@ -67,12 +67,12 @@ STATEMENTS = {
         SELECT DISTINCT o_custkey AS MemberID, o_custkey % 97 AS PolicyID, CAST(date_trunc('month', l_shipdate) AS DATE) AS YearMonthDate
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "external_regressors": """
-        SELECT s.SeenMonth, m.YearMonthDate, m.CPI, m.price_CPI
-        FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS YearMonthDate,
-                     avg(CASE WHEN o_orderpriority < '3' THEN o_totalprice END) AS CPI, avg(o_totalprice) AS price_CPI
-              FROM {orders} GROUP BY 1) m
-        JOIN (SELECT '2001_06' AS SeenMonth, DATE '2001-06-01' AS until UNION ALL SELECT '2001_07', DATE '2001-07-01') s
-          ON m.YearMonthDate <= s.until""",
+        WITH months AS (
+            SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS YearMonthDate,
+                   avg(CASE WHEN o_orderpriority < '3' THEN o_totalprice END) AS CPI, avg(o_totalprice) AS price_CPI
+            FROM {orders} GROUP BY 1)
+        SELECT '2001_06' AS SeenMonth, YearMonthDate, CPI, price_CPI FROM months WHERE YearMonthDate <= DATE '2001-06-01'
+        UNION ALL SELECT '2001_07', YearMonthDate, CPI, price_CPI FROM months WHERE YearMonthDate <= DATE '2001-07-01'""",
     "clusters": """
         WITH customer_dims AS (
             SELECT c_custkey,
