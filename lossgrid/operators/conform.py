@@ -121,10 +121,8 @@ def build_invoices(invoicebase: DataFrame, invoicelink: DataFrame, contracts: Da
         "DateOfBirth",
         "UKMemberRegion",
     )
-    links = invoicelink.join(insured, ["member_id", "SystemLink", "HistoryID", "PolicyID"])
-    linked = invoicebase.join(
-        links.select("invoice_id", "claim_id", "PolicySubType", "DateOfBirth", "UKMemberRegion"), "invoice_id"
-    )
+    # both invoice tables are partitioned by their key already, so they meet before the member join
+    linked = invoicebase.join(invoicelink, "invoice_id").join(insured, ["member_id", "SystemLink", "HistoryID", "PolicyID"])
     return with_age(linked, "treatment_date")
 
 

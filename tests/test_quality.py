@@ -49,3 +49,13 @@ def test_missing_regressor_marks_the_month(spark):
     df = spark.createDataFrame([("m1", 1.0, 2.0), ("m2", None, 2.0)], "month string, CPI double, price double")
     marked = {r["month"]: r["invalid"] for r in quality.missing_regressors(df, ["CPI", "price"], "month").collect()}
     assert marked == {"m1": False, "m2": True}
+
+
+def test_derived_tables_keep_their_keys_unique(spark):
+    from lossgrid.plans.claims import PRIMARY_KEYS
+    from lossgrid.workload.claims import claims_run
+
+    run = claims_run(spark, "/root/testdata/sf0.001")
+    for name, df in {"contracts": run.contracts(), "invoices": run.invoices()}.items():
+        counts = quality.dq_counts(quality.add_dq_flags(df, PRIMARY_KEYS[name]), PRIMARY_KEYS[name]).first()
+        assert not any(counts), name
