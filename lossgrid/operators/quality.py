@@ -47,7 +47,9 @@ def first_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     Spark keeps the first row per key of every task before it shuffles (window group limit), so one round is
     enough and a hot key sends one row per task.
     """
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys] or [F.lit(1)]
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropna(subset=keys).distinct()
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
     return df.dropna(subset=keys).withColumn("_rank", first).where("_rank = 1").drop("_rank")
 
