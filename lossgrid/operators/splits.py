@@ -6,7 +6,6 @@ with them. No row is ordered or moved for the label itself.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 

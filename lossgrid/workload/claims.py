@@ -10,7 +10,7 @@ from lossgrid.plans.claims import ClaimsRun
 from lossgrid.sources import staging
 from lossgrid.workload.query import Query
 from lossgrid.workload.steps import (
-    AS_OF, CLAIMS_END, CLAIMS_START, CUT_OFF, EARLIEST, SEGMENTS, age_sql, bucket_sql, month_sql, months_sql, triangle_sql,
+    AS_OF, CLAIMS_END, CLAIMS_START, CUT_OFF, EARLIEST, SEGMENTS, age_sql, bucket_sql, month_sql, months_sql,
 )
 
 

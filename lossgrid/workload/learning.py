@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossgrid import constants as K
 from lossgrid.operators import evaluate, forecast, learners, linear, reserving, sampling, splits, transforms, tuning
 from lossgrid.plans import scoring
 from lossgrid.session import materialise
@@ -143,7 +142,7 @@ def _factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chain_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = gold(spark, sf_dir)
+    rows = materialise(gold(spark, sf_dir))  # read by the fit and by the prediction
     factors = reserving.chain_ladder_fit(rows, "cumulative_amount_paid", CL_SEGMENTS)
     return reserving.chain_ladder_predict(rows.where("is_inference"), factors, "cumulative_amount_paid", CL_SEGMENTS)
 

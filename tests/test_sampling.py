@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+
 
 from lossgrid.operators import sampling
 
