@@ -33,6 +33,21 @@ def written(df: DataFrame) -> DataFrame:
     return materialise(df)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

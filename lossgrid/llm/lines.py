@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lossgrid.llm.common import written
+from lossgrid.llm.common import columns, fresh, written
 
 #: Distinct sites that make a line boilerplate.
 SITES = 6
@@ -63,6 +63,11 @@ def removals(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataF
     return again.groupBy("key").agg(F.collect_set("pos").alias("cut"))
 
 
+def _without(cut: str) -> Column:
+    """The text without the lines whose positions ``cut`` lists, if it lists any."""
+    return F.expr(f"if({cut} is null, text, array_join(filter(split(text, '\\n'), (x, i) -> not array_contains({cut}, i)), '\\n'))")
+
+
 def dedup_lines(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
     """The documents without repeated cross-site lines, with all their columns; n_chars follows the text if it exists.
 
@@ -70,19 +75,22 @@ def dedup_lines(docs: DataFrame, site: str = "source", sites: int = SITES) -> Da
     empty texts stay as they are, a text that loses all lines becomes empty. The first occurrence by doc_id (null last)
     and line stays; rows with equal doc_id and text are the same occurrence.
     """
-    cuts = written(removals(docs, site, sites))
-    marked = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(cuts.withColumnsRenamed({"key": "_key", "cut": "_cut"}), "_key", "left")
-    kept = F.expr("if(_cut is null, text, array_join(filter(split(text, '\\n'), (x, i) -> not array_contains(_cut, i)), '\\n'))")
-    new = marked.withColumn("_text", kept)
-    return new.select(*[F.col("_text").alias(c) if c == "text" else F.coalesce(F.when(F.col("_cut").isNotNull(), F.length("_text").cast(docs.schema[c].dataType)), F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    key, cut, kept = fresh(docs, "_key", "_cut", "_kept")
+    cuts = written(removals(docs, site, sites)).withColumnsRenamed({"key": key, "cut": cut})
+    marked = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(cuts, key, "left").withColumn(kept, _without(cut))
+    changed = {"text": F.col(kept)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col(cut).isNotNull(), F.length(kept)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return marked.select(*[changed[c].alias(c) if c in changed else column for c, column in zip(docs.columns, columns(docs))])
 
 
 def op9(docs: DataFrame) -> DataFrame:
     """Per document: its id, lines removed, and the kept text's length and hash."""
     cuts = written(removals(docs))
     marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).join(cuts, "key", "left")
-    kept = F.expr("if(cut is null, text, array_join(filter(split(text, '\\n'), (x, i) -> not array_contains(cut, i)), '\\n'))")
-    return marked.select("doc_id", F.coalesce(F.size("cut"), F.lit(0)).cast("bigint").alias("lines_removed"), F.coalesce(F.length(kept), F.lit(0)).cast("bigint").alias("kept_chars"), F.md5(F.coalesce(kept, F.lit("")).cast("binary")).alias("kept_md5")).withColumn("lines_removed", F.greatest("lines_removed", F.lit(0)))
+    kept = F.coalesce(_without("cut"), F.lit(""))
+    removed = F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut")).cast("bigint")
+    return marked.select("doc_id", removed.alias("lines_removed"), F.length(kept).cast("bigint").alias("kept_chars"), F.md5(kept.cast("binary")).alias("kept_md5"))
 
 
 SQL_OP9 = f"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lossgrid.llm.common import SPACE, written
+from lossgrid.llm.common import SPACE, columns, fresh, written
 
 WEIGHTS, CAP, SEED = (5.0, 2.0, 1.0), 3, 11
 #: Budget in words that the knapsack table covers; more is first filled with the longest documents.
@@ -46,7 +46,8 @@ def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
     """How many documents of each length to take so that their lengths add up to ``budget``, or come nearest to it."""
     total = sum(n * c for n, c in counts.items())
     budget = max(0, min(budget, total))
-    taken = {n: c * budget // total if total else 0 for n, c in counts.items()}
+    even = max(0, budget - TABLE // 2)  # what is left keeps the knapsack room to be exact
+    taken = {n: c * even // total if total else 0 for n, c in counts.items()}
     left = budget - sum(n * c for n, c in taken.items())
     free = {n: c - taken[n] for n, c in counts.items() if n}
     for n in sorted(free, reverse=True):
@@ -137,6 +138,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP)
 
     Empty documents take no words and stay once. Rows without doc_id cannot be addressed and stay once.
     """
-    found = mix(docs, weights, cap).where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("_copies"), F.max("size").alias("_size"))
-    joined = docs.join(found, "doc_id", "left").withColumn("_copies", F.expr("case when _copies is null or _size = 0 then 1 else _copies end"))
-    return joined.withColumn("_copy", F.explode(F.expr("array_repeat(0, int(_copies))"))).select(*docs.columns)
+    copies, size, copy = fresh(docs, "_copies", "_size", "_copy")
+    found = mix(docs, weights, cap).where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias(copies), F.max("size").alias(size))
+    times = F.when(F.col(copies).isNull() | (F.col(size) == 0), 1).otherwise(F.col(copies)).cast("int")
+    return docs.join(found, "doc_id", "left").withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*columns(docs))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lossgrid.llm import lines, mixing, packing, simhash, sketch, token_ids
+from lossgrid.llm import lines, lm, mixing, packing, pages, simhash, sketch, token_ids, toxicity, vectors
 from lossgrid.llm.common import table
 
 
@@ -23,10 +23,14 @@ def _over(name: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": _over("documents", lambda docs: token_ids.op1(docs, _tokenizer_path())),
     "op2_mixing": _over("documents", mixing.op2),
+    "op3_toxicity": lambda spark, sf_dir: toxicity.op3(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op4_packing": _over("documents", packing.op4),
+    "op5_lm_score": _over("documents", lm.score),
     "op6_sketch": _over("documents", sketch.op6),
+    "op7_html": _over("pages", pages.extract),
     "op8_simhash": _over("documents", simhash.op8),
     "op9_line_dedup": _over("documents", lines.op9),
+    "op10_ann": _over("embeddings", vectors.op10),
 }
 
 ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL_OP9}
