@@ -32,12 +32,16 @@ def regression_metrics(df: DataFrame, truth: str, prediction: str, by: list[str]
 
 def classification_metrics(df: DataFrame, truth: str, prediction: str, positive=1) -> DataFrame:
     """Binary scores from one confusion count; false counts are zero when a single label occurs."""
+    pairs = df.where(F.col(truth).isNotNull() & F.col(prediction).isNotNull())
+    others = [F.when(F.col(c) != F.lit(positive), F.col(c)) for c in (truth, prediction)]
     t, p = F.col(truth) == F.lit(positive), F.col(prediction) == F.lit(positive)
-    counts = df.where(F.col(truth).isNotNull() & F.col(prediction).isNotNull()).agg(
+    counts = pairs.agg(
         F.count_if(t & p).alias("tp"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"), F.count_if(~t & ~p).alias("tn"),
         F.least(F.min(truth), F.min(prediction)).alias("_low"), F.greatest(F.max(truth), F.max(prediction)).alias("_high"),
-        F.count_if(~F.col(truth).isin(0, 1) | ~F.col(prediction).isin(0, 1)).alias("_other"),
+        F.least(*[F.min(c) for c in others]).alias("_lowest"), F.greatest(*[F.max(c) for c in others]).alias("_highest"),
     )
+    one_other = F.coalesce(F.col("_lowest") == F.col("_highest"), F.lit(True))
+    counts = counts.where(F.when(one_other, True).otherwise(F.raise_error(F.lit("binary scores need two labels"))))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     zero = F.lit(0.0)
     one_label = F.col("_low") == F.col("_high")
@@ -154,7 +158,7 @@ def baseline_table(scored: DataFrame, label: str, model_id: str, label_type: str
 
 def chosen_versions(registry: DataFrame, alias: str) -> DataFrame:
     """Version per model: the one with the alias, else the numerically latest."""
-    version = F.col("version").cast("int")
+    version = F.col("version").try_cast("int")  # a version that is no number does not count
     return registry.groupBy("model_name").agg(
         F.max(version).alias("latest"), F.coalesce(F.max(F.when(F.col("alias") == alias, version)), F.max(version)).alias("chosen")
     )

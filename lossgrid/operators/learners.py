@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -9,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrid.session import materialise
 
@@ -23,13 +25,21 @@ LEARNERS = {
 }
 
 
+def complete(features: list[str], df: DataFrame) -> Column:
+    """Whether a row has every feature; NaN counts as missing."""
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & (~F.isnan(c) if c in floating else F.lit(True)) for c in features], F.lit(True))
+
+
 def _stages(features: list[str], label: str, task: str, kind: str, params: dict) -> tuple[VectorAssembler, object]:
-    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
     return assembler, LEARNERS[task, kind](featuresCol="_features", labelCol=label, **params)
 
 
 def fit_learner(df: DataFrame, features: list[str], label: str, task: str, kind: str, **params) -> PipelineModel:
-    return Pipeline(stages=list(_stages(features, label, task, kind, params))).fit(df)
+    """Fit on the rows that have every feature and the label."""
+    usable = df.where(complete(features, df) & F.col(label).isNotNull())
+    return Pipeline(stages=list(_stages(features, label, task, kind, params))).fit(usable)
 
 
 def fit_early_stopping(
@@ -44,11 +54,12 @@ def fit_early_stopping(
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Rows with ``prediction`` and, for classifiers, the ``probability`` array."""
-    scored = model.transform(df)
+    """Every row with ``prediction`` and, for classifiers, the ``probability`` array; both NULL where a feature is missing."""
+    whole = complete(model.stages[0].getInputCols(), df)
+    scored = model.transform(df.withColumn("_complete", whole)).withColumn("prediction", F.when(F.col("_complete"), F.col("prediction")))
     if "probability" in scored.columns:
-        scored = scored.withColumn("probability", vector_to_array("probability"))
-    return scored.drop("_features", "rawPrediction")
+        scored = scored.withColumn("probability", F.when(F.col("_complete"), vector_to_array("probability")))
+    return scored.drop("_features", "rawPrediction", "_complete")
 
 
 def tune_learner(
@@ -66,4 +77,4 @@ def tune_learner(
         estimator=Pipeline(stages=[assembler, estimator]), estimatorParamMaps=builder.build(), evaluator=evaluator,
         numFolds=folds, seed=1, foldCol=fold_col, parallelism=2,
     )
-    return validator.fit(df)
+    return validator.fit(df.where(complete(features, df) & F.col(label).isNotNull()))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrid import constants as K
 from lossgrid.functions.columns import age_bucket, age_years, ratio, same_key, short_id
+from lossgrid.operators.predictions import rename_first
+from lossgrid.operators.quality import first_copies, join_with_coverage, mark_first
 
 MONTH = "year_month_date"
 METRICS = ["amount_paid", "nb_claim", "nb_invoice"]
@@ -23,22 +25,14 @@ def subsets(names: list[str]) -> list[list[str]]:
 def active_version(contracts: DataFrame, as_of: str, tiebreak: list[str] | None = None) -> DataFrame:
     """Give the latest version of each (policy, member) an open end at ``as_of``.
 
-    The latest version comes from a partial aggregate and is matched back by an equi-join, so a member with very many
-    versions never sits in one window.
+    Exactly one version is the latest: versions that start on one day are told apart by ``tiebreak`` and then by all
+    other columns, equal rows by chance. A member with very many versions is spread over salted windows.
     """
-    order = ["VersionStartDate", *(tiebreak or [])]
-    latest = contracts.groupBy(*VERSION_KEYS).agg(F.max(F.struct(*order)).alias("_latest"))
-    latest = latest.select(*[F.col(k).alias(f"_{k}") for k in VERSION_KEYS], "_latest")
-    same_member = reduce(lambda a, b: a & b, [same_key(F.col(k), F.col(f"_{k}")) for k in VERSION_KEYS])
-    is_latest = F.struct(*order) == F.col("_latest")
-    return (
-        contracts.join(latest, same_member, "left")
-        .withColumn(
-            "VersionEndDate",
-            F.when(is_latest, F.lit(as_of).cast("date")).otherwise(F.to_date("VersionEndDate")),
-        )
-        .drop("_latest", *[f"_{k}" for k in VERSION_KEYS])
-    )
+    first = ["VersionStartDate", *(tiebreak or [])]
+    rest = [f.name for f in contracts.schema.fields if f.name not in [*first, *VERSION_KEYS] and f.dataType.typeName() != "map"]
+    marked = mark_first(contracts, VERSION_KEYS, [f"`{c}` DESC NULLS LAST" for c in [*first, *rest]], "_latest")
+    end = F.when(F.col("_latest"), F.lit(as_of).cast("date")).otherwise(F.to_date("VersionEndDate"))
+    return marked.withColumn("VersionEndDate", end).drop("_latest")
 
 
 def valid_version(contracts: DataFrame, active: DataFrame, before: str) -> DataFrame:
@@ -145,6 +139,11 @@ def development_coefficients(predictions: DataFrame) -> DataFrame:
     )
 
 
+def one_value(column: Column, message: str) -> Column:
+    """Aggregate: the single value of a group; two different ones raise."""
+    return F.when(F.coalesce(F.min(column) == F.max(column), F.lit(True)), F.max(column)).otherwise(F.raise_error(F.lit(message)))
+
+
 def apply_coefficients(invoices: DataFrame, coefficients: DataFrame, segments: list) -> DataFrame:
     """Scale the monthly metrics by the coefficient of their segment and month, keeping unmatched rows of both sides.
 
@@ -157,7 +156,7 @@ def apply_coefficients(invoices: DataFrame, coefficients: DataFrame, segments: l
     wide = (
         coefficients.withColumnRenamed("treatment_date", MONTH)
         .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("target") == t, F.col(coef))).alias(coef) for t, (coef, _) in COEFFICIENTS.items()])
+        .agg(*[one_value(F.when(F.col("target") == t, F.col(coef)), f"two values of {coef} for one key").alias(coef) for t, (coef, _) in COEFFICIENTS.items()])
     )
     joined = invoices.join(wide, keys, "full_outer")
     return joined.withColumns(
@@ -245,10 +244,17 @@ def cluster_series(portfolio: DataFrame, clusters: DataFrame) -> DataFrame:
     return add_ratios(members.join(claims, ["cluster_id", MONTH], "left").fillna(0, subset=METRICS))
 
 
+# Names the month of the regressors may arrive under.
+REGRESSOR_MONTH = {MONTH: ["YearMonthDate", "year_month", "ds"]}
+
+
 def add_regressors(series: DataFrame, regressors: DataFrame, training_begin: str) -> DataFrame:
-    """Cluster series from the begin of training with the regressors of their month."""
+    """Cluster series from the begin of training with the regressors of their month.
+
+    Regressors keep the first copy of a month. A month of the series without regressors raises: no row is lost.
+    """
     kept = series.where(F.col(MONTH) >= F.lit(training_begin).cast("date"))
-    return kept.join(regressors.withColumnRenamed("YearMonthDate", MONTH), MONTH)
+    return join_with_coverage(kept, first_copies(rename_first(regressors, REGRESSOR_MONTH), [MONTH]), [MONTH])
 
 
 def model_grid(clusters: DataFrame) -> DataFrame:

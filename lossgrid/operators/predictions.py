@@ -7,18 +7,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lossgrid import constants as K
 from lossgrid.functions.columns import normalise_target, ratio
 
+# Age at which a prediction is stale, and the keys over which targets are coalesced.
 STALE_HOURS = 8
 COALESCE_KEYS = ["experiment_without_target", "segment_key"]
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The greatest row of each key by ``order`` and then by all other columns.
+    """The greatest row of each key by ``order`` and then by all other columns that have an order.
 
-    A partial maximum runs before the shuffle, so a key with a large share of the rows sends one row per task.
+    Spark keeps the first row per key of every task before it shuffles (window group limit), so a key with a large
+    share of the rows sends one row per task. Maps may be among the columns; they do not take part in the order.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max(F.struct(F.struct(*order).alias("_order"), F.struct(*rest).alias("_row"))).alias("_best"))
-    return best.select(*keys, "_best._row.*").select(*df.columns)
+    rest = [F.col(f.name).desc_nulls_last() for f in df.schema.fields if f.name not in keys and "map<" not in f.dataType.simpleString()]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order], *rest))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def latest_predictions(payload: DataFrame, keys: list[str], targets: list[str] = K.TARGETS) -> DataFrame:

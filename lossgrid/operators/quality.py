@@ -17,24 +17,30 @@ def flag_names(keys: list[str]) -> dict[str, str]:
     return names
 
 
-def add_dq_flags(df: DataFrame, keys: list[str], salts: int | None = None) -> DataFrame:
-    """Flag NULL keys and every copy of a key but the first one, ordered by all other columns.
+def mark_first(df: DataFrame, keys: list[str], order: list[str], name: str, salts: int | None = None) -> DataFrame:
+    """Add ``name``: true for exactly one row per key, the first by the SQL terms ``order``.
 
-    The copies of one key can be a large share of the table, so they are numbered in two rounds: first
+    The rows of one key can be a large share of the table, so they are numbered in two rounds: first
     inside (key, salt), then only the local winners of a key meet. Losers keep their salt in the second
     round, which keeps hot keys spread there too.
     """
     salts = salts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    key_list = ", ".join(f"`{k}`" for k in keys)
-    order = ", ".join(f"`{c}` ASC NULLS FIRST" for c in df.columns if c not in keys) or "1"
+    key_list, terms = ", ".join(f"`{k}`" for k in keys), ", ".join(order) or "1"
     numbered = (
         df.withColumn("_salt", F.spark_partition_id() % salts)
-        .selectExpr("*", f"row_number() OVER (PARTITION BY {key_list}, _salt ORDER BY {order}) AS _local")
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {key_list}, _salt ORDER BY {terms}) AS _local")
         .withColumn("_round", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_salt")))
-        .selectExpr("*", f"row_number() OVER (PARTITION BY {key_list}, _round ORDER BY {order}) AS _final")
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {key_list}, _round ORDER BY {terms}) AS _final")
     )
+    return numbered.select(*df.columns, ((F.col("_local") == 1) & (F.col("_final") == 1)).alias(name))
+
+
+def add_dq_flags(df: DataFrame, keys: list[str], salts: int | None = None) -> DataFrame:
+    """Flag NULL keys and every copy of a key but the first one, ordered by all other columns."""
+    order = [f"`{c}` ASC NULLS FIRST" for c in df.columns if c not in keys]
+    numbered = mark_first(df, keys, order, "_first", salts)
     null_flags = {f"{key}_null_dq_flag": F.col(key).isNull() for key in keys}
-    repeated = (F.col("_local") > 1) | (F.col("_final") > 1)
+    repeated = ~F.col("_first")
     any_flag = reduce(lambda a, b: a | b, null_flags.values(), repeated)
     return numbered.select(
         *df.columns, *[c.alias(n) for n, c in null_flags.items()], repeated.alias(DUPLICATE_FLAG), (~any_flag).alias(VALID_COL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -121,7 +122,12 @@ def smote(df: DataFrame, features: list[str], label: str, minority, keys: list[s
     Row i of the extra rows starts at a minority row, picks one of its k nearest neighbours and lies at a random point between.
     Copies of a point count as neighbours at distance zero. All choices are hashes of the row's keys, so a replay gives the same rows.
     """
-    sizes = df.agg(F.count_if(F.col(label) == minority).alias("few"), F.count_if(F.col(label) != minority).alias("many")).first()
+    numbers = [F.col(c).cast("double") for c in features]
+    unknown = reduce(lambda a, b: a | b, [x.isNull() | F.isnan(x) for x in numbers])
+    few_rows = F.col(label) == minority
+    sizes = df.agg(F.count_if(few_rows).alias("few"), F.count_if(~few_rows).alias("many"), F.count_if(few_rows & unknown).alias("unknown")).first()
+    if sizes["unknown"]:
+        raise ValueError(f"{sizes['unknown']} minority rows have a missing feature: impute first")
     missing = sizes["many"] - sizes["few"]
     if sizes["few"] <= k:
         raise ValueError(f"{k} neighbours need more than {k} minority rows")

@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrid.operators.order_stats import even_knots, exact_percentiles, running_totals
 
-MAX_CATEGORIES = 10_000
-
-
 @dataclass(frozen=True)
 class Fitted:
     """Fitted transformer: output columns per input column, and the inverse where there is one."""
@@ -29,8 +26,15 @@ class Fitted:
         return df.withColumn(column, self.inverse[fitted_as or column](F.col(column)))
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN as NULL, so that fits leave it out."""
+    x = F.col(column)
+    return F.when(~F.isnan(x), x) if df.schema[column].dataType.typeName() in ("float", "double") else x
+
+
 def _affine(shifts: dict[str, float], scales: dict[str, float]) -> Fitted:
     scales = {c: 1.0 if not scales[c] else float(scales[c]) for c in scales}
+    shifts = {c: 0.0 if shifts[c] is None else shifts[c] for c in shifts}  # a column of NULLs stays one
     return Fitted(
         {c: (lambda x, s=float(shifts[c]), w=scales[c]: (x - F.lit(s)) / F.lit(w)) for c in shifts},
         {c: (lambda x, s=float(shifts[c]), w=scales[c]: x * F.lit(w) + F.lit(s)) for c in shifts},
@@ -38,24 +42,24 @@ def _affine(shifts: dict[str, float], scales: dict[str, float]) -> Fitted:
 
 
 def fit_min_max(df: DataFrame, columns: list[str]) -> Fitted:
-    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    return _affine({c: row[f"lo_{c}"] for c in columns}, {c: row[f"hi_{c}"] - row[f"lo_{c}"] for c in columns})
+    row = df.agg(*[f(known(df, c)).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    return _affine({c: row[f"lo_{c}"] for c in columns}, {c: (row[f"hi_{c}"] or 0) - (row[f"lo_{c}"] or 0) for c in columns})
 
 
 def fit_standard(df: DataFrame, columns: list[str]) -> Fitted:
-    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev_pop))]).first()
+    row = df.agg(*[f(known(df, c)).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev_pop))]).first()
     return _affine({c: row[f"mean_{c}"] for c in columns}, {c: row[f"sd_{c}"] for c in columns})
 
 
 def percentile_rows(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float]]:
     """Exact percentiles of every column, one small row per column."""
     found = exact_percentiles(df, columns, probabilities).collect()
-    return {r["feature"]: [r[f"p{i}"] for i in range(len(probabilities))] for r in found}
+    return dict.fromkeys(columns, [None] * len(probabilities)) | {r["feature"]: [r[f"p{i}"] for i in range(len(probabilities))] for r in found}
 
 
 def fit_robust(df: DataFrame, columns: list[str]) -> Fitted:
     points = percentile_rows(df, columns, [0.25, 0.5, 0.75])
-    return _affine({c: points[c][1] for c in columns}, {c: points[c][2] - points[c][0] for c in columns})
+    return _affine({c: points[c][1] for c in columns}, {c: (points[c][2] or 0) - (points[c][0] or 0) for c in columns})
 
 
 def segment_robust_scales(df: DataFrame, columns: list[str], segments: list[str]) -> DataFrame:
@@ -88,15 +92,24 @@ def _quantile_map(knots: list[float], levels: list[float]) -> Callable[[Column],
 
 
 def categories(df: DataFrame, column: str) -> list:
-    """Sorted categories; they become output columns or literals, so their number is checked."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return sorted(r[0] for r in found)
+    """Sorted categories, one value each: they become the names of output columns."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+
+
+def one_hot_vector(df: DataFrame, column: str) -> DataFrame:
+    """``column_size`` and ``column_index``: length of the indicator vector and the place of its single 1, for any number of categories.
+
+    NULL has no place. This is the sparse form of ``one_hot``; nothing but two numbers per row is built.
+    """
+    codes = ordinal_codes(df, column).where(F.col(column).isNotNull())
+    first = codes.agg(F.min("code")).scalar()
+    size = codes.agg(F.count("*")).scalar()
+    placed = df.join(codes, column, "left").withColumn(f"{column}_index", (F.col("code") - first).cast("bigint"))
+    return placed.drop("code").withColumn(f"{column}_size", size)
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None) -> DataFrame:
-    """Indicator column per category."""
+    """Indicator column per category; for columns with very many categories there is ``one_hot_vector``."""
     values = categories(df, column) if values is None else values
     return df.select("*", *[(F.col(column) == v).cast("int").alias(f"{column}_{v}") for v in values])
 
@@ -113,23 +126,24 @@ def ordinal(df: DataFrame, column: str) -> DataFrame:
 
 
 def fit_impute(df: DataFrame, columns: list[str], strategy: str, constant=None) -> Fitted:
-    """Fill NULLs with the mean, median, most frequent (smallest on ties) or a constant value."""
+    """Fill NULLs and NaN with the mean, median, most frequent (smallest on ties) or a constant value."""
     if strategy == "constant":
         values = dict.fromkeys(columns, constant)
     elif strategy == "mean":
-        row = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+        row = df.agg(*[F.avg(known(df, c)).alias(c) for c in columns]).first()
         values = row.asDict()
     elif strategy == "median":
         values = {c: p[0] for c, p in percentile_rows(df, columns, [0.5]).items()}
     elif strategy == "most_frequent":
-        values = {c: most_frequent(df, c).first()[c] for c in columns}
+        values = {c: (most_frequent(df, c).first() or {c: None})[c] for c in columns}
     else:
         raise ValueError(f"unknown strategy {strategy}")
-    return Fitted({c: (lambda x, v=values[c]: F.coalesce(x, F.lit(v))) for c in columns})
+    floating = {c for c in columns if df.schema[c].dataType.typeName() in ("float", "double")}
+    return Fitted({c: (lambda x, v=values[c], f=c in floating: F.coalesce(F.nanvl(x, F.lit(None).cast("double")) if f else x, F.lit(v))) for c in columns})
 
 
 def most_frequent(df: DataFrame, column: str) -> DataFrame:
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    counts = df.where(known(df, column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(column)).limit(1)
 
 
@@ -146,16 +160,22 @@ def fit_clip(
         bounds = {c: tuple(p) for c, p in percentile_rows(df, columns, levels).items()}
     elif strategy == "median_range":
         points = percentile_rows(df, columns, [0.0, 0.5, 1.0])
-        bounds = {c: (m - (hi - lo) / 2, m + (hi - lo) / 2) for c, (lo, m, hi) in points.items()}
+        bounds = {c: (None, None) if m is None else (m - (hi - lo) / 2, m + (hi - lo) / 2) for c, (lo, m, hi) in points.items()}
     elif strategy == "fixed_values":
         bounds = dict.fromkeys(columns, (float("-inf") if lower is None else lower, float("inf") if upper is None else upper))
     else:
         raise ValueError(f"unknown strategy {strategy}")
     return Fitted(
-        {c: (lambda x, b=bounds[c]: F.when(x.isNotNull(), F.greatest(F.least(x, F.lit(b[1])), F.lit(b[0])))) for c in columns}
+        {c: (lambda x, b=bounds[c]: _clipped(x, *b)) for c in columns}
     )
 
 
+def _clipped(x: Column, low: float | None, high: float | None) -> Column:
+    """NULL and NaN stay; a bound that is NULL, of a column without values, does not clip."""
+    inside = F.greatest(F.least(x, F.lit(high).cast("double")), F.lit(low).cast("double"))
+    return F.when(x.isNull() | F.isnan(x.cast("double")), x).otherwise(inside)
+
+
 Fit = Callable[[DataFrame, list[str]], Fitted]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrid import constants as K
+from lossgrid.session import materialise
 from lossgrid.functions.columns import months_since
 
 MEASURES = ["amount", "nb_claim", "nb_invoice"]
@@ -60,6 +61,7 @@ def cumulative_cells(
         .groupBy("view", occurrence, *segments, "lag")
         .agg(F.sum("amount").alias("amount"), *counted.values())
     )
+    increments = materialise(increments)  # read for the cells and for the lags that occur
     # at most one cell per lag of the runoff, so the map is bounded by max_lag + 1 entries
     packed = increments.groupBy("view", occurrence, *segments).agg(
         F.map_from_entries(F.collect_list(F.struct("lag", F.struct(*MEASURES)))).alias("cells")
@@ -76,13 +78,11 @@ def cumulative_cells(
         occurrence,
         *segments,
         "lag",
-        F.col("cell").isNotNull().alias("_occurs"),
         *[F.sum(value[m]).over(so_far).alias(f"cumulative_{m}") for m in MEASURES],
         *[F.sum(value[m]).over(row).alias(f"ultimate_{m}") for m in MEASURES],
     )
-    # the grid holds the lags that occur anywhere in the view
-    by_lag = Window.partitionBy("view", "lag")
-    return totals.withColumn("_occurs", F.max("_occurs").over(by_lag)).where("_occurs").drop("_occurs")
+    # the grid holds the lags that occur anywhere in the view: at most max_lag + 1 rows per view
+    return totals.join(increments.select("view", "lag").distinct(), ["view", "lag"], "left_semi")
 
 
 def loss_triangle(

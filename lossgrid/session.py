@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +22,29 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings above; cluster sizing stays with the cluster."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark application.
+
+    The zip is made beside the driver and handed over by Spark's own file service, so no shared folder is needed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_lossgrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="lossgrid-"), "lossgrid.zip")
+    with zipfile.ZipFile(target, "w") as packed:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                packed.write(full, os.path.join("lossgrid", os.path.relpath(full, root)))
+    context.addPyFile(target)
+    context._lossgrid_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: ``spark.checkpoint.dir``, or a folder of the configured warehouse."""
     context = spark.sparkContext

@@ -47,8 +47,8 @@ STATEMENTS = {
                CAST('1930-01-01' AS DATE) + CAST((c_custkey * 7919) % 25000 AS INT) AS DateOfBirth
         FROM {customer}""",
     "geography": """
-        SELECT concat('N', CAST(n_nationkey AS STRING)) AS PostCode, r_name AS UkRegion
-        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey <> 24""",
+        SELECT concat(CASE WHEN n_nationkey = 24 THEN 'X' ELSE 'N' END, CAST(n_nationkey AS STRING)) AS PostCode, r_name AS UkRegion
+        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "preauthbase": """
         SELECT o_orderkey AS PreAuthTreatmentKey, 0 AS PreAuthTreatmentHistoryKey, o_orderkey AS ClaimKey,
                CASE WHEN o_orderkey % 3 = 0 THEN 'A' WHEN o_orderkey % 3 = 1 THEN 'N' ELSE 'R' END AS SystemId,
@@ -105,16 +105,15 @@ STATEMENTS = {
                CASE target WHEN 'ultimate_amount_paid' THEN cumulative_amount_paid WHEN 'ultimate_nb_claim_paid' THEN cumulative_nb_claim_paid
                     ELSE cumulative_nb_invoice_paid END * (1 + CAST(lag AS DOUBLE) / 8) AS prediction,
                CASE run WHEN 0 THEN TIMESTAMP '2001-08-10 01:30:00' WHEN 1 THEN TIMESTAMP '2001-08-10 06:00:00' ELSE TIMESTAMP '2001-08-10 09:45:00' END AS ts,
-               lag <> 11 AS is_inference, TRUE AS ibnr_standalone, experiment = 'e0' AS ibnr_inflation
+               lag <> 11 AS is_inference, TRUE AS ibnr_standalone, experiment LIKE 'e0%' AS ibnr_inflation
         FROM (SELECT CASE (o_custkey % 97) % 5 WHEN 0 THEN 'Employee (LC)' WHEN 1 THEN 'Employee (SME)' WHEN 2 THEN 'Individual' WHEN 3 THEN 'Trust' ELSE 'Other' END AS PolicySubType,
                      p_type AS icd, CAST(date_trunc('month', o_orderdate) AS DATE) AS treatment_date,
-                     (2001 - year(o_orderdate)) * 12 + 7 - month(o_orderdate) AS lag,
-                     concat('e', CAST(l_suppkey % 2 AS STRING)) AS experiment,
+                     (19 - month(o_orderdate)) % 12 AS lag,
+                     concat('e', CAST(l_suppkey % 2 AS STRING), 'w', CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) > 7 THEN 1 ELSE 0 END AS STRING)) AS experiment,
                      CASE l_linenumber % 3 WHEN 0 THEN 'ultimate_amount_paid' WHEN 1 THEN 'ultimate_nb_claim_paid' ELSE 'ultimate_nb_invoice_paid' END AS target,
                      l_partkey % 3 AS run, sum(l_extendedprice) AS cumulative_amount_paid,
                      count(DISTINCT l_orderkey) AS cumulative_nb_claim_paid, count(*) AS cumulative_nb_invoice_paid
               FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
-              WHERE o_orderdate >= DATE '2000-08-01' AND o_orderdate < DATE '2001-08-01'
               GROUP BY 1, 2, 3, 4, 5, 6, 7) x""",
     "forecast_payload": """
         SELECT concat('inflation_', target, '_', scenario) AS model_name, target, scenario AS origin, cluster_id, year_month_date,
@@ -139,14 +138,8 @@ def table_names(statement: str) -> list[str]:
 
 @lru_cache(maxsize=64)
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Input table; the lazy frame is kept so that one run lists its files once.
-
-    A table of several splits but fewer than the cores is one unsplittable row group: it is dealt over the cores
-    by its first column. Tables of many files are read as they are.
-    """
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores, table.columns[0]) if 1 < table.rdd.getNumPartitions() < cores else table
+    """Input table; the lazy frame is kept so that one run lists its files once."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def run_sql(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
