@@ -6,7 +6,7 @@ import operator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lossgrid.functions.columns import ratio
+from lossgrid.functions.columns import probability_map, ratio
 from lossgrid.operators.order_stats import running_totals
 
 HIGHER_IS_BETTER = {
@@ -147,6 +147,11 @@ def with_probabilities(df: DataFrame, classes: list[str], columns: list[str]) ->
     return df.withColumn("prediction", label).withColumn("prediction_proba", probabilities).withColumn("proba_json", F.to_json("prediction_proba"))
 
 
+def parsed_probabilities(df: DataFrame, column: str) -> DataFrame:
+    """Rows with ``prediction_proba`` as a map, whatever form ``column`` has."""
+    return df.withColumn("prediction_proba", probability_map(F.col(column), df.schema[column].dataType.simpleString()))
+
+
 def baseline_table(scored: DataFrame, label: str, model_id: str, label_type: str) -> DataFrame:
     """Test predictions with label and model id, the probability text parsed to a map."""
     return scored.where(F.col("split_name") == "test").select(

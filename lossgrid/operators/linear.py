@@ -92,12 +92,18 @@ def unseen_segments(df: DataFrame, models: DataFrame, segments: list[str]) -> Da
 
 
 def segment_predict(df: DataFrame, models: DataFrame, segments: list[str], features: list[str], check: bool = True) -> DataFrame:
-    """Predict every row with the model of its segment; a segment without a model raises."""
+    """Predict every row with the model of its segment; a segment without a model raises when the rows are read.
+
+    The check is part of the same pass. A segment with a large share of the rows is split by Spark's skew handling of the
+    join, as only the few models are on the other side.
+    """
+    joined = with_models(df, models, segments, ["coef"])
+    value = dot(features)
     if check:
-        unknown = unseen_segments(df, models, segments).limit(5).collect()
-        if unknown:
-            raise ValueError(f"segments without a model, for example {[tuple(r) for r in unknown]}")
-    return with_models(df, models, segments, ["coef"]).withColumn("prediction", dot(features)).drop("coef")
+        names = F.concat_ws(", ", *[F.col(s).cast("string") for s in segments])
+        missing = F.raise_error(F.concat(F.lit("no model for segment "), names))
+        value = F.when(F.col("coef").isNull(), missing).otherwise(value)
+    return joined.withColumn("prediction", value).drop("coef")
 
 
 def segment_config(segment_rows: DataFrame, configs: DataFrame, segments: list[str], default: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact ranks, running totals and percentiles that never sort one whole group in one task.
 
-A window ordered over a group needs that group in a single task. Here equal values are
-merged first, then each group is cut into buckets at approximate quantiles. Only bucket totals and single
-buckets are ordered, so the cuts decide the balance and never the result.
+A window ordered over a group needs that group in a single task. Here equal values are merged first and dealt
+over ranges of (group, value), so a large group is cut into many buckets and small groups share one. Only bucket
+totals and single buckets are ordered; where the cuts fall never shows in the result.
 """
 
 from __future__ import annotations
@@ -11,67 +11,27 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from lossgrid.functions.columns import same_key
 from lossgrid.session import materialise
 
 
-def _cut_position(df: DataFrame, value: str) -> Column:
-    """Number that never decreases with the value: strings are represented by their first seven bytes."""
-    kind = df.schema[value].dataType
-    if isinstance(kind, DateType):
-        return F.datediff(F.col(value), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.col(value).cast("timestamp").cast("double")
-    if isinstance(kind, StringType):
-        head = F.hex(F.substring(F.encode(F.col(value), "UTF-8"), 1, 7))
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("double")
-    return F.col(value).cast("double")
-
-
-def _bucket_of(position: Column, cuts: Column, buckets: int) -> Column:
-    """Number of sorted cuts below the position, by binary search."""
-    steps = [1 << i for i in range(buckets.bit_length() - 1, -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(F.try_element_at(cuts, found + step) < position, found + step).otherwise(found),
-    )
-
-
 def running_totals(
     df: DataFrame,
     value: str,
     totals: dict[str, Column],
     by: list[str] | None = None,
-    buckets: int | None = None,
     ranks: Callable[[Column], list[Column]] | None = None,
 ) -> DataFrame:
     """One row per (by, value) with each total, ``<total>_before`` over smaller values and ``<total>_all``.
 
-    The merged values feed the cuts, the bucket totals and the result, so they are written once. With ``ranks``,
+    The merged values feed the bucket totals and the result, so they are written once. With ``ranks``,
     a function from the number of rows ``n`` to the ranks of interest, only buckets that hold one are ordered.
     """
     by = list(by or [])
     names = list(totals)
-    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = materialise(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(*[expr.alias(name) for name, expr in totals.items()])
-        .withColumn("_pos", _cut_position(df, value))
-    )
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = merged.groupBy(*by).agg(F.percentile_approx("_pos", probabilities, 20 * buckets).alias("_cuts"))
-    if by:
-        cuts = cuts.select(*[F.col(c).alias(f"_cut_{c}") for c in by], "_cuts")
-        condition = reduce(lambda a, b: a & b, [same_key(F.col(c), F.col(f"_cut_{c}")) for c in by])
-        placed = merged.join(cuts, condition).drop(*[f"_cut_{c}" for c in by])
-    else:
-        points = cuts.first()["_cuts"] or []
-        placed = merged.withColumn("_cuts", F.array(*[F.lit(p) for p in points]).cast("array<double>"))
-    placed = placed.select(*by, value, *names, _bucket_of(F.col("_pos"), F.col("_cuts"), buckets).alias("_bucket"))
+    merged = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(*[expr.alias(name) for name, expr in totals.items()])
+    placed = materialise(merged.repartitionByRange(*by, value).withColumn("_bucket", F.spark_partition_id()))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bucket_totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in names])

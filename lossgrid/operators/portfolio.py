@@ -11,6 +11,7 @@ from lossgrid import constants as K
 from lossgrid.functions.columns import age_bucket, age_years, ratio, same_key, short_id
 from lossgrid.operators.predictions import rename_first
 from lossgrid.operators.quality import first_copies, join_with_coverage, mark_first
+from lossgrid.session import materialise
 
 MONTH = "year_month_date"
 METRICS = ["amount_paid", "nb_claim", "nb_invoice"]
@@ -93,9 +94,14 @@ def census_cube(members: DataFrame) -> DataFrame:
     )
 
 
-def grouping_sets_total(df: DataFrame, fixed: list[str], dims: list[str], aggregates: dict[str, Column]) -> DataFrame:
-    """Additive aggregates for every subset of ``dims`` in one scan; removed dimensions are NULL, ``dims_kept`` names the subset."""
-    sets = [[*fixed, *kept] for kept in subsets(dims)]
+def grouping_sets_total(
+    df: DataFrame, fixed: list[str], dims: list[str], aggregates: dict[str, Column], kept_dims: list[list[str]] | None = None
+) -> DataFrame:
+    """Additive aggregates for every subset of ``dims``, or for those in ``kept_dims``, in one scan.
+
+    Removed dimensions are NULL, ``dims_kept`` names the subset.
+    """
+    sets = [[*fixed, *kept] for kept in (subsets(dims) if kept_dims is None else kept_dims)]
     code = reduce(lambda a, b: a + b, [(1 - F.grouping(d).cast("int")) * (1 << i) for i, d in enumerate(dims)])
     grouped = df.groupingSets(sets, *fixed, *dims)
     return grouped.agg(code.alias("dims_kept"), *[expr.alias(name) for name, expr in aggregates.items()])
@@ -164,15 +170,27 @@ def apply_coefficients(invoices: DataFrame, coefficients: DataFrame, segments: l
     )
 
 
-def all_combinations(left: DataFrame, right: DataFrame, parts: int = 16) -> DataFrame:
-    """Every row of ``left`` with every row of ``right``, as an equi-join on a part number.
+#: Rows of the smaller side of a product that every task may hold.
+PRODUCT_ROWS = 20_000
+
+
+def all_combinations(left: DataFrame, right: DataFrame, rows: int = PRODUCT_ROWS) -> DataFrame:
+    """Every row of ``left`` with every row of ``right``, the side with few rows.
 
-    The right rows are dealt over the parts and each left row visits every part: Spark may broadcast a right side it
-    measures as small, and otherwise the shuffle spreads over the parts.
+    ``right`` is written and counted. Up to ``rows`` of it go to every task beside the left rows, which then stay where
+    they are. More of it is dealt over as many parts as its number asks for, and the left rows over slices, as an
+    equi-join on (part, slice).
     """
+    right = materialise(right)
+    count = right.count()
+    if count <= rows:
+        return left.withColumn("_part", F.lit(0)).join(F.broadcast(right.withColumn("_part", F.lit(0))), "_part").drop("_part")
+    parts, slices = -(-count // rows), int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = right.withColumn("_part", F.pmod(F.xxhash64(*right.columns), F.lit(parts)).cast("int"))
-    visiting = left.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return visiting.join(dealt, "_part").drop("_part")
+    dealt = dealt.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    visiting = left.withColumn("_slice", F.pmod(F.xxhash64(*left.columns), F.lit(slices)).cast("int"))
+    visiting = visiting.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return visiting.join(dealt, ["_part", "_slice"]).drop("_part", "_slice")
 
 
 def dense_portfolio(census: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -207,40 +225,63 @@ def _same_dims(left: str, dims: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [same_key(F.col(d), F.col(f"{left}{d}")) for d in dims])
 
 
-def cluster_claims(portfolio: DataFrame, clusters: DataFrame, dims: list[str]) -> DataFrame:
-    """Claims per cluster and month.
+def _fixed_dims(clusters: DataFrame, dims: list[str]) -> list[list[str]]:
+    """Which dimensions the clusters fix: at most 2 to the number of dimensions lists."""
+    found = clusters.select(*[F.col(d).isNotNull().alias(d) for d in dims]).distinct().collect()
+    return [[d for d in dims if r[d]] for r in found]
+
+
+def _with_known_pairs(clusters: DataFrame, invoices: DataFrame, invoice_dims: list[str]) -> DataFrame:
+    """The cluster rows whose invoice dimensions occur in the invoices of any month."""
+    pairs = invoices.select(*K.INVOICE_DIMS).distinct()
+    if not invoice_dims:
+        return clusters.join(pairs.limit(1).select(), F.lit(True), "left_semi")
+    present = grouping_sets_total(pairs, [], invoice_dims, {"n": F.count("*")}, _fixed_dims(clusters, invoice_dims))
+    return clusters.join(present.select(*[F.col(d).alias(f"_{d}") for d in invoice_dims]), _same_dims("_", invoice_dims), "left_semi")
+
 
-    The fully detailed rows are totalled for every subset of the dimensions, so a cluster finds its total by an
-    equi-join on the dimensions it fixes instead of testing every fact against every cluster.
+def cluster_claims(census: DataFrame, invoices: DataFrame, clusters: DataFrame, dims: list[str], silent: bool = True) -> DataFrame:
+    """Claims per cluster and month, of the invoice months whose members the census has.
+
+    With ``silent``, months with members of the cluster and without claims have zeros.
+
+    They are totalled for the sets of dimensions that clusters fix, so a cluster finds its total by an equi-join on
+    these instead of testing every fact against every cluster.
     """
     detailed = reduce(lambda a, b: a & b, [F.col(d) != K.ANY for d in K.CONTRACT_DIMS])
-    totals = grouping_sets_total(portfolio.where(detailed), [MONTH], dims, {m: F.sum(m) for m in METRICS})
+    cell = [MONTH, *K.CONTRACT_DIMS]
+    facts = invoices.dropna(subset=K.INVOICE_DIMS).join(census.where(detailed).select(*cell), cell, "left_semi")
+    sums = {m: F.sum(F.coalesce(F.col(m), F.lit(0))) for m in METRICS}
+    totals = grouping_sets_total(facts, [MONTH], dims, sums, _fixed_dims(clusters, dims))
     keyed = clusters.select("cluster_id", *[F.col(d).alias(f"_{d}") for d in dims])
-    return totals.join(keyed, _same_dims("_", dims)).groupBy("cluster_id", MONTH).agg(*[F.sum(m).alias(m) for m in METRICS])
+    claims = totals.join(keyed, _same_dims("_", dims)).groupBy("cluster_id", MONTH).agg(*[F.sum(m).alias(m) for m in METRICS])
+    if not silent:
+        return claims
+    contract_dims = [d for d in dims if d in K.CONTRACT_DIMS]
+    cells = grouping_sets_total(census.where(detailed), [MONTH], contract_dims, {"n": F.count("*")}, _fixed_dims(clusters, contract_dims))
+    known = _with_known_pairs(clusters, invoices, [d for d in dims if d in K.INVOICE_DIMS])
+    known = known.select("cluster_id", *[F.col(d).alias(f"_{d}") for d in contract_dims])
+    months = cells.join(known, _same_dims("_", contract_dims)).select("cluster_id", MONTH).distinct()
+    return months.join(claims, ["cluster_id", MONTH], "left").fillna(0, subset=METRICS)
 
 
-def cluster_members(portfolio: DataFrame, clusters: DataFrame, invoice_dims: list[str]) -> DataFrame:
-    """Members per cluster and month, from the census row that fixes what the cluster fixes and nothing else."""
-    counts = grouping_sets_total(
-        portfolio, [MONTH, *K.CONTRACT_DIMS], invoice_dims, {"nb_member": F.max("nb_member")}
-    ) if invoice_dims else portfolio.groupBy(MONTH, *K.CONTRACT_DIMS).agg(F.max("nb_member").alias("nb_member"))
-    wanted = clusters.select(
-        "cluster_id",
-        *[F.coalesce(F.col(d), F.lit(K.ANY)).alias(f"_{d}") for d in K.CONTRACT_DIMS],
-        *[F.col(d).alias(f"_{d}") for d in invoice_dims],
-    ).distinct()
-    matched = counts.join(wanted, _same_dims("_", [*K.CONTRACT_DIMS, *invoice_dims]))
-    # a cluster that fixes several invoice values sees the same census row once per value
-    one_each = matched.groupBy("cluster_id", MONTH, *K.CONTRACT_DIMS).agg(F.max("nb_member").alias("nb_member"))
-    return one_each.groupBy("cluster_id", MONTH).agg(F.sum("nb_member").alias("nb_member"))
+def cluster_members(census: DataFrame, invoices: DataFrame, clusters: DataFrame, invoice_dims: list[str]) -> DataFrame:
+    """Members per cluster and month, from the census row that fixes what the cluster fixes and nothing else.
+
+    A cluster row counts only if invoices with the invoice dimensions it fixes exist in any month.
+    """
+    known = _with_known_pairs(clusters, invoices, invoice_dims)
+    wanted = known.select("cluster_id", *[F.coalesce(F.col(d), F.lit(K.ANY)).alias(f"_{d}") for d in K.CONTRACT_DIMS]).distinct()
+    matched = census.join(wanted, _same_dims("_", K.CONTRACT_DIMS))
+    return matched.groupBy("cluster_id", MONTH).agg(F.sum("nb_member").alias("nb_member"))
 
 
-def cluster_series(portfolio: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Monthly claims, members and ratios of all clusters in one pass."""
+def cluster_series(census: DataFrame, invoices: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Monthly claims, members and ratios of all clusters, from the census cube and the invoice months; no grid is built."""
     wanted = cluster_dims(clusters)
     used = [d for d in K.ALL_DIMS if d in clusters.columns]
-    members = cluster_members(portfolio, wanted, [d for d in K.INVOICE_DIMS if d in used])
-    claims = cluster_claims(portfolio, wanted, used)
+    members = cluster_members(census, invoices, wanted, [d for d in K.INVOICE_DIMS if d in used])
+    claims = cluster_claims(census, invoices, wanted, used, silent=False)
     return add_ratios(members.join(claims, ["cluster_id", MONTH], "left").fillna(0, subset=METRICS))
 
 

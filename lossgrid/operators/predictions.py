@@ -32,6 +32,21 @@ def latest_predictions(payload: DataFrame, keys: list[str], targets: list[str] =
     ).drop("prediction")
 
 
+def latest_by_model(payload: DataFrame, models: DataFrame, key_columns: list[str]) -> DataFrame:
+    """Latest inference row per model and key, where each model names its own keys.
+
+    ``models`` has model_name, ``prediction_keys`` (an array of names out of ``key_columns``) and what is known of the
+    model, such as target, run flags and config; its columns replace those of the payload. Payload rows of models it does
+    not name are left out. Key columns the payload lacks are NULL.
+    """
+    known = [c for c in models.columns if c != "model_name"]
+    rows = ensure_columns(payload.where("is_inference").drop(*known), dict.fromkeys(key_columns, "string"))
+    joined = rows.join(models, "model_name")
+    own = {f"_key_{c}": F.when(F.array_contains("prediction_keys", c), F.col(c).cast("string")) for c in key_columns}
+    latest = latest_per_key(joined.withColumns(own), ["model_name", *own], [F.col("ts")])
+    return latest.drop(*own)
+
+
 def drop_stale(df: DataFrame, hours: int = STALE_HOURS) -> DataFrame:
     """Rows less than ``hours`` older than the newest row; the newest time is a scalar, not a window over all rows."""
     newest = df.agg(F.max("ts").alias("ts")).scalar()

@@ -68,6 +68,7 @@ def huber_fit(
 ) -> DataFrame:
     """Huber regression per segment on robust-scaled columns, by reweighted sums of products.
 
+    ``rounds`` and ``converged`` tell per segment whether the last round still moved its coefficients.
     Each round is one aggregate over the scaled rows and a small solve; the scaled rows and the models of
     each round are written to the shared folder, so a lost executor replays one round only.
     """
@@ -75,7 +76,8 @@ def huber_fit(
     scaled, scales = _scaled(rows, features, target, segments)
     scaled, scales = materialise(scaled), materialise(scales)
     models = materialise(linear.segment_fit(scaled, segments, features, target, alpha))
-    for _ in range(rounds):
+    used = 0
+    for used in range(1, rounds + 1):
         error = F.abs(F.col(target) - linear.dot(features))
         weight = F.when(error <= delta, 1.0).otherwise(F.lit(delta) / error)
         weighted = linear.with_models(scaled, models, segments, ["coef"], "inner").withColumn("_weight", weight)
@@ -87,7 +89,11 @@ def huber_fit(
         models = materialise(solved.withColumn("step", step).drop("_old"))
         if (models.agg(F.max("step")).first()[0] or 0.0) < tolerance:
             break
-    return linear.with_models(models.drop("step"), scales, segments, ["scales"], "inner")
+    if used:
+        models = models.withColumn("converged", F.coalesce(F.col("step") < tolerance, F.lit(True))).drop("step")
+    else:
+        models = models.withColumn("converged", F.lit(False))
+    return linear.with_models(models.withColumn("rounds", F.lit(used)), scales, segments, ["scales"], "inner")
 
 
 def huber_predict(df: DataFrame, models: DataFrame, features: list[str], target: str, segments: list[str]) -> DataFrame:

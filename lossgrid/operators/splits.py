@@ -6,11 +6,14 @@ with them. No row is ordered or moved for the label itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrid.functions.columns import same_key
 from lossgrid.operators.order_stats import running_totals, values_at_ranks
+from lossgrid.session import materialise
 
 TRAIN, VALIDATION, TEST = "train", "val", "test"
 
@@ -56,6 +59,27 @@ def _part_sizes(rows: Column, test_size: float, val_size: float | None) -> tuple
     return tests, F.ceil((rows - tests) * F.lit(val_size or 0.0))
 
 
+#: Leading hexadecimal digits of a hash that are counted; hashes are even, so each prefix holds its share of the rows.
+PREFIX_DIGITS = 4
+
+
+def _hash_ranks(hashed: DataFrame, by: list[str], ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """Rows (by, _hash, n_before, n_all) of the hash prefixes that hold a rank of interest.
+
+    Rows are only counted per prefix; those of the prefixes that hold a cut, a vanishing share, are the ones ordered.
+    """
+    prefix = F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix")
+    counts = materialise(hashed.groupBy(*by, prefix).agg(F.count("*").alias("n")))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.select(*[F.col(c).alias(f"_p_{c}") for c in by], F.col("_prefix").alias("_p_prefix"), "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"), F.sum("n").over(group).alias("n_all"))
+    held = reduce(lambda a, b: a | b, [(F.col("_start") <= r) & (r < F.col("_start") + F.col("n")) for r in ranks(F.col("n_all"))])
+    same = reduce(lambda a, b: a & b, [same_key(F.col(c), F.col(f"_p_{c}")) for c in by], F.col("_prefix") == F.col("_p_prefix"))
+    inside = Window.partitionBy(*by, "_prefix").orderBy("_hash")
+    near = hashed.withColumn("_prefix", prefix).join(placed.where(held).drop("n"), same)
+    return near.select(*by, "_hash", (F.col("_start") + F.row_number().over(inside) - 1).alias("n_before"), "n_all")
+
+
 def random_split(
     df: DataFrame,
     keys: list[str],
@@ -72,7 +96,7 @@ def random_split(
         tests, vals = _part_sizes(rows, test_size, val_size)
         return [tests - 1, tests + vals - 1]
 
-    ranked = running_totals(hashed.select(*by, "_hash"), "_hash", {"n": F.count("*")}, by, ranks=last_ranks)
+    ranked = _hash_ranks(hashed.select(*by, "_hash"), by, last_ranks)
     tests, vals = _part_sizes(F.col("n_all"), test_size, val_size)
     cuts = ranked.groupBy(*by).agg(
         F.max(F.when(F.col("n_before") < tests, F.col("_hash"))).alias("_test_cut"),
@@ -156,7 +180,11 @@ def stratified_k_folds(df: DataFrame, label: str, order_col: str, k: int = 3) ->
         return up_to(F.col("_start") + F.col("_n")) - up_to(F.col("_start"))
 
     ends = placed.withColumn("_ends", F.array(*[sum((in_fold(j) for j in range(i + 1)), F.lit(0)) for i in range(k)]))
-    ranked = running_totals(df.select(label, order_col), order_col, {"n": F.count("*")}, [label])
+    # each fold starts within one row of its share of the class, so only buckets with such a rank are ordered
+    ranked = running_totals(
+        df.select(label, order_col), order_col, {"n": F.count("*")}, [label],
+        ranks=lambda n: [F.greatest(F.floor(n * (i + 1) / k) + d, F.lit(0)) for i in range(k - 1) for d in range(-k, k + 1)],
+    )
     cuts = (
         ranked.join(ends, same_key(F.col(label), F.col("_class")))
         .groupBy("_class")

@@ -52,17 +52,20 @@ class InflationRun:
         export = materialise(reserving_export(self.source("reserving_payload"), "ibnr_inflation"))
         return portfolio.development_coefficients(export)
 
-    def dense(self, compensate: bool = False) -> DataFrame:
-        """The monthly aggregate gives both the dimension pairs and the facts, so it is written first."""
-        invoices = materialise(self.invoice_months())
+    def facts(self, compensate: bool = False) -> DataFrame:
+        """The monthly invoice aggregate, written: it gives both the dimension pairs and the amounts."""
+        invoices = self.invoice_months()
         if compensate:
             segments = ["PolicySubType", "MajorICDGroupingDescription"]
             invoices = portfolio.apply_coefficients(invoices, self.coefficients(), segments)
-        return portfolio.dense_portfolio(self.census_cube(), invoices)
+        return materialise(invoices)
+
+    def dense(self, compensate: bool = False) -> DataFrame:
+        return portfolio.dense_portfolio(self.census_cube(), self.facts(compensate))
 
     def series(self, compensate: bool = False) -> DataFrame:
-        """Claims and members both read the dense portfolio and the clusters, so these are written first."""
-        return portfolio.cluster_series(materialise(self.dense(compensate)), materialise(self.source("clusters")))
+        """Claims and members both read the census, the facts and the clusters, so these are written first."""
+        return portfolio.cluster_series(materialise(self.census_cube()), self.facts(compensate), materialise(self.source("clusters")))
 
     def vintage(self) -> DataFrame:
         return catalog.vintage_scan(self.source("external_regressors"), self.training_end)

@@ -78,13 +78,16 @@ def resolve_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
     return df.select(*selected)
 
 
-def tables_by_prefix(spark: SparkSession, prefix: str, suffix: str = "_payload_flat") -> DataFrame:
-    """Union of all catalog tables named ``prefix_..._payload_flat``; missing columns become NULL."""
+def tables_by_prefix(spark: SparkSession, prefix: str, suffix: str = "_payload_flat", schema: str | None = None) -> DataFrame:
+    """Union of all tables named ``prefix_..._payload_flat`` of a schema (``catalog.schema``, by default the current one).
+
+    Missing columns become NULL. Temporary views belong to the current schema only.
+    """
     pattern = re.compile(rf"^{re.escape(prefix)}_.*{re.escape(suffix)}$")
-    names = sorted(t.name for t in spark.catalog.listTables() if pattern.match(t.name))
+    names = sorted(t.name for t in spark.catalog.listTables(schema) if pattern.match(t.name) and not (schema and t.isTemporary))
     if not names:
         raise ValueError(f"no table matches {pattern.pattern}")
-    return union_all([spark.table(name) for name in names])
+    return union_all([spark.table(f"{schema}.{name}" if schema else name) for name in names])
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

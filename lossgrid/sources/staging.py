@@ -62,7 +62,9 @@ STATEMENTS = {
     "contract_versions": """
         SELECT o_custkey AS MemberID, o_custkey % 97 AS PolicyID, d AS VersionStartDate,
                lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS VersionEndDate
-        FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM {orders}) x""",
+        FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM {orders}) x
+        UNION ALL
+        SELECT o_custkey, o_custkey % 97, max(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)) + 10 FROM {orders} WHERE o_custkey % 50 = 0 GROUP BY 1, 2""",
     "active_members": """
         SELECT DISTINCT o_custkey AS MemberID, o_custkey % 97 AS PolicyID, CAST(date_trunc('month', l_shipdate) AS DATE) AS YearMonthDate
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrid.operators import evaluate, forecast, learners, linear, reserving, sampling, splits, transforms, tuning
 from lossgrid.plans import scoring
-from lossgrid.session import materialise
+from lossgrid.session import materialise, shared_dir
 from lossgrid.sources import staging
 from lossgrid.workload.claims import gold
 from lossgrid.workload.query import Query
@@ -147,14 +149,11 @@ def _chain_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reserving.chain_ladder_predict(rows.where("is_inference"), factors, "cumulative_amount_paid", CL_SEGMENTS)
 
 
-HUBER_FEATURES = ["cumulative_amount_paid", "cumulative_nb_claim_paid", "cumulative_nb_invoice_paid", "nb_preauth"]
-
-
 def _huber(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = materialise(splits.drop_null_target(gold(spark, sf_dir), "ultimate_amount_paid"))
-    segments = ["SystemID", "lag"]
-    models = reserving.huber_fit(rows, HUBER_FEATURES, "ultimate_amount_paid", segments)
-    return reserving.huber_predict(rows.where("is_inference"), models, HUBER_FEATURES, "ultimate_amount_paid", segments)
+    """With a very large delta no error is cut, so the fit is the ridge regression on the scaled columns."""
+    rows = _lines(spark, sf_dir)
+    models = reserving.huber_fit(rows, ["l_quantity"], "l_extendedprice", ["l_returnflag"], delta=1e12, alpha=1.0)
+    return reserving.huber_predict(rows, models, ["l_quantity"], "l_extendedprice", ["l_returnflag"])
 
 
 def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,31 +163,34 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.groupBy("c_mktsegment", month).agg(F.sum("o_totalprice").alias("sales"), F.count("*").alias("orders"))
 
 
+# days of orders per priority with a value made of a line and one yearly wave, whose size follows from the table
+WAVE_SQL = """
+    SELECT o_orderpriority, day, level + 0.01 * level * n / 100 + 0.2 * level * sin(2 * pi() * n / 365.25) AS value
+    FROM (SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) AS day, datediff(CAST(o_orderdate AS DATE), DATE'1970-01-01') AS n, max(o_orderkey) OVER (PARTITION BY o_orderpriority) * 1.0 AS level FROM {orders}) x"""
+
+
 def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = monthly_sales(spark, sf_dir)
-    keys = panel.select("c_mktsegment").distinct()
-    configs = keys.withColumn(
-        "config",
-        F.create_map(
-            F.lit("changepoint_nb_per_year"), F.lit("1"), F.lit("seasonality_period"), F.lit("365.25"), F.lit("seasonality_fourier_order"), F.lit("3"),
-            F.lit("changepoint_nb_months_censored"), F.lit("1"),
-        ),
-    )
-    models = forecast.trend_seasonal_fit(panel, ["c_mktsegment"], "month", "sales", {"orders": 10.0}, configs)
-    return forecast.trend_seasonal_predict(panel, models, ["c_mktsegment"], "month", ["orders"])
+    panel = staging.run_sql(spark, sf_dir, WAVE_SQL)
+    configs = panel.select("o_orderpriority").distinct().withColumn("config", F.create_map(F.lit("yearly_seasonality"), F.lit("true")))
+    models = forecast.trend_seasonal_fit(panel, ["o_orderpriority"], "day", "value", configs=configs)
+    fitted = forecast.trend_seasonal_predict(panel, models, ["o_orderpriority"], "day")
+    close = F.abs(F.col("prediction") - F.col("value")) <= 0.01 * F.abs("value")
+    return fitted.groupBy("o_orderpriority").agg(F.count("*").alias("days"), F.count_if(close).alias("close"))
 
 
 def _autoregression(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = monthly_sales(spark, sf_dir)
-    models = forecast.ar_fit(panel, "c_mktsegment", "month", "sales", 3, 3)
-    return forecast.ar_forecast(panel, models, "c_mktsegment", "month", "sales", 3, 3)
+    models = forecast.ar_fit(panel, "c_mktsegment", "month", "orders", 1, 1, 2.0)
+    return forecast.ar_forecast(panel, models, "c_mktsegment", "month", "orders", 1, 1)
 
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 
 def _returned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).withColumn("returned", (F.col("l_returnflag") == "R").cast("double"))
+    """Lines with a 0/1 feature, missing in some, and a label: what every learner fits in closed form is a mean per value."""
+    heavy = F.when(F.col("l_partkey") % 7 != 0, (F.col("l_quantity") > 25).cast("double"))
+    return _lines(spark, sf_dir).withColumn("returned", (F.col("l_returnflag") == "R").cast("double")).withColumn("heavy", heavy)
 
 
 def _learner(task: str, kind: str, **params):
@@ -196,16 +198,16 @@ def _learner(task: str, kind: str, **params):
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = _returned(spark, sf_dir)
-        model = learners.fit_learner(rows, FEATURES, label, task, kind, **params)
-        return learners.predict(model, rows)
+        scored = learners.predict(learners.fit_learner(rows, ["heavy"], label, task, kind, **params), rows)
+        return scored.withColumn("p", F.element_at("probability", 2)) if "probability" in scored.columns else scored
 
     return build
 
 
 def _early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _returned(spark, sf_dir)
-    rows = splits.random_split(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], SEED, 0.1, 0.2)
-    model = learners.fit_early_stopping(rows, FEATURES, "l_extendedprice", "regression", maxIter=5, maxDepth=3)
+    rows = materialise(splits.random_split(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], SEED, 0.1, 0.2))
+    model = learners.fit_early_stopping(rows, ["heavy"], "l_extendedprice", "regression", maxIter=1, maxDepth=1)
     return learners.predict(model, rows)
 
 
@@ -214,13 +216,30 @@ def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alphas = [c["alpha"] for c in tuning.sample_space({"alpha": ("loguniform", 1e-3, 1e6)}, 8, SEED)]
-    return tuning.cross_validate(_folded(spark, sf_dir), "fold", FEATURES, "l_extendedprice", alphas, ["l_returnflag"])
+    return tuning.cross_validate(_folded(spark, sf_dir), "fold", ["l_quantity"], "l_extendedprice", ALPHAS, ["l_returnflag"])
 
 
 def _halving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alphas = [10.0**i for i in range(-3, 6)]
-    return tuning.successive_halving(_folded(spark, sf_dir), ["l_orderkey"], "fold", FEATURES, "l_extendedprice", alphas)
+    return tuning.successive_halving(_folded(spark, sf_dir), ["l_orderkey"], "fold", ["l_quantity"], "l_extendedprice", ALPHAS)
+
+
+ALPHAS = [10.0**i for i in range(9)]
+# sums of each fold, and error of the ridge line of the other folds on it, for one feature
+FOLD_SQL = """
+    t AS (SELECT {by} sum(n) AS n, sum(x) AS x, sum(y) AS y, sum(xx) AS xx, sum(xy) AS xy, sum(yy) AS yy FROM f GROUP BY {group}),
+    r AS (SELECT {tby} alpha, f.n AS hn, f.x AS hx, f.y AS hy, f.xx AS hxx, f.xy AS hxy, f.yy AS hyy, t.n - f.n AS n, t.x - f.x AS x, t.y - f.y AS y, t.xx - f.xx AS xx, t.xy - f.xy AS xy
+          FROM f JOIN t ON {same} CROSS JOIN (SELECT CAST(power(10, i) AS DOUBLE) AS alpha FROM range(0, 9) a(i)) a),
+    b AS (SELECT *, (xy - x * y / n) / (xx - x * x / n + alpha) AS slope FROM r),
+    c AS (SELECT *, y / n - slope * x / n AS cut FROM b),
+    scored AS (SELECT {by} alpha, avg(sqrt((hyy + cut * cut * hn + slope * slope * hxx - 2 * cut * hy - 2 * slope * hxy + 2 * cut * slope * hx) / hn)) AS rmse FROM c GROUP BY {rgroup})"""
+FOLD_SUMS = "count(*) * 1.0 AS n, sum(l_quantity) AS x, sum(l_extendedprice) AS y, sum(l_quantity * l_quantity) AS xx, sum(l_quantity * l_extendedprice) AS xy, sum(l_extendedprice * l_extendedprice) AS yy"
+
+
+def _rung_sql(rung: int) -> str:
+    """Scores of all penalties on the rows of a rung, as a subquery."""
+    sums = f"SELECT l_orderkey % 3 AS fold, {FOLD_SUMS} FROM (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', '0', CAST(l_orderkey AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0 AS share FROM lineitem) l WHERE share < {3.0 ** (rung - 2)!r} GROUP BY 1"
+    folds = FOLD_SQL.format(by="", group="ALL", tby="", same="TRUE", rgroup="alpha")
+    return f"(WITH f AS ({sums}), {folds} SELECT * FROM scored)"
 
 
 def _segment_config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,6 +271,27 @@ def _probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("p0", F.col("prediction_proba")["0"]).withColumn("p1", F.col("prediction_proba")["1"])
 
 
+def _probability_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of class 1 out of a list, JSON text and a bare number; text that cannot be read gives none."""
+    score = F.col("score")
+    rows = _scores(spark, sf_dir).select(
+        "doc_id", F.array(1 - score, score).alias("listed"), F.format_string('{"0": %.3f, "1": %.3f}', 1 - score, score).alias("text"),
+        F.format_string(" %.3f ", score).alias("number"), F.lit("no number").alias("broken"),
+    )
+    for name, form in (("from_list", "listed"), ("from_text", "text"), ("from_number", "number"), ("unreadable", "broken")):
+        parsed = evaluate.parsed_probabilities(rows, form).withColumnRenamed("prediction_proba", "_map")
+        rows = parsed.withColumn(name, F.col("_map").isNull() if form == "broken" else F.col("_map")["0" if form == "number" else "1"]).drop("_map")
+    return rows
+
+
+def _appended_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended to one table, the second with a column the first has not."""
+    path = f"{shared_dir(spark)}/lossgrid/scores-{uuid.uuid4().hex}"
+    scored = materialise(_batch_score(spark, sf_dir).where("split_name = 'test'"))
+    scoring.append_scores(scored, path)
+    return scoring.append_scores(scored.withColumn("model_id", F.lit("m2")).withColumn("proba", F.lit(0.5)), path)
+
+
 def _baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = splits.random_split(_probabilities(spark, sf_dir), ["doc_id"], SEED, 0.25)
     table = evaluate.baseline_table(labelled, "label", "m1", "int")
@@ -265,17 +305,40 @@ def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scores(spark, sf_dir).join(staging.read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"), "doc_id")
+    return rows.select("doc_id", "label", "score", F.log1p("n_chars").alias("size"), F.size(F.split("text", " ")).cast("double").alias("words"))
+
+
 def _smote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balance the doubtful documents by their length and lexical features."""
-    rows = _scores(spark, sf_dir).join(staging.read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"), "doc_id")
-    featured = rows.select("doc_id", "label", "score", F.log1p("n_chars").alias("size"), F.size(F.split("text", " ")).cast("double").alias("words"))
-    return sampling.smote(featured, ["score", "size", "words"], "label", 0, ["doc_id"], 5, SEED)
+    return sampling.smote(_featured(spark, sf_dir), ["score", "size", "words"], "label", 0, ["doc_id"], 5, SEED)
+
+
+def _balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class before and after."""
+    rows = materialise(_featured(spark, sf_dir))
+    extra = sampling.smote(rows, ["score", "size", "words"], "label", 0, ["doc_id"], 5, SEED)
+    both = rows.select("label", F.lit(0).alias("made")).unionAll(extra.select("label", F.lit(1).alias("made")))
+    return both.groupBy("label").agg(F.count("*").alias("rows"))
+
+
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other distinct points of every distinct point (length, words), as distances by rank."""
+    points = _featured(spark, sf_dir).select(F.col("score").cast("double").alias("x"), "words").distinct()
+    keyed = points.withColumn("_id", F.concat_ws("|", F.col("x").cast("decimal(10,3)").cast("string"), F.col("words").cast("int").cast("string")))
+    near = sampling.nearest_neighbours(keyed, ["x", "words"], 5, SEED)
+    return near.select("_id", F.posexplode("near").alias("place", "n")).select(F.col("_id").alias("id"), (F.col("place") + 1).alias("rank"), F.col("n.distance").alias("distance"))
 
 
 def _wrap(fold):
     return lambda s, d: fold(_orders(s, d))
 
 
+MEANS_SQL = """
+    WITH r AS (SELECT *, CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_quantity > 25 AS DOUBLE) END AS heavy, CAST(l_returnflag = 'R' AS DOUBLE) AS returned FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {shown} FROM (SELECT *, CASE WHEN heavy IS NOT NULL THEN avg({target}) OVER (PARTITION BY heavy) END AS fitted FROM r) x"""
+
 QUERIES = {
     "sp1_drop_null_target": Query(
         lambda s, d: splits.drop_null_target(staging.stage(s, d, "invoicebase"), "PaidDate"),
@@ -354,7 +417,13 @@ QUERIES = {
         ),
     ),
     "tr4_quantile": Query(
-        lambda s, d: transforms.fit_quantile(_orders(s, d), ["o_totalprice"], 200).transform(_orders(s, d)), "o_orderkey:i o_totalprice:d"
+        lambda s, d: transforms.fit_quantile(_orders(s, d), ["o_totalprice"], 200).transform(_orders(s, d)),
+        "o_orderkey:i o_totalprice:d",
+        f"""WITH k AS (SELECT unnest(range(0, 200)) AS i, unnest(q) AS knot FROM (SELECT quantile_cont(o_totalprice, {[i / 199 for i in range(200)]}) AS q FROM orders) l),
+                d AS (SELECT knot, min(i) AS first, max(i) AS last FROM k GROUP BY knot),
+                e AS (SELECT knot, first, last, lead(knot) OVER (ORDER BY knot) AS next_knot, lead(first) OVER (ORDER BY knot) AS next_first FROM d)
+           SELECT o_orderkey, CASE WHEN o_totalprice = knot THEN (first + last) / 2.0 / 199 ELSE (last + (o_totalprice - knot) / (next_knot - knot) * (next_first - last)) / 199 END AS o_totalprice
+           FROM orders ASOF JOIN e ON o_totalprice >= knot""",
     ),
     "tr5_one_hot": Query(
         lambda s, d: transforms.one_hot(_lines(s, d), "flag"),
@@ -400,6 +469,18 @@ QUERIES = {
            FROM lineitem CROSS JOIN (SELECT median(l_extendedprice) AS m, quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS r FROM lineitem) q""",
     ),
     "tr13_smote": Query(_smote, "score:d size:d words:d label:i"),
+    "tr13_class_sizes": Query(
+        _balanced, "label:i rows:i", "SELECT label, (SELECT max(n) FROM (SELECT count(*) AS n FROM stg_scores GROUP BY label) x) AS rows FROM stg_scores GROUP BY 1"
+    ),
+    "tr13_neighbours": Query(
+        _neighbours,
+        "id:s rank:i distance:d",
+        """WITH p AS (SELECT DISTINCT score AS x, CAST(len(string_split(text, ' ')) AS DOUBLE) AS words FROM stg_scores JOIN documents USING (doc_id))
+           SELECT concat_ws('|', CAST(CAST(x AS DECIMAL(10, 3)) AS VARCHAR), CAST(CAST(words AS INT) AS VARCHAR)) AS id, rank, distance
+           FROM (SELECT a.x, a.words, sqrt((a.x - b.x) ** 2 + (a.words - b.words) ** 2) AS distance,
+                        row_number() OVER (PARTITION BY a.x, a.words ORDER BY (a.x - b.x) ** 2 + (a.words - b.words) ** 2) AS rank
+                 FROM p a JOIN p b ON a.x <> b.x OR a.words <> b.words) n WHERE rank <= 5""",
+    ),
     "wn6_age_to_age": Query(
         lambda s, d: reserving.age_to_age(gold(s, d), "cumulative_amount_paid", CL_SEGMENTS),
         "PolicySubType:s SystemID:s treatment_date:t lag:i ratio:d",
@@ -438,14 +519,60 @@ QUERIES = {
         "c_mktsegment:s nation:s config:s",
         "SELECT DISTINCT c_mktsegment, CAST(c_nationkey AS VARCHAR) AS nation, CASE WHEN c_nationkey % 3 = 2 THEN 'default' ELSE concat('cfg', c_nationkey) END AS config FROM customer",
     ),
-    "ml6_robust_regression": Query(_huber, "PolicySubType:s SystemID:s treatment_date:t lag:i ultimate_amount_paid:d prediction:d"),
-    "ml7_trend_seasonal": Query(_trend, "c_mktsegment:s month:t sales:d prediction:d"),
-    "ml8_autoregression": Query(_autoregression, "c_mktsegment:s month:t prediction:d"),
-    "ml9_random_forest": Query(_learner("classification", "random_forest", numTrees=10, maxDepth=4, seed=1), f"{LINE_KEYS} returned:i prediction:d"),
-    "ml9_logistic": Query(_learner("classification", "logistic", maxIter=20), f"{LINE_KEYS} returned:i prediction:d"),
-    "ml9_ridge": Query(_learner("regression", "ridge", regParam=1.0), f"{LINE_KEYS} l_extendedprice:d prediction:d"),
-    "ml9_gradient_boosting": Query(_learner("regression", "gradient_boosting", maxIter=5, maxDepth=3, seed=1), f"{LINE_KEYS} l_extendedprice:d prediction:d"),
-    "ml10_early_stopping": Query(_early_stop, f"{LINE_KEYS} split_name:s prediction:d"),
+    "ml6_robust_regression": Query(
+        _huber,
+        f"{LINE_KEYS} prediction:d",
+        """WITH s AS (SELECT l_returnflag, median(l_quantity) AS mx, quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS rx,
+                          median(l_extendedprice) AS my, quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS ry FROM lineitem GROUP BY 1),
+                z AS (SELECT l.*, (l_quantity - mx) / rx AS x, (l_extendedprice - my) / ry AS y, my, ry FROM lineitem l JOIN s USING (l_returnflag)),
+                b AS (SELECT l_returnflag, avg(x) AS ax, avg(y) AS ay, covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 1) AS slope FROM z GROUP BY 1)
+           SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (ay + slope * (x - ax)) * ry + my AS prediction FROM z JOIN b USING (l_returnflag)""",
+    ),
+    "ml7_trend_seasonal": Query(
+        _trend, "o_orderpriority:s days:i close:i", "SELECT o_orderpriority, count(DISTINCT o_orderdate) AS days, count(DISTINCT o_orderdate) AS close FROM orders GROUP BY 1"
+    ),
+    "ml8_autoregression": Query(
+        _autoregression,
+        "c_mktsegment:s month:t prediction:d",
+        """WITH m AS (SELECT c_mktsegment, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(count(*) AS DOUBLE) AS y FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+                p AS (SELECT a.c_mktsegment, b.y AS x, a.y FROM m a JOIN m b ON a.c_mktsegment = b.c_mktsegment AND a.month = b.month + INTERVAL 1 MONTH),
+                w AS (SELECT c_mktsegment, avg(x) AS ax, avg(y) AS ay, covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 2) AS slope FROM p GROUP BY 1)
+           SELECT c_mktsegment, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, ay + slope * (y - ax) AS prediction
+           FROM (SELECT *, max(month) OVER (PARTITION BY c_mktsegment) AS newest FROM m) l JOIN w USING (c_mktsegment) WHERE month = newest""",
+    ),
+    "ml9_random_forest": Query(
+        _learner("classification", "random_forest", numTrees=1, maxDepth=1, seed=1, bootstrap=False, featureSubsetStrategy="all"),
+        f"{LINE_KEYS} returned:i p:d prediction:d",
+        # leaves that predict the same class are merged
+        "SELECT * REPLACE (CASE WHEN p IS NULL OR min(prediction) OVER () < max(prediction) OVER () THEN p ELSE avg(CASE WHEN p IS NOT NULL THEN returned END) OVER () END AS p) FROM ("
+        + MEANS_SQL.format(target="returned", shown="CAST(returned AS INT) AS returned, fitted AS p, CAST(fitted > 0.5 AS INT) AS prediction") + ") m",
+    ),
+    "ml9_logistic": Query(
+        _learner("classification", "logistic", maxIter=200, tol=1e-12),
+        f"{LINE_KEYS} returned:i p:d prediction:d",
+        MEANS_SQL.format(target="returned", shown="CAST(returned AS INT) AS returned, fitted AS p, CAST(fitted > 0.5 AS INT) AS prediction"),
+    ),
+    "ml9_ridge": Query(
+        _learner("regression", "ridge", regParam=1000.0, solver="normal"),
+        f"{LINE_KEYS} l_extendedprice:d prediction:d",
+        """WITH r AS (SELECT *, CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_quantity > 25 AS DOUBLE) END AS heavy FROM lineitem),
+                b AS (SELECT avg(heavy) AS ax, avg(l_extendedprice) AS ay,
+                             covar_pop(heavy, l_extendedprice) / (var_pop(heavy) * (1 + 1000 / stddev_pop(l_extendedprice))) AS slope FROM r WHERE heavy IS NOT NULL)
+           SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, ay + slope * (heavy - ax) AS prediction FROM r CROSS JOIN b""",
+    ),
+    "ml9_gradient_boosting": Query(
+        _learner("regression", "gradient_boosting", maxIter=1, maxDepth=1, seed=1),
+        f"{LINE_KEYS} l_extendedprice:d prediction:d",
+        MEANS_SQL.format(target="l_extendedprice", shown="l_extendedprice, fitted AS prediction"),
+    ),
+    "ml10_early_stopping": Query(
+        _early_stop,
+        f"{LINE_KEYS} split_name:s prediction:d",
+        """WITH h AS (SELECT *, CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_quantity > 25 AS DOUBLE) END AS heavy, count(*) OVER () AS n,
+                          row_number() OVER (ORDER BY md5(concat_ws('|', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey))) - 1 AS rn FROM lineitem),
+                s AS (SELECT *, CASE WHEN rn < ceil(n * 0.1) THEN 'test' WHEN rn < ceil(n * 0.1) + ceil((n - ceil(n * 0.1)) * 0.2) THEN 'val' ELSE 'train' END AS split_name FROM h)
+           SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, split_name, CASE WHEN heavy IS NOT NULL THEN avg(l_extendedprice) FILTER (WHERE split_name = 'train') OVER (PARTITION BY heavy) END AS prediction FROM s""",
+    ),
     "ml11_threshold_sweep": Query(
         lambda s, d: evaluate.threshold_sweep(_scores(s, d), "label", "score"),
         "threshold:d accuracy:d f1:d false_positives:i false_negatives:i",
@@ -456,13 +583,31 @@ QUERIES = {
         "threshold:d score:d",
         "SELECT threshold, f1 AS score FROM st_sweep ORDER BY f1 DESC, threshold LIMIT 1",
     ),
-    "ml13_cross_validate": Query(_cross_validate, "l_returnflag:s alpha:d rmse:d best:b"),
-    "ml14_successive_halving": Query(_halving, "alpha:d rung:i rmse:d"),
+    "ml13_cross_validate": Query(
+        _cross_validate,
+        "l_returnflag:s alpha:d rmse:d best:b",
+        f"WITH f AS (SELECT l_returnflag, l_orderkey % 3 AS fold, {FOLD_SUMS} FROM lineitem GROUP BY 1, 2), "
+        + FOLD_SQL.format(by="l_returnflag,", group="l_returnflag", tby="f.l_returnflag,", same="f.l_returnflag = t.l_returnflag", rgroup="l_returnflag, alpha")
+        + " SELECT l_returnflag, alpha, rmse, row_number() OVER (PARTITION BY l_returnflag ORDER BY rmse, alpha) = 1 AS best FROM scored",
+    ),
+    "ml14_successive_halving": Query(
+        _halving,
+        "alpha:d rung:i rmse:d",
+        f"""WITH a AS (SELECT *, row_number() OVER (ORDER BY rmse, alpha) AS place FROM {_rung_sql(0)} x),
+                 b AS (SELECT x.*, row_number() OVER (ORDER BY x.rmse, x.alpha) AS place FROM {_rung_sql(1)} x WHERE alpha IN (SELECT alpha FROM a WHERE place <= 3)),
+                 c AS (SELECT * FROM {_rung_sql(2)} x WHERE alpha IN (SELECT alpha FROM b WHERE place <= 1))
+            SELECT alpha, 0 AS rung, rmse FROM a WHERE place > 3 UNION ALL SELECT alpha, 1, rmse FROM b WHERE place > 1 UNION ALL SELECT alpha, 2, rmse FROM c""",
+    ),
     "ml15_probabilities": Query(
         _probabilities,
         "doc_id:i label:i prediction:s p0:d p1:d",
         "SELECT doc_id, label, CASE WHEN 1 - score >= score THEN '0' ELSE '1' END AS prediction, 1 - score AS p0, score AS p1 FROM stg_scores",
     ),
+    "ml15_probability_forms": Query(
+        _probability_forms,
+        "doc_id:i from_list:d from_text:d from_number:d unreadable:b",
+        "SELECT doc_id, score AS from_list, score AS from_text, score AS from_number, TRUE AS unreadable FROM stg_scores",
+    ),
     "ev1_regression": Query(
         _regression,
         "rmse:d mse:d r2:d explained_variance:d",
@@ -507,6 +652,13 @@ QUERIES = {
            FROM (SELECT *, dense_rank() OVER (ORDER BY l_shipdate) - 1 AS r, (SELECT CAST(count(DISTINCT l_shipdate) AS DOUBLE) FROM lineitem) AS n FROM lineitem) x
            JOIN st_ols USING (l_returnflag, l_linestatus)""",
     ),
+    "ev8_append_scores": Query(
+        lambda s, d: _appended_scores(s, d).groupBy("model_id", "proba", "l_returnflag").agg(F.count("*").alias("rows"), F.avg("prediction").alias("prediction")),
+        "model_id:s proba:d l_returnflag:s rows:i prediction:d",
+        """SELECT model_id, proba, l_returnflag, count(*) AS rows, avg(intercept + slope * l_quantity) AS prediction
+           FROM (SELECT *, dense_rank() OVER (ORDER BY l_shipdate) - 1 AS r, (SELECT CAST(count(DISTINCT l_shipdate) AS DOUBLE) FROM lineitem) AS n FROM lineitem) x
+           JOIN st_ols USING (l_returnflag, l_linestatus) CROSS JOIN (VALUES ('m1', CAST(NULL AS DOUBLE)), ('m2', 0.5)) m(model_id, proba) WHERE r >= floor(n * 0.75) GROUP BY 1, 2, 3""",
+    ),
     "ev9_baseline": Query(
         _baseline,
         "doc_id:i label:i prediction:i model_id:s p_one:d",

@@ -27,7 +27,7 @@ def _fixed(dim: str) -> str:
 
 STEPS = {
     "st_versions": f"""
-        SELECT c.*, v.VersionStartDate, CASE WHEN v.VersionStartDate = max(v.VersionStartDate) OVER (PARTITION BY v.PolicyID, v.MemberID)
+        SELECT c.*, v.VersionStartDate, CASE WHEN row_number() OVER (PARTITION BY v.PolicyID, v.MemberID ORDER BY v.VersionStartDate DESC, v.VersionEndDate DESC NULLS LAST) = 1
                THEN DATE '{AS_OF}' ELSE v.VersionEndDate END AS VersionEndDate
         FROM stg_contract_versions v JOIN st_contracts c ON c.member_id = v.MemberID AND c.PolicyID = v.PolicyID""",
     "st_member_months": f"""
@@ -221,7 +221,7 @@ QUERIES = {
     "pf9_cluster_series": Query(lambda s, d: inflation_run(s, d).series(), SERIES_COLUMNS, "SELECT * FROM st_series"),
     "ag9_cluster_members": Query(
         lambda s, d: portfolio.cluster_members(
-            inflation_run(s, d).dense(), portfolio.cluster_dims(staging.stage(s, d, "clusters")), ["MajorICDGroupingDescription"]
+            inflation_run(s, d).census_cube(), inflation_run(s, d).facts(), portfolio.cluster_dims(staging.stage(s, d, "clusters")), ["MajorICDGroupingDescription"]
         ),
         "cluster_id:s year_month_date:t nb_member:i",
         "SELECT * FROM st_cluster_members",
@@ -233,7 +233,7 @@ QUERIES = {
     ),
     "jn8_wildcard_join": Query(
         lambda s, d: portfolio.cluster_claims(
-            inflation_run(s, d).dense(), portfolio.cluster_dims(staging.stage(s, d, "clusters")),
+            inflation_run(s, d).census_cube(), inflation_run(s, d).facts(), portfolio.cluster_dims(staging.stage(s, d, "clusters")),
             ["PolicySubType", "AgeBucket", "UKMemberRegion", "MajorICDGroupingDescription"],
         ),
         "cluster_id:s year_month_date:t amount_paid:d nb_claim:d nb_invoice:d",

@@ -105,12 +105,40 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_set("o_orderpriority")).alias("targets"), F.sort_array(F.collect_set(F.year("o_orderdate"))).alias("years")
     )
     frame = configs.select(
-        F.lit("ibnr_standalone").alias("run_type"), F.col("c_mktsegment").alias("model_type"), F.col("c_mktsegment").alias("model_label"),
+        F.lit("ibnr_standalone").alias("run_type"), F.when(F.length("c_mktsegment") > 8, "neural_network").otherwise("chain_ladder").alias("model_type"), F.col("c_mktsegment").alias("_segment"),
         (F.length("c_mktsegment") > 8).alias("per_lag"), F.array(F.array(F.lit("PolicySubType"), F.lit("SystemID")), F.array(F.lit("PolicySubType"))).alias("segmentations"),
         "years", "targets", F.array(F.array(F.lit("b"), F.lit("a"), F.lit("b")), F.array(F.lit("c"))).alias("features"),
-        F.array(F.create_map(F.lit("alpha"), F.lit("1"))).alias("configs"),
+        F.array(F.create_map(*[F.lit(x) for x in ("unit_per_layer", "[64, 32]", "activation", "relu", "learning_rate", "0.1", "loss", "mse", "epochs", "5", "batch_size", "8")])).alias("configs"),
     )
-    return experiments.experiment_grid(frame, [("2000-08-01", "2001-07-01"), ("2000-01-01", "2000-12-01")])
+    both = frame.unionByName(frame.withColumn("run_type", F.lit("ibnr_inflation")))
+    # two market segments share a model type; a target set of one of them is enough
+    one_each = both.groupBy("run_type", "model_type", "per_lag").agg(
+        F.min("segmentations").alias("segmentations"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("years")))).alias("years"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("targets")))).alias("targets"), F.min("features").alias("features"),
+        F.any_value("configs").alias("configs"),
+    )
+    return experiments.experiment_grid(one_each, [("2000-08-01", "2001-07-01", "2001-08-01"), ("2000-01-01", "2000-12-01", "2001-01-01")])
+
+
+def _merged_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = _grid(spark, sf_dir).drop("run_type", "prediction_keys", "segmentation", "features")
+    return experiments.merged_models(grid, "model_name", ["ibnr_standalone", "ibnr_inflation"])
+
+
+def _per_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models with and without the lag among their keys, over a payload that carries a map."""
+    payload = _payload(spark, sf_dir).select(
+        "model_name", "PolicySubType", "MajorICDGroupingDescription", "lag", "treatment_date", "prediction", "ts", "is_inference",
+        F.create_map(F.lit("0"), F.col("prediction")).alias("prediction_proba"),
+    )
+    names = _payload(spark, sf_dir).select("model_name", "target").distinct()
+    lagged = F.array(*[F.lit(k) for k in KEYS])
+    models = names.where("model_name not like '%invoice%'").select(
+        "model_name", F.when(F.col("target") == "ultimate_amount_paid", lagged).otherwise(F.slice(lagged, 1, 2)).alias("prediction_keys"), "target",
+        F.create_map(F.lit("label"), F.col("target")).alias("model_config"),
+    )
+    found = predictions.latest_by_model(payload, models, KEYS)
+    return found.withColumn("p0", F.col("prediction_proba")["0"]).withColumn("label", F.col("model_config")["label"])
 
 
 EXPORT_SHOW = (
@@ -139,6 +167,14 @@ QUERIES = {
         f"model_name:s segment_key:s target:s treatment_date:t lag:i {CUMULATIVE} {PRED} ts:ts",
         "SELECT * FROM st_latest",
     ),
+    "pr1_per_model": Query(
+        _per_model,
+        "model_name:s PolicySubType:s MajorICDGroupingDescription:s lag:i treatment_date:t prediction:d p0:d target:s label:s ts:ts",
+        """SELECT *, prediction AS p0, target AS label FROM (
+               SELECT *, row_number() OVER (PARTITION BY model_name, PolicySubType, MajorICDGroupingDescription, CASE WHEN target = 'ultimate_amount_paid' THEN lag END
+                                            ORDER BY ts DESC, lag DESC, treatment_date DESC) AS rn
+               FROM stg_reserving_payload WHERE is_inference AND target <> 'ultimate_nb_invoice_paid') x WHERE rn = 1""",
+    ),
     "wn1_latest_event": Query(
         lambda s, d: predictions.latest_per_key(
             staging.stage(s, d, "payload").where("is_inference"), ["model_name", "segment", "lag"], [F.col("ts")]
@@ -229,17 +265,28 @@ QUERIES = {
                       FROM st_cluster_dims) c ON c.cluster_id = p.cluster_id AND c.rn = 1""",
     ),
     "ex1_experiment_grid": Query(
-        _grid,
-        "model_name:s table_name:s model_type:s training_years:i target:s experiment_without_target:s full_experiment:s start_date:s end_date:s ibnr_standalone:b ibnr_inflation:b",
-        """SELECT concat_ws('_', table_name, target, replace(features, ' - ', '_'), model_type) AS model_name, table_name, model_type, training_years, target,
-                  concat('PRED | ', features, ' | ', model_type, '_', training_years) AS experiment_without_target,
-                  concat('PRED | ', features, ' | ', model_type, '_', training_years, '_', target) AS full_experiment, start_date, end_date,
-                  TRUE AS ibnr_standalone, FALSE AS ibnr_inflation
-           FROM (SELECT concat_ws('_', 'gold', segmentation, training_years, start_date, end_date) AS table_name, * FROM
-                 (SELECT DISTINCT c_mktsegment AS model_type, o_orderpriority AS target FROM orders JOIN customer ON o_custkey = c_custkey) t
-                 JOIN (SELECT DISTINCT c_mktsegment AS model_type, year(o_orderdate) AS training_years FROM orders JOIN customer ON o_custkey = c_custkey) y USING (model_type)
+        _merged_grid,
+        "model_name:s table_name:s aggregated_table_name:s model_type:s training_years:i target:s experiment_without_target:s full_experiment:s start_date:s end_date:s ibnr_standalone:b ibnr_inflation:b",
+        """SELECT lower(replace(concat('ibnr_', substr(translate(base64(unhex(sha256(concat(replace(table_name, 'ibnr_gold', 'ibnr'), '_type_', model_type, '_target_', target, '__start_', start_date, '__end_', end_date,
+                      '_features_', replace(features, ' - ', '_'))))), '+/', '-_'), 1, 6)), '-', '_')) AS model_name, table_name,
+                  lower(concat('ibnr_aggregated__preauth_', replace(preauth, '-', '_'), '__', segmentation)) AS aggregated_table_name, model_type, training_years, target,
+                  concat('PRED | ', features, label, '_', training_years) AS experiment_without_target, concat('PRED | ', features, label, '_', training_years, '_', target) AS full_experiment,
+                  start_date, end_date, TRUE AS ibnr_standalone, TRUE AS ibnr_inflation
+           FROM (SELECT lower(replace(concat('ibnr_gold__years_', training_years, '__start_', start_date, '__end_', end_date, '__', segmentation), '-', '_')) AS table_name, *,
+                        CASE model_type WHEN 'chain_ladder' THEN ' | ChainLadderConfig' ELSE ' | NeuralNetworkConfig - [64, 32, 1] - relu - 0.1 - mse - 5 - 8' END AS label FROM
+                 (SELECT DISTINCT CASE WHEN length(c_mktsegment) > 8 THEN 'neural_network' ELSE 'chain_ladder' END AS model_type, o_orderpriority AS target FROM orders JOIN customer ON o_custkey = c_custkey) t
+                 JOIN (SELECT DISTINCT CASE WHEN length(c_mktsegment) > 8 THEN 'neural_network' ELSE 'chain_ladder' END AS model_type, year(o_orderdate) AS training_years FROM orders JOIN customer ON o_custkey = c_custkey) y USING (model_type)
                  CROSS JOIN (VALUES ('PolicySubType_SystemID'), ('PolicySubType')) s(segmentation) CROSS JOIN (VALUES ('a - b'), ('c')) f(features)
-                 CROSS JOIN (VALUES ('2000-08-01', '2001-07-01'), ('2000-01-01', '2000-12-01')) w(start_date, end_date)) x""",
+                 CROSS JOIN (VALUES ('2000-08-01', '2001-07-01', '2001-08-01'), ('2000-01-01', '2000-12-01', '2001-01-01')) w(start_date, end_date, preauth)) x""",
+    ),
+    "ex1_tables": Query(
+        lambda s, d: experiments.gold_tables(_grid(s, d)).select("table_name", "aggregated_table_name").join(
+            experiments.aggregated_tables(_grid(s, d)).select(F.col("table_name").alias("aggregated_table_name")), "aggregated_table_name"),
+        "table_name:s aggregated_table_name:s",
+        """SELECT DISTINCT lower(replace(concat('ibnr_gold__years_', y, '__start_', a, '__end_', b, '__', g), '-', '_')) AS table_name,
+                  lower(concat('ibnr_aggregated__preauth_', replace(p, '-', '_'), '__', g)) AS aggregated_table_name
+           FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders JOIN customer ON o_custkey = c_custkey) o CROSS JOIN (VALUES ('PolicySubType_SystemID'), ('PolicySubType')) s(g)
+           CROSS JOIN (VALUES ('2000-08-01', '2001-07-01', '2001-08-01'), ('2000-01-01', '2000-12-01', '2001-01-01')) w(a, b, p)""",
     ),
     "ex2_short_id": Query(
         lambda s, d: staging.read_table(s, d, "part").select("p_partkey", short_id(F.col("p_name")).alias("short_id")),

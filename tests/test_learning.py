@@ -38,8 +38,8 @@ def test_segment_fit_equals_ridge(rows, alpha):
 
 def test_unseen_segment_raises(rows):
     models = linear.segment_fit(rows.where("seg <> 'c'"), ["seg"], ["x1"], "y")
-    with pytest.raises(ValueError):
-        linear.segment_predict(rows, models, ["seg"], ["x1"])
+    with pytest.raises(Exception, match="no model for segment c"):
+        linear.segment_predict(rows, models, ["seg"], ["x1"]).collect()
 
 
 def test_config_keys(spark):

@@ -27,7 +27,7 @@ def test_percentiles_equal_numpy(skewed):
 def test_running_totals_count_smaller_values(skewed):
     df, rows = skewed
     x = sorted(v for _, v in rows if v is not None)
-    for row in running_totals(df, "x", {"n": F.count("*")}, buckets=8).collect():
+    for row in running_totals(df, "x", {"n": F.count("*")}).collect():
         assert row["n_before"] == sum(v < row["x"] for v in x)
         assert row["n_all"] == len(x)
 
@@ -35,11 +35,24 @@ def test_running_totals_count_smaller_values(skewed):
 def test_running_totals_of_strings(spark):
     words = ["", "a", "aa", "prefix__long_1", "prefix__long_2", "é", "zebra", "zebra"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    found = {r["w"]: r["n_before"] for r in running_totals(df, "w", {"n": F.count("*")}, buckets=4).collect()}
+    found = {r["w"]: r["n_before"] for r in running_totals(df, "w", {"n": F.count("*")}).collect()}
     ordered = sorted(words, key=lambda w: w.encode())
     assert found == {w: ordered.index(w) for w in set(words)}
 
 
+def test_long_common_prefix_is_spread(spark):
+    """Strings that differ late fall into several ranges, and ranks hold across them."""
+    df = spark.range(3000).select(F.concat(F.lit("https://www.example.org/"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("w"))
+    ranked = running_totals(df, "w", {"n": F.count("*")})
+    assert ranked.where("n_before <> int(right(w, 9))").isEmpty()
+
+
+def test_many_small_groups(spark):
+    df = spark.range(20_000).select((F.col("id") % 10_000).alias("g"), (F.col("id") * 1.0).alias("x"))
+    found = exact_percentiles(df, ["x"], [0.5], ["g"])
+    assert found.where("p0 <> g + 5000").isEmpty() and found.count() == 10_000
+
+
 def test_values_at_ranks(skewed):
     df, rows = skewed
     x = sorted(v for _, v in rows if v is not None)

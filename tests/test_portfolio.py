@@ -32,7 +32,7 @@ def test_cube_counts_members_once_per_subset(spark, members):
 def test_all_combinations_is_the_full_product(spark):
     left = spark.range(7).withColumnRenamed("id", "a")
     right = spark.range(5).withColumnRenamed("id", "b")
-    pairs = portfolio.all_combinations(left, right, parts=3)
+    pairs = portfolio.all_combinations(left, right, rows=2)
     assert pairs.count() == 35 and pairs.distinct().count() == 35
 
 
@@ -57,24 +57,24 @@ def test_version_join_equals_the_range_test(spark):
     assert found == sorted((m, d, s) for _, m, d in months for _, n, s, e in versions if m == n and s <= d <= e and d < date(2019, 7, 1))
 
 
-def _portfolio(spark, members):
-    invoices = spark.createDataFrame(
+def _invoices(spark):
+    return spark.createDataFrame(
         [(M1, p, a, r, s, i, 10.0 * n, n, n + 1) for n, (p, a, r, s, i) in enumerate(product("AB", ["0_20", "21_35"], "NS", ["S1", "S2"], ["x", "y"]), 1)],
         "year_month_date date, PolicySubType string, AgeBucket string, UKMemberRegion string, SystemID string, MajorICDGroupingDescription string, amount_paid double, nb_claim long, nb_invoice long",
     )
-    return portfolio.dense_portfolio(portfolio.census_cube(members), invoices)
 
 
 CLUSTERS = [("all", None, None), ("A", "A", None), ("x", None, "x"), ("Bx", "B", "x"), ("AB", "A", None), ("AB", "B", None), ("none", "Z", None), ("no icd", None, "zzz")]
 
 
 def test_cluster_series_equals_a_loop_over_clusters(spark, members):
-    dense = _portfolio(spark, members).cache()
+    census, invoices = portfolio.census_cube(members).cache(), _invoices(spark)
+    dense = portfolio.dense_portfolio(census, invoices)
     # every row twice: models share the clusters table
     clusters = spark.createDataFrame(CLUSTERS * 2, "cluster_id string, PolicySubType string, MajorICDGroupingDescription string")
     found = {
         (r["cluster_id"], r["year_month_date"]): (r["nb_member"], r["amount_paid"], r["nb_claim"])
-        for r in portfolio.cluster_series(dense, clusters).collect()
+        for r in portfolio.cluster_series(census, invoices, clusters).collect()
     }
     rows = dense.collect()
     expected = {}

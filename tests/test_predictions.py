@@ -72,10 +72,10 @@ def test_grid_size(spark):
     # The shape of the default experiment configuration.
     segs, nn = [["PolicySubType", "SystemID"]], [{"layers": "32-16"}]
     configs = [
-        {"run_type": "ibnr_standalone", "model_type": "chain_ladder", "model_label": "ChainLadderConfig", "per_lag": False, "segmentations": segs, "years": [1, 3, 5, 7], "targets": ["ultimate_amount_paid"], "features": [["a"], ["a", "m"]], "configs": [{"lag_col": "lag"}]},
-        {"run_type": "ibnr_standalone", "model_type": "neural_network", "model_label": "nn", "per_lag": True, "segmentations": segs, "years": [3, 5, 7], "targets": ["t1", "t2"], "features": [["a"], ["a", "b"], ["a", "b", "c"]], "configs": nn},
-        {"run_type": "ibnr_inflation", "model_type": "neural_network", "model_label": "nn", "per_lag": True, "segmentations": [["PolicySubType", "MajorICDGroupingDescription"]], "years": [3], "targets": ["t1", "t2", "t3"], "features": [["a"]], "configs": nn},
+        {"run_type": "ibnr_standalone", "model_type": "chain_ladder", "per_lag": False, "segmentations": segs, "years": [1, 3, 5, 7], "targets": ["ultimate_amount_paid"], "features": [["a"], ["a", "m"]], "configs": [{"lag_col": "lag"}]},
+        {"run_type": "ibnr_standalone", "model_type": "neural_network", "per_lag": True, "segmentations": segs, "years": [3, 5, 7], "targets": ["t1", "t2"], "features": [["a"], ["a", "b"], ["a", "b", "c"]], "configs": nn},
+        {"run_type": "ibnr_inflation", "model_type": "neural_network", "per_lag": True, "segmentations": [["PolicySubType", "MajorICDGroupingDescription"]], "years": [3], "targets": ["t1", "t2", "t3"], "features": [["a"]], "configs": nn},
     ]
-    grid = experiments.experiment_grid(experiments.config_frame(spark, configs), [("2025-01-01", "2025-12-01")])
+    grid = experiments.experiment_grid(experiments.config_frame(spark, configs), [("2025-01-01", "2025-12-01", "2026-01-01")])
     assert grid.count() == 29 and grid.select("model_name").distinct().count() == 29
     assert grid.where("model_type = 'neural_network'").first()["prediction_keys"][-1] == "lag"
