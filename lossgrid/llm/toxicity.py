@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from lossgrid.llm.common import batches, fold, fold_column
 
 #: Labelled rows the machine is fitted on, chosen by hash: at most so many of each kind.
-TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
+TOXIC_ROWS, CLEAN_ROWS = 2000, 4000
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 LENGTH, WINDOW, DECAY = 4, 6, 0.6
 #: Toxic texts that no frequent word explains and that are compared by kernel, the kernel from which two words are alike,
@@ -100,11 +100,14 @@ def _scale(starts: np.ndarray, total: int) -> np.ndarray:
 
 def score_words(words: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
     """Margin of each word."""
-    symbols, starts = _flat(words)
-    value = np.zeros(len(symbols))
-    for at, number, weight in _occurrences(symbols, starts):
-        value[at] += weight * weights[number]
-    return np.add.reduceat(value, starts) / _scale(starts, len(symbols)) + bias
+    out = []
+    for low in range(0, len(words), 20_000):
+        symbols, starts = _flat(words[low : low + 20_000])
+        value = np.zeros(len(symbols))
+        for at, number, weight in _occurrences(symbols, starts):
+            value[at] += weight * weights[number]
+        out.append(np.add.reduceat(value, starts) / _scale(starts, len(symbols)) + bias)
+    return np.concatenate(out) if out else np.zeros(0)
 
 
 def _kernel(words: list[str], landmarks: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

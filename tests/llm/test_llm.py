@@ -288,7 +288,7 @@ def test_sketch_estimates():
     x, y = sketch.Sketch.of(a), sketch.Sketch.of(b)
     assert y.inside(x) == pytest.approx(1, abs=0.05) and x.inside(y) == pytest.approx(0.25, abs=0.12)
     assert x.likeness(x) == 1 and sketch.Sketch.of("").likeness(sketch.Sketch.of(None)) == 1 and sketch.Sketch.of("").likeness(x) == 0
-    again = sketch.Sketch.parse(x.text())
+    again = sketch.Sketch.unpack(x.pack())
     assert again.text() == x.text()
     halves = sketch.Sketch.of(" ".join(words[:3004])).merge(sketch.Sketch.of(" ".join(words[3000:])))
     assert halves.text() == x.text()
