@@ -54,7 +54,11 @@ def _fit_series(pdf: pd.DataFrame, keys: list[str], regressors: dict[str, float]
     t = (days - first) / span
     breaks = _changepoints(int(round(span / 30.4375)) + 1, config)
     waves = np.array(_waves(config))
+    # a series whose settings name regressors uses these alone, each with its own prior
+    named = {k.removeprefix("regressor:"): float(v) for k, v in config.items() if k.startswith("regressor:")}
+    regressors = {name: named.get(name, 0.0) for name in regressors} if named else regressors
     raw = pdf[list(regressors)].to_numpy(float).reshape(len(pdf), len(regressors))
+    raw[:, [prior == 0 for prior in regressors.values()]] = 0.0
     y = pdf["y"].to_numpy(float)
     censored = int(float(config["changepoint_nb_months_censored"]))
     known = np.isfinite(y) & np.isfinite(raw).all(axis=1) & (pdf["months_left"].to_numpy(int) >= censored)
@@ -67,7 +71,7 @@ def _fit_series(pdf: pd.DataFrame, keys: list[str], regressors: dict[str, float]
     ])
     priors = np.concatenate([
         [np.inf, 5.0], np.full(len(breaks), float(config["changepoint_prior_scale"])), np.full(2 * len(waves), SEASONALITY_PRIOR),
-        np.array([p for p in regressors.values()], float),
+        np.array([p or 1.0 for p in regressors.values()], float),
     ])
     size = max(np.abs(y[known]).max(), 1e-12) if known.any() else 1.0
     x, noise = design[known], 0.05
@@ -99,7 +103,8 @@ def trend_seasonal_fit(
     """One fitted row per key.
 
     The panel is averaged to one row per key and date first, so the series a task holds is as long as
-    the calendar and does not grow with the data. ``configs`` has the keys and a ``config`` map.
+    the calendar and does not grow with the data. ``configs`` has the keys and a ``config`` map; entries
+    ``regressor:<name>`` with a prior scale choose the regressors of a series among ``regressors`` (``holiday`` too).
     """
     regressors = dict(regressors or {})
     if holidays is not None:

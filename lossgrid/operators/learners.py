@@ -6,12 +6,12 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lossgrid.session import materialise
 
@@ -62,19 +62,43 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.drop("_features", "rawPrediction", "_complete")
 
 
+#: Metrics a search may use, and the evaluator of each.
+BINARY_METRICS, REGRESSION_METRICS, LABEL_METRICS = ("areaUnderROC", "areaUnderPR"), ("rmse", "mse", "mae", "r2", "var"), ("accuracy", "f1", "logLoss", "hammingLoss")
+
+
+def _evaluator(label: str, task: str, metric: str | None) -> Evaluator:
+    metric = metric or ("areaUnderROC" if task == "classification" else "rmse")
+    if metric in BINARY_METRICS:
+        return BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+    if metric in LABEL_METRICS:
+        return MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
+    if metric in REGRESSION_METRICS:
+        return RegressionEvaluator(labelCol=label, metricName=metric)
+    raise ValueError(f"unknown metric {metric}")
+
+
 def tune_learner(
-    df: DataFrame, features: list[str], label: str, task: str, kind: str, grid: dict[str, list], folds: int = 3, fold_col: str = "", **params
+    df: DataFrame, features: list[str], label: str, task: str, kind: str, grid: dict[str, list], folds: int = 3, fold_col: str = "",
+    metric: str | None = None, **params,
 ) -> CrossValidatorModel:
-    """Best learner of a parameter grid by mean score over the folds."""
+    """Best learner of a parameter grid by mean score over the folds; the metric knows whether more of it is better.
+
+    ``fold_col`` takes the folds from a column, so stratified or time folds work alike. Rows without a feature or the label
+    are left out.
+    """
     assembler, estimator = _stages(features, label, task, kind, params)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), values)
-    evaluator = (
-        BinaryClassificationEvaluator(labelCol=label) if task == "classification" else RegressionEvaluator(labelCol=label, metricName="rmse")
-    )
     validator = CrossValidator(
-        estimator=Pipeline(stages=[assembler, estimator]), estimatorParamMaps=builder.build(), evaluator=evaluator,
+        estimator=Pipeline(stages=[assembler, estimator]), estimatorParamMaps=builder.build(), evaluator=_evaluator(label, task, metric),
         numFolds=folds, seed=1, foldCol=fold_col, parallelism=2,
     )
     return validator.fit(df.where(complete(features, df) & F.col(label).isNotNull()))
+
+
+def search_table(spark: SparkSession, tuned: CrossValidatorModel) -> DataFrame:
+    """One row per configuration: its parameters as a map, the mean score, and whether it is the best."""
+    best = (max if tuned.getEvaluator().isLargerBetter() else min)(tuned.avgMetrics)
+    rows = [({p.name: str(v) for p, v in grid.items()}, float(m), m == best) for grid, m in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics)]
+    return spark.createDataFrame(rows, "params map<string,string>, score double, best boolean")

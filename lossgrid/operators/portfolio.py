@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lossgrid import constants as K
 from lossgrid.functions.columns import age_bucket, age_years, ratio, same_key, short_id
 from lossgrid.operators.predictions import rename_first
-from lossgrid.operators.quality import first_copies, join_with_coverage, mark_first
+from lossgrid.operators.quality import fail_if_any, first_copies, join_with_coverage, mark_first, missing_regressors
 from lossgrid.session import materialise
 
 MONTH = "year_month_date"
@@ -57,6 +57,7 @@ def valid_version(contracts: DataFrame, active: DataFrame, before: str) -> DataF
 
 def monthly_members(contracts: DataFrame, active: DataFrame, as_of: str, before: str) -> DataFrame:
     """Member months with their contract dimensions and age bucket."""
+    contracts, active = rename_first(contracts, MEMBER_NAMES), rename_first(active, MEMBER_NAMES | REGRESSOR_MONTH)
     versions = valid_version(active_version(contracts, as_of), active, before)
     aged = versions.where(F.col("DateOfBirth") <= F.col(MONTH))
     return aged.withColumn("AgeBucket", age_bucket(age_years(F.col(MONTH), F.col("DateOfBirth"))))
@@ -109,6 +110,7 @@ def grouping_sets_total(
 
 def monthly_invoices(invoices: DataFrame, before: str) -> DataFrame:
     """Paid amount, distinct claims and invoices per month and dimensions, from the first date column present."""
+    invoices = rename_first(invoices, INVOICE_NAMES)
     source = next((c for c in ["admission_date", "treatment_date", "reception_date"] if c in invoices.columns), None)
     if source is None:
         raise ValueError("invoices need admission_date, treatment_date or reception_date")
@@ -134,6 +136,7 @@ COEFFICIENTS = {
 
 def development_coefficients(predictions: DataFrame) -> DataFrame:
     """Predicted ultimate over cumulative for the first experiment; target words leave its name."""
+    predictions = rename_first(predictions, EXPORT_NAMES)
     first = predictions.agg(F.min("full_experiment").alias("full_experiment"))
     chosen = predictions.where(F.col("full_experiment") == first.scalar())
     coefs = {
@@ -285,17 +288,37 @@ def cluster_series(census: DataFrame, invoices: DataFrame, clusters: DataFrame)
     return add_ratios(members.join(claims, ["cluster_id", MONTH], "left").fillna(0, subset=METRICS))
 
 
-# Names the month of the regressors may arrive under.
-REGRESSOR_MONTH = {MONTH: ["YearMonthDate", "year_month", "ds"]}
+# Names that columns of the inputs may arrive under.
+REGRESSOR_MONTH = {MONTH: ["YearMonthDate", "year_month_date", "TreatmentDate", "treatment_date"]}
+MEMBER_NAMES = {"member_id": ["MemberID", "MemberIDPK"]}
+INVOICE_NAMES = {"admission_date": ["AdmissionDate"], "treatment_date": ["TreatmentDate"], "reception_date": ["ReceptionDate"], "claim_status": ["ClaimStatus"]}
+EXPORT_NAMES = {
+    "segment": ["Segment"],
+    "full_experiment": ["FullExperiment"],
+    "target": ["Target"],
+    "treatment_date": ["TreatmentDate"],
+    "cumulative_amount_paid": ["CumulativeAmountPaid"],
+    "cumulative_nb_claim_paid": ["CumulativeNumberClaimsPaid"],
+    "cumulative_nb_invoice_paid": ["CumulativeNumberInvoicesPaid"],
+    "ultimate_amount_paid_predicted": ["UltimateAmountPaidPredicted", "UltimateChargePredicted"],
+    "ultimate_nb_claim_paid_predicted": ["UltimateNumberClaimsPaidPredicted", "UltimateNumberClaimsPredicted"],
+    "ultimate_nb_invoice_paid_predicted": ["UltimateNumberInvoicesPaidPredicted", "UltimateNumberInvoicesPredicted"],
+}
 
 
 def add_regressors(series: DataFrame, regressors: DataFrame, training_begin: str) -> DataFrame:
     """Cluster series from the begin of training with the regressors of their month.
 
-    Regressors keep the first copy of a month. A month of the series without regressors raises: no row is lost.
+    Regressors keep the first copy of a month. A month of the series without regressors, or with an empty one, raises:
+    no row is lost and none goes on with a gap.
     """
     kept = series.where(F.col(MONTH) >= F.lit(training_begin).cast("date"))
-    return join_with_coverage(kept, first_copies(rename_first(regressors, REGRESSOR_MONTH), [MONTH]), [MONTH])
+    valid = first_copies(rename_first(regressors, REGRESSOR_MONTH), [MONTH])
+    joined = join_with_coverage(kept, valid, [MONTH])
+    names = [c for c in valid.columns if c != MONTH]
+    used = valid.join(kept.select(MONTH).distinct(), MONTH, "left_semi")
+    fail_if_any(missing_regressors(used, names, MONTH), F.col("invalid"), "a month has an empty regressor")
+    return joined
 
 
 def model_grid(clusters: DataFrame) -> DataFrame:

@@ -33,14 +33,11 @@ class InflationRun:
     training_end: str
 
     def contract_versions(self) -> DataFrame:
-        versions = self.source("contract_versions").withColumnRenamed("MemberID", "member_id")
+        versions = predictions.rename_first(self.source("contract_versions"), portfolio.MEMBER_NAMES)
         return self.claims.contracts(write=True).join(versions, portfolio.VERSION_KEYS)
 
     def member_months(self) -> DataFrame:
-        active = self.claims.checked("active_members").withColumnsRenamed(
-            {"MemberID": "member_id", "YearMonthDate": portfolio.MONTH}
-        )
-        return portfolio.monthly_members(self.contract_versions(), active, self.as_of, self.cut_off)
+        return portfolio.monthly_members(self.contract_versions(), self.claims.checked("active_members"), self.as_of, self.cut_off)
 
     def census_cube(self) -> DataFrame:
         return portfolio.census_cube(self.member_months())

@@ -52,6 +52,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_lossgrid"
 
 
+def run_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/lossgrid/{spark.sparkContext.applicationId}"
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; frames that read them cannot be used any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder once and read it back.
 
@@ -59,6 +71,6 @@ def materialise(df: DataFrame) -> DataFrame:
     not replay it, and the columnar copy keeps column pruning and real sizes for the joins after it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lossgrid/{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructField, StructType
 
 #: Rows after which an export goes on in the next file.
 MAX_CSV_ROWS = 1_000_000
@@ -20,14 +23,39 @@ def temp_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def _schema_path(path: str) -> str:
+    return f"{path.rstrip('/')}.schema"
+
+
+def appended_schema(spark: SparkSession, path: str) -> StructType:
+    """The stored schema of an appended table, empty before the first append."""
+    try:
+        text = spark.read.text(_schema_path(path), wholetext=True).first()["value"]
+    except AnalysisException:
+        return StructType([])
+    return StructType.fromJson(json.loads(text))
+
+
 def append_table(df: DataFrame, path: str) -> None:
-    """Append rows; columns the table has not seen yet are allowed."""
+    """Append rows; columns the table has not seen yet are allowed and are added to its stored schema.
+
+    A column must keep its type. The schema is kept beside the table, so a read opens no footers to find it.
+    """
+    spark = df.sparkSession
+    known = appended_schema(spark, path)
+    kinds = {f.name: f.dataType for f in known}
+    for field in df.schema:
+        if kinds.get(field.name, field.dataType) != field.dataType:
+            raise ValueError(f"{field.name} is {kinds[field.name].simpleString()} in the table")
+    merged = StructType([*known.fields, *[StructField(f.name, f.dataType) for f in df.schema if f.name not in kinds]])
+    if len(merged) > len(known):
+        spark.createDataFrame([(json.dumps(merged.jsonValue()),)], "value string").coalesce(1).write.mode("overwrite").text(_schema_path(path))
     df.write.mode("append").parquet(path)
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """All appended rows with the union of their columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(appended_schema(spark, path)).parquet(path)
 
 
 def flat_columns(df: DataFrame) -> list[str]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrid.operators import evaluate, forecast, learners, linear, reserving, sampling, splits, transforms, tuning
 from lossgrid.plans import scoring
-from lossgrid.session import materialise, shared_dir
+from lossgrid.session import materialise, run_dir
 from lossgrid.sources import staging
 from lossgrid.workload.claims import gold
 from lossgrid.workload.query import Query
@@ -219,6 +219,12 @@ def _cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tuning.cross_validate(_folded(spark, sf_dir), "fold", ["l_quantity"], "l_extendedprice", ALPHAS, ["l_returnflag"])
 
 
+def _learner_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _returned(spark, sf_dir).withColumn("fold", (F.col("l_orderkey") % 3).cast("int"))
+    tuned = learners.tune_learner(rows, ["heavy"], "l_extendedprice", "regression", "ridge", {"regParam": [0.0, 20000.0]}, 3, "fold", "rmse", solver="normal")
+    return learners.search_table(spark, tuned).withColumn("penalty", F.col("params")["regParam"].cast("double"))
+
+
 def _halving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tuning.successive_halving(_folded(spark, sf_dir), ["l_orderkey"], "fold", ["l_quantity"], "l_extendedprice", ALPHAS)
 
@@ -286,7 +292,7 @@ def _probability_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _appended_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs appended to one table, the second with a column the first has not."""
-    path = f"{shared_dir(spark)}/lossgrid/scores-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/scores-{uuid.uuid4().hex}"
     scored = materialise(_batch_score(spark, sf_dir).where("split_name = 'test'"))
     scoring.append_scores(scored, path)
     return scoring.append_scores(scored.withColumn("model_id", F.lit("m2")).withColumn("proba", F.lit(0.5)), path)
@@ -590,6 +596,16 @@ QUERIES = {
         + FOLD_SQL.format(by="l_returnflag,", group="l_returnflag", tby="f.l_returnflag,", same="f.l_returnflag = t.l_returnflag", rgroup="l_returnflag, alpha")
         + " SELECT l_returnflag, alpha, rmse, row_number() OVER (PARTITION BY l_returnflag ORDER BY rmse, alpha) = 1 AS best FROM scored",
     ),
+    "ml13_learner_search": Query(
+        _learner_search,
+        "penalty:d score:d best:b",
+        """WITH r AS (SELECT l_orderkey % 3 AS fold, CAST(l_quantity > 25 AS DOUBLE) AS x, l_extendedprice AS y FROM lineitem WHERE l_partkey % 7 <> 0),
+                b AS (SELECT f.fold, p.penalty, avg(x) AS ax, avg(y) AS ay, covar_pop(x, y) / (var_pop(x) * (1 + p.penalty / stddev_pop(y))) AS slope
+                      FROM r JOIN (VALUES (0), (1), (2)) f(fold) ON r.fold <> f.fold CROSS JOIN (VALUES (0.0), (20000.0)) p(penalty) GROUP BY 1, 2),
+                e AS (SELECT b.fold, penalty, sqrt(avg((y - ay - slope * (x - ax)) ** 2)) AS rmse FROM r JOIN b USING (fold) GROUP BY 1, 2),
+                s AS (SELECT penalty, avg(rmse) AS score FROM e GROUP BY 1)
+           SELECT CAST(penalty AS DOUBLE) AS penalty, score, score = (SELECT min(score) FROM s) AS best FROM s""",
+    ),
     "ml14_successive_halving": Query(
         _halving,
         "alpha:d rung:i rmse:d",

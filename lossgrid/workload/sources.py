@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrid.functions import calendar
-from lossgrid.operators import predictions
-from lossgrid.session import shared_dir
+from lossgrid.operators import predictions, summaries
+from lossgrid.session import run_dir
 from lossgrid.sources import catalog, sinks, staging
 from lossgrid.workload.query import Query
 
@@ -16,7 +17,7 @@ STEPS: dict[str, str] = {}
 
 
 def _fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lossgrid/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _optional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +52,7 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = staging.read_table(spark, sf_dir, "supplier")
     name = f"suppliers_{uuid.uuid4().hex}"
+    atexit.register(lambda: spark.sql(f"DROP TABLE IF EXISTS {name}"))
     return sinks.materialise_table(supplier, name)
 
 
@@ -86,9 +88,9 @@ def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _latest_by_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = staging.stage(spark, sf_dir, "payload")
-    return payload.groupBy("model_name", "segment").agg(
-        F.max_by("prediction", F.struct("lag", "ts", "event_id")).alias("at_highest_lag"),
-        F.max_by("prediction", F.when(F.col("is_inference"), F.struct("ts", "event_id"))).alias("latest_inference"),
+    return summaries.value_at_greatest(
+        payload, ["model_name", "segment"], "prediction",
+        {"at_highest_lag": (F.lit(True), ["lag", "ts", "event_id"]), "latest_inference": (F.col("is_inference"), ["ts", "event_id"])},
     )
 
 
@@ -143,7 +145,7 @@ QUERIES = {
                         row_number() OVER (PARTITION BY model_name, segment, is_inference ORDER BY ts DESC, event_id DESC) AS b FROM stg_payload) x GROUP BY 1, 2""",
     ),
     "so2_preview": Query(
-        lambda s, d: staging.read_table(s, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(200),
+        lambda s, d: summaries.preview(staging.read_table(s, d, "orders"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 200),
         "o_orderkey:i o_totalprice:d",
         "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 200",
     ),
@@ -161,16 +163,16 @@ QUERIES = {
         "SELECT CAST(unnest(generate_series((SELECT date_trunc('month', min(o_orderdate)) FROM orders), (SELECT date_trunc('month', max(o_orderdate)) FROM orders), INTERVAL 1 MONTH)) AS DATE) AS month",
     ),
     "ag1_monthly_totals": Query(
-        lambda s, d: staging.read_table(s, d, "orders").groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month"), "o_orderstatus").agg(
-            F.sum("o_totalprice").alias("total"), F.avg("o_totalprice").alias("mean"), F.count("*").alias("orders"),
-            F.count_distinct("o_custkey").alias("customers"),
+        lambda s, d: summaries.totals(
+            staging.read_table(s, d, "orders").withColumn("month", F.trunc(F.to_date("o_orderdate"), "MM")), ["month", "o_orderstatus"],
+            {"total": F.sum("o_totalprice"), "mean": F.avg("o_totalprice"), "orders": F.count("*"), "customers": F.count_distinct("o_custkey")},
         ),
         "month:t o_orderstatus:s total:d mean:d orders:i customers:i",
         "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderstatus, sum(o_totalprice) AS total, avg(o_totalprice) AS mean, count(*) AS orders, "
         "count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1, 2",
     ),
     "ag6_distinct_dims": Query(
-        lambda s, d: staging.stage(s, d, "invoicebase").select("SystemID", "MajorICDGroupingDescription").distinct(),
+        lambda s, d: summaries.distinct_rows(staging.stage(s, d, "invoicebase"), ["SystemID", "MajorICDGroupingDescription"]),
         "SystemID:s MajorICDGroupingDescription:s",
         "SELECT DISTINCT SystemID, MajorICDGroupingDescription FROM stg_invoicebase",
     ),

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lossgrid.session import configure
+from lossgrid.session import clear_run, configure
 
 
 @pytest.fixture(scope="session")
@@ -18,4 +18,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
+    clear_run(session)
     session.stop()
