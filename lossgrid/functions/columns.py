@@ -42,6 +42,34 @@ def short_id(text: Column) -> Column:
     return F.substring(F.translate(digest, "+/", "-_"), 1, 6)
 
 
+def clean_name(text: Column) -> Column:
+    """Name that a catalog takes: white space, brackets, slashes, dots, bars, control signs and dashes become ``_``, lower case."""
+    return F.lower(F.regexp_replace(text, r"[.\s/()\[\]{}|\x00-\x1F\x7F-]", "_"))
+
+
+def probability_map(value: Column, kind: str) -> Column:
+    """Map of class to probability from a map, an array (classes by place) or text: JSON object, JSON list or one number.
+
+    ``kind`` is the type name of ``value``. Text that cannot be read gives NULL.
+    """
+    def by_place(items: Column) -> Column:
+        return F.map_from_entries(F.transform(items, lambda x, i: F.struct(i.cast("string").alias("key"), x.cast("double").alias("value"))))
+
+    if kind.startswith("map"):
+        return value.cast("map<string,double>")
+    if kind.startswith("array"):
+        return by_place(value)
+    if kind != "string":
+        return F.when(value.isNotNull(), F.create_map(F.lit("0"), value.cast("double")))
+    text = F.trim(value)
+    number = text.try_cast("double")
+    return (
+        F.when(text.startswith("{"), F.from_json(text, "map<string,double>"))
+        .when(text.startswith("["), by_place(F.from_json(text, "array<double>")))
+        .when(number.isNotNull(), F.create_map(F.lit("0"), number))
+    )
+
+
 def normalise_target(target: Column) -> Column:
     """Canonical label of a forecast target; unknown names are kept as they are."""
     name = F.regexp_replace(F.lower(F.trim(target)), "[^a-z0-9]+", "_")

@@ -100,5 +100,5 @@ def tune_learner(
 def search_table(spark: SparkSession, tuned: CrossValidatorModel) -> DataFrame:
     """One row per configuration: its parameters as a map, the mean score, and whether it is the best."""
     best = (max if tuned.getEvaluator().isLargerBetter() else min)(tuned.avgMetrics)
-    rows = [({p.name: str(v) for p, v in grid.items()}, float(m), m == best) for grid, m in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics)]
+    rows = [({p.name: str(v) for p, v in grid.items()}, float(m), bool(m == best)) for grid, m in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics)]
     return spark.createDataFrame(rows, "params map<string,string>, score double, best boolean")
