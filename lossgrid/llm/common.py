@@ -48,6 +48,11 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def by_key(small: DataFrame) -> DataFrame:
+    """The frame marked so that a join with texts always goes by key: the plan, and what moves, is the same at every size."""
+    return small.hint("merge")
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -92,6 +97,18 @@ def batches(rows: Iterator[pa.RecordBatch], columns: list[str]) -> Iterable[list
             yield [batch.column(c).to_pylist() for c in columns]
 
 
+def pooled(rows: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at least ``least`` rows, but for the last one; for rows of bounded size."""
+    held: list[pa.RecordBatch] = []
+    for batch in rows:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= least:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if any(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): one row (node, root) per node, root the smallest node reached.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lossgrid.llm.common import columns, fresh, written
+from lossgrid.llm.common import by_key, columns, fresh, written
 
 #: Distinct sites that make a line boilerplate.
 SITES = 6
@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", sites: int = SITES) -> Da
     """
     key, cut, kept = fresh(docs, "_key", "_cut", "_kept")
     cuts = written(removals(docs, site, sites)).withColumnsRenamed({"key": key, "cut": cut})
-    marked = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(cuts, key, "left").withColumn(kept, _without(cut))
+    marked = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(by_key(cuts), key, "left").withColumn(kept, _without(cut))
     changed = {"text": F.col(kept)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col(cut).isNotNull(), F.length(kept)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
@@ -87,7 +87,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", sites: int = SITES) -> Da
 def op9(docs: DataFrame) -> DataFrame:
     """Per document: its id, lines removed, and the kept text's length and hash."""
     cuts = written(removals(docs))
-    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).join(cuts, "key", "left")
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).join(by_key(cuts), "key", "left")
     kept = F.coalesce(_without("cut"), F.lit(""))
     removed = F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut")).cast("bigint")
     return marked.select("doc_id", removed.alias("lines_removed"), F.length(kept).cast("bigint").alias("kept_chars"), F.md5(kept.cast("binary")).alias("kept_md5"))
