@@ -10,7 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lossgrid.llm.common import SPACE, columns, fresh, written
+from lossgrid.llm.common import SPACE, by_key, columns, fresh, written
 
 WEIGHTS, CAP, SEED = (5.0, 2.0, 1.0), 3, 11
 #: Budget in words that the knapsack table covers; more is first filled with the longest documents.
@@ -141,4 +141,4 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP)
     copies, size, copy = fresh(docs, "_copies", "_size", "_copy")
     found = mix(docs, weights, cap).where("doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias(copies), F.max("size").alias(size))
     times = F.when(F.col(copies).isNull() | (F.col(size) == 0), 1).otherwise(F.col(copies)).cast("int")
-    return docs.join(found, "doc_id", "left").withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*columns(docs))
+    return docs.join(by_key(found), "doc_id", "left").withColumn(copy, F.explode(F.array_repeat(F.lit(0), times))).select(*columns(docs))

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lossgrid.llm.common import batches, columns, components, lower_words, shingle_spans, written
+from lossgrid.llm.common import batches, by_key, columns, components, lower_words, shingle_spans, written
 
 RADIUS, BLOCKS, SHINGLE, SEED = 4, 8, 4, 42
 #: Members of one grid cell that a task compares directly.
@@ -224,7 +224,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> Data
     sized = marked.join(lengths.groupBy("doc_id").agg(F.max("_length").alias("_length")), "doc_id")
     best = sized.groupBy("component_id").agg(F.max_by("doc_id", F.struct("_length", -F.col("doc_id"))).alias("_kept"))
     drop = written(marked.join(best, "component_id").groupBy("doc_id").agg(F.max(F.expr("doc_id = _kept")).alias("_stays")).where("not _stays").select("doc_id"))
-    left = docs.join(drop, "doc_id", "left_anti").select(*columns(docs))
+    left = docs.join(by_key(drop), "doc_id", "left_anti").select(*columns(docs))
     repeated = written(lengths.groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if repeated.isEmpty():
         return left
