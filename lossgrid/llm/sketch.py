@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lossgrid.llm.common import batches, lower_words, shingle_spans, written
 
 SHINGLE, SEED = 5, 17
-#: Hashes have 48 bits; those below FRACTION of the range are kept, and the LEAST smallest in any case.
-RANGE, FRACTION, LEAST = 1 << 48, 1 / 32, 64
+#: Hashes have 40 bits; those below FRACTION of the range are kept, and the LEAST smallest in any case.
+RANGE, FRACTION, LEAST = 1 << 40, 1 / 32, 64
 
 
 class Sketch:
@@ -39,16 +39,20 @@ class Sketch:
         joined, starts, ends = shingle_spans(lower_words(text), size)
         digest = xxhash.xxh64_intdigest
         hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts))
-        return cls(np.unique(hashes >> np.uint64(16)).astype(np.int64))
+        return cls(np.unique(hashes >> np.uint64(24)).astype(np.int64))
 
     @classmethod
-    def parse(cls, text: str) -> Sketch:
-        limit, _, body = text.partition(":")
-        hashes = [int(body[i : i + 12], 16) for i in range(0, len(body), 12)]
-        return cls(np.array(hashes, np.int64), int(limit, 16))
+    def unpack(cls, data: bytes) -> Sketch:
+        """The sketch of its binary form: the limit and then each hash, five bytes each but six for the limit."""
+        wide = np.zeros((len(data) // 5 - 1, 8), np.uint8)
+        wide[:, 3:] = np.frombuffer(data[6:], np.uint8).reshape(-1, 5)
+        return cls(wide.view(">i8").ravel().astype(np.int64), int.from_bytes(data[:6], "big"))
+
+    def pack(self) -> bytes:
+        return self.limit.to_bytes(6, "big") + self.hashes.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
 
     def text(self) -> str:
-        return f"{self.limit:x}:" + "".join(f"{h:012x}" for h in self.hashes.tolist())
+        return self.pack().hex()
 
     def merge(self, other: Sketch) -> Sketch:
         """Sketch of the union of both shingle sets."""
@@ -76,19 +80,19 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-ROW = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, inside_edited double"
+ROW = "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, inside_edited double"
 KEPT = f"kind int, part int, {ROW}, head string, tail string"
 
 
 def _compare(doc_id: int | None, text: str, own: Sketch, following: str, next_sketch: Sketch) -> tuple:
     changed = edited(text, following)
     other = Sketch.of(changed)
-    digest = hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest()
-    return doc_id, len(text), digest, own.text(), other.text(), own.likeness(other), own.likeness(next_sketch), own.inside(other)
+    digest = hashlib.sha256(changed.encode("utf-8", "replace")).digest()
+    return doc_id, len(text), digest, own.pack(), other.pack(), own.likeness(other), own.likeness(next_sketch), own.inside(other)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
     fields = [f.strip().split() for f in schema.split(",")]
     columns = zip(*rows) if rows else [[]] * len(fields)
     return pa.record_batch([pa.array(list(c), kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
@@ -135,4 +139,5 @@ def op6(docs: DataFrame) -> DataFrame:
     pairs = numbered.select("part", F.coalesce("after", "start").alias("after"))
     seams = ends.select("part", "doc_id", "tail").join(pairs, "part").join(ends.select(F.col("part").alias("after"), F.col("head").alias("following")), "after")
     names = [f.strip().split()[0] for f in ROW.split(",")]
-    return kept.where("kind = 0").select(*names).unionByName(seams.select("doc_id", "tail", "following").mapInArrow(_seams, ROW))
+    found = kept.where("kind = 0").select(*names).unionByName(seams.select("doc_id", "tail", "following").mapInArrow(_seams, ROW))
+    return found.select(*[F.lower(F.hex(n)).alias(n) if "sha256" in n or "fingerprint" in n else F.col(n) for n in names])
