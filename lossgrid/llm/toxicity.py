@@ -19,19 +19,20 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lossgrid.llm.common import batches, fold, fold_column
 
 #: Labelled rows the machine is fitted on, chosen by hash: at most so many of each kind.
-TOXIC_ROWS, CLEAN_ROWS = 2000, 4000
+TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 LENGTH, WINDOW, DECAY = 4, 6, 0.6
 #: Toxic texts that no frequent word explains and that are compared by kernel, the kernel from which two words are alike,
 #: and the size of the sketch of a word's subsequences that this comparison uses.
-UNEXPLAINED, ALIKE, SKETCH = 60, 0.45, 1024
-LANDMARKS, NEGATIVES, SEED = 500, 12_000, 5
+UNEXPLAINED, ALIKE, SKETCH = 30, 0.45, 1024
+LANDMARKS, NEGATIVES, SEED = 360, 8_000, 5
 #: Words a worker remembers the score of.
 REMEMBERED = 400_000
 
@@ -121,7 +122,7 @@ def _kernel(words: list[str], landmarks: tuple[np.ndarray, np.ndarray]) -> np.nd
             row = used[number]
             hit = row >= 0
             sums[at[hit]] += np.float32(weight) * table[row[hit]]
-        out.append(np.add.reduceat(sums, starts, axis=0) / _scale(starts, len(symbols))[:, None])
+        out.append((np.add.reduceat(sums, starts, axis=0) / _scale(starts, len(symbols))[:, None]).astype(np.float32))
     return np.concatenate(out) if out else np.zeros((0, table.shape[1]))
 
 
@@ -132,20 +133,25 @@ def _landmark_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     numbers = np.unique(np.concatenate([f[0] for f in found]))
     used = np.full(NUMBERS, -1, np.int32)
     used[numbers] = np.arange(len(numbers))
-    table = np.zeros((len(numbers), len(words)))
+    table = np.zeros((len(numbers), len(words)), np.float32)
     for number, owner, weight in found:
-        np.add.at(table, (used[number], owner), weight)
-    return used, (table / _scale(starts, len(symbols))[None, :]).astype(np.float32)
+        np.add.at(table, (used[number], owner), np.float32(weight))
+    table /= _scale(starts, len(symbols))[None, :].astype(np.float32)
+    return used, table
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 2e-4, rounds: int = 25) -> np.ndarray:
     """Squared-hinge linear machine by Newton steps; the last column of ``x`` is the bias."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        inside = 1 - y * (x @ w) > 0
-        xi, wi = x[inside], weight[inside] / weight.sum()
-        hessian = (xi * wi[:, None]).T @ xi + penalty * np.eye(len(w))
-        new = np.linalg.solve(hessian, xi.T @ (wi * y[inside]))
+        inside = np.flatnonzero(1 - y * (x @ w) > 0)
+        hessian, right = penalty * np.eye(len(w)), np.zeros(len(w))
+        for low in range(0, len(inside), 1000):  # few rows at a time, in double precision
+            part = inside[low : low + 1000]
+            xi, wi = x[part].astype(float), weight[part] / weight.sum()
+            hessian += (xi * wi[:, None]).T @ xi
+            right += xi.T @ (wi * y[part])
+        new = np.linalg.solve(hessian, right)
         if np.abs(new - w).max() < 1e-6:
             return new
         w = new
@@ -203,13 +209,16 @@ def _sketched(words: list[str]) -> np.ndarray:
 
 def _cover_alike(left: list[set[str]], clean: dict[str, int], negative: list[str]) -> list[str]:
     """Words for texts that no frequent word explains: those with like words in most of the other texts, and few clean ones."""
-    left = left[:UNEXPLAINED]
+    left = sorted(left, key=lambda t: (len(t), sorted(t)))[:UNEXPLAINED]  # the shortest say most about their words
     pairs = [(w, i) for i, t in enumerate(left) for w in sorted(t) if w not in clean and len(w) > 3]
+    while len(pairs) > 6000:
+        left.pop()
+        pairs = [(w, i) for w, i in pairs if i < len(left)]
     if len(left) < 2 or not pairs:
         return []
     words, owner = [w for w, _ in pairs], np.array([i for _, i in pairs])
     x, z = _sketched(words), _sketched(negative)
-    near = x @ x.T >= ALIKE
+    near = np.concatenate([x[low : low + 500] @ x.T >= ALIKE for low in range(0, len(x), 500)])
     support = np.zeros((len(words), len(left)), bool)
     for i in range(len(left)):
         support[:, i] = near[:, owner == i].any(axis=1)
@@ -248,10 +257,10 @@ def fit(toxic: list[set[str]], clean: dict[str, int], clean_texts: int) -> Machi
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
         kept = values > 1e-6 * values.max()
         root = vectors[:, kept] / np.sqrt(values[kept])
-        z = _kernel(pos + neg, (used, table)) @ root
+        z = _kernel(pos + neg, (used, table)) @ root.astype(np.float32)
         y = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
         weight = np.concatenate([np.full(len(pos), len(neg) / len(pos)), np.ones(len(neg))])
-        w = _svm(np.hstack([z, np.ones((len(z), 1))]), y, weight)
+        w = _svm(np.hstack([z, np.ones((len(z), 1), np.float32)]), y, weight)
         weights = np.zeros(NUMBERS, np.float32)
         weights[used >= 0] = (table @ (root @ w[:-1]))[used[used >= 0]]
         bias = float(w[-1])
@@ -295,6 +304,17 @@ def _curve(toxic: np.ndarray, clean_words: np.ndarray, occurrences: np.ndarray,
     return slope, -slope * cut + float(np.log(THRESHOLD / (1 - THRESHOLD)))
 
 
+def text_margins(texts: list[str | None], machine: Machine, known: dict[str, float]) -> np.ndarray:
+    """Margin of the worst word of each text, -1 without words; ``known`` keeps the margins of words met before."""
+    if len(known) > REMEMBERED:
+        known.clear()
+    words = [set(units(t)) for t in texts]
+    new = list({w for own in words for w in own if w not in known})
+    if new:
+        known.update(zip(new, score_words(new, machine.weights, machine.bias).tolist()))
+    return np.array([max(map(known.__getitem__, own)) if own else -1.0 for own in words])
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
     """Fit on a bounded sample, by hash, of labelled rows outside the held-out fold. Null labels and texts do not count."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).where("_toxic is not null and _id is not null").where(fold_column(F.col("_id"), FOLDS) != HELD_OUT).distinct()
@@ -313,7 +333,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     clean = found.where("toxic = 0").select("id", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).toArrow()
     toxic = found.where("toxic = 1").select("words").toArrow()
     counts = dict(zip(clean.column("word").to_pylist(), clean.column("n").to_pylist()))
-    return fit([set(w) for w in toxic.column("words").to_pylist()], counts, sample.where("_toxic = 0").count())
+    one = {w: w for w in counts}  # one string for each word
+    texts = [{one.setdefault(w, w) for w in words.as_py()} for words in toxic.column("words")]
+    del clean, toxic, one
+    return fit(texts, counts, sample.where("_toxic = 0").count())
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -323,18 +346,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for ids, texts in batches(rows, ["doc_id", "text"]):
-            margins = np.full(len(texts), -1.0)
-            for i, text in enumerate(texts):
-                words = set(units(text))
-                if not words:
-                    continue
-                new = [w for w in words if w not in known]
-                if new:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                        new = list(words)
-                    known.update(zip(new, score_words(new, model.value.weights, model.value.bias).tolist()))
-                margins[i] = max(map(known.__getitem__, words))
+            margins = text_margins(texts, model.value, known)
             p = model.value.probability(margins)
             yield pa.record_batch({
                 "doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([fold(i, FOLDS) == HELD_OUT for i in ids]), "score": pa.array(p),
@@ -354,11 +366,9 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     @F.pandas_udf("boolean")
-    def clean(texts):
-        weights, bias = model.value.weights, model.value.bias
-        worst = np.array([_worst(sorted(set(units(t))), weights, bias)[1] for t in texts])
-        import pandas as pd
-
-        return pd.Series(model.value.probability(worst) < THRESHOLD)
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, float] = {}
+        for texts in parts:
+            yield pd.Series(model.value.probability(text_margins(texts.tolist(), model.value, known)) < THRESHOLD)
 
     return docs.where(clean(F.col("text")))
