@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lossgrid.llm.common import batches
-from lossgrid.session import shared_dir
+from lossgrid.session import run_dir
 
 #: Fixed values of the format: selector -> (ids in a word, bits of each).
 PACKING = [(120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
@@ -28,8 +28,8 @@ ESCAPE = 15
 BLOCK = 512
 CHUNK_IDS = 1 << 17
 END_ID = 2
-#: Word pieces a worker remembers; beyond it the memory starts anew.
-PIECES = 400_000
+#: Pieces of text a worker remembers before it forgets those it has not met since the last time.
+PIECES = 350_000
 CHUNKS = "part int, seq int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, words binary, offsets binary, raw binary"
 
 
@@ -103,41 +103,79 @@ def decode(packed: np.ndarray, offsets: np.ndarray, raw: np.ndarray, n: int) ->
 
 
 class PieceEncoder:
-    """Encodes texts with a tokenizer of the tokenizers library, each different space-led piece once per worker.
+    """Encodes texts with a tokenizer of the tokenizers library, each different piece of text about once per worker.
 
-    The vocabulary's pattern always cuts before a space that stands between two characters that are not white space,
-    so such a text is the sequence of its pieces. Texts with other white space beside a space are encoded whole.
+    The vocabulary's pattern always cuts before a space and around a line feed that stand alone between other characters.
+    A text in which all white space stands alone is therefore the sequence of its lines and, in them, of its space-led
+    pieces; where only spaces do, it is the sequence of these. Other texts are encoded whole. Pieces not known yet are
+    encoded together, a line feed between two of them, and the ids are cut at the line feed's id.
     """
 
-    _unclean = re.compile(r" \s|\s ")
+    _double, _unclean = re.compile(r"\s\s"), re.compile(r" \s|\s ")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
+        self.known: dict[str, bytes] = {"\n": b""}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _cut(self, text: str) -> list[str] | None:
+        """Keys of the pieces of a text: a piece after a space as it is, one without a space with a line feed before it."""
+        if self.feed is None:
+            return None
+        if self._double.search(text):
+            if self._unclean.search(text):
+                return None
+            first, *rest = text.split(" ")
+            return None if "\n" in first else ["\n" + first, *rest]
+        out: list[str] = []
+        for line in text.split("\n"):
+            first, _, rest = line.partition(" ")
+            out.append("\n" + first)
+            if _:
+                out += rest.split(" ")
+            out.append("\n\n")
+        return out[:-1]
+
+    def _learn(self, keys: set[str]) -> None:
+        missing = []
+        for key in keys:
+            old = self.older.get(key)
+            if old is None:
+                missing.append(key)
+            else:
+                self.known[key] = old
+        plain = [k for k in missing if k and "\n" not in k[1:]]
+        for low in range(0, len(plain), 20_000):
+            part = plain[low : low + 20_000]
+            lines = ["\n".join(k[1:] if k[0] == "\n" else " " + k for k in part[i : i + 500]) for i in range(0, len(part), 500)]
+            coded = self._ids([line + "\n" for line in lines])
+            flat = np.frombuffer(b"".join(coded), "<u4")
+            data, ends = flat.tobytes(), np.flatnonzero(flat == self.feed)
+            starts = np.concatenate(([0], ends[:-1] + 1))
+            self.known.update(zip(part, [data[4 * s : 4 * e] for s, e in zip(starts.tolist(), ends.tolist())]))
+        odd = [k for k in missing if not k or "\n" in k[1:]]
+        self.known.update(zip(odd, self._ids(["\n" if k == "\n\n" else " " + k for k in odd])))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        out = []
-        for text in texts:
-            if self._unclean.search(text):
-                out += self._ids([text])
-                continue
-            first, *pieces = text.split(" ")
-            if len(self.known) > PIECES:
-                self.known.clear()
-            new = list({p for p in pieces if p not in self.known})
-            if new:
-                self.known.update(zip(new, self._ids([" " + p for p in new])))
-            head = self._ids([first])[0] if first else b""
-            out.append(head + b"".join(map(self.known.__getitem__, pieces)))
-        return out
+        if len(self.known) > PIECES:
+            self.known, self.older = {"\n": b""}, self.known
+        cut = [self._cut(text) for text in texts]
+        known = self.known
+        new = {key for keys in cut if keys for key in keys if key not in known}
+        if new:
+            self._learn(new)
+        whole = iter(self._ids([text for text, keys in zip(texts, cut) if keys is None]))
+        return [next(whole) if keys is None else b"".join(map(known.__getitem__, keys)) for keys in cut]
 
 
 def _chunks(tokenizer_path: str, end_id: int):
@@ -210,6 +248,6 @@ def op1(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> Data
     import uuid
 
     spark = docs.sparkSession
-    path = f"{folder or shared_dir(spark)}/token_ids/{uuid.uuid4().hex}"
+    path = f"{folder or run_dir(spark)}/token_ids/{uuid.uuid4().hex}"
     write_ids(docs, path, tokenizer_path)
     return read_documents(spark, path)
