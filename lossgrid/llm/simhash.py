@@ -214,13 +214,18 @@ def op8(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
-    """One document of each near-duplicate group, with all columns: the longest text, ties to the smallest doc_id.
+    """One document of each group of near-duplicates by SimHash, as ``one_of_each`` chooses it."""
+    return one_of_each(docs, near_duplicates(docs, radius, size))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One document of each group (doc_id, component_id), with all columns: the longest text, ties to the smallest doc_id.
 
     Of rows with one doc_id one stays. Rows without doc_id cannot be told apart by it: they all stay. Documents without
     words form one group, as their fingerprints are equal.
     """
     lengths = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("_length")).where("doc_id is not null")
-    marked = written(near_duplicates(docs, radius, size).where("doc_id is not null").select("doc_id", "component_id").distinct())
+    marked = written(groups.where("doc_id is not null").select("doc_id", "component_id").distinct())
     sized = marked.join(lengths.groupBy("doc_id").agg(F.max("_length").alias("_length")), "doc_id")
     best = sized.groupBy("component_id").agg(F.max_by("doc_id", F.struct("_length", -F.col("doc_id"))).alias("_kept"))
     drop = written(marked.join(best, "component_id").groupBy("doc_id").agg(F.max(F.expr("doc_id = _kept")).alias("_stays")).where("not _stays").select("doc_id"))

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lossgrid.llm import lines, lm, mixing, packing, pages, simhash, sketch, token_ids, toxicity, vectors
+from lossgrid.llm import likeness, lines, lm, mixing, packing, pages, simhash, sketch, token_ids, toxicity, vectors
 from lossgrid.llm.common import components, fold, prepared
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, _cut string, rank int"
@@ -395,6 +395,40 @@ def test_links_in_crowded_cells(session, limit):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def brute_shingles(text):
+    words = split_words(low(text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("limit", [512, 7])
+def test_pipeline_drops_edited_copies(session, limit):
+    made = []
+    for g in range(12):
+        base = prose(4000 + g, 120).split()
+        made.append((100 * g, " ".join(base)))
+        for k in range(1, 5):  # one edit costs ten shingles of 232 in both: k edits reach 0.92, 0.84, 0.77, 0.71
+            edited = list(base)
+            for e in range(k):
+                edited[8 + 20 * e + g] = f"changed{k}x{e}"
+            made.append((100 * g + k, " ".join(edited)))
+    made += [(9000, None), (9001, ""), (9002, "two words"), (9003, "Two  words"), (9004, "two other")]
+    sets = [brute_shingles(t) for _, t in made]
+    root = list(range(len(made)))
+    for i in range(len(made)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    table = session.createDataFrame(made, "doc_id bigint, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in likeness.near_duplicates(table, limit=limit).collect()}
+    assert found == {made[i][0]: made[root[i]][0] for i in range(len(made))}
+    import corpus_pipeline
+
+    if limit == 512:
+        assert corpus_pipeline.near_dedup(session, table, "").count() == len(set(root))
+        assert likeness.near_duplicates(table.limit(0)).collect() == []
+
+
 def test_components_of_a_chain(session):
     edges = session.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 100), (5, 5)], "a bigint, b bigint")
     found = {r["node"]: r["root"] for r in components(edges).collect()}
