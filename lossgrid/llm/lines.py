@@ -1,9 +1,8 @@
 """Line dedup by distinct-site spread.
 
 Each line hash has a HyperLogLog sketch of the sites it occurs on, kept as rows (line, register, rank) that merge by
-taking the maximum. Lines whose estimated spread is near the threshold get an exact count of distinct sites. Of a line
-that reaches the threshold only the first occurrence stays, so the text of a page that was copied to many sites is kept
-once.
+taking the maximum. Sites fill no more registers than they are: a line with as many filled registers as the threshold
+reaches it, one with fewer occurrences does not, and all lines between get an exact count of distinct sites. Of a line that reaches the threshold only the first occurrence stays, so the text of a page that was copied to many sites is kept once.
 """
 
 from __future__ import annotations
@@ -14,8 +13,8 @@ from lossgrid.llm.common import by_key, columns, fresh, written
 
 #: Distinct sites that make a line boilerplate.
 SITES = 6
-#: HyperLogLog: registers (a power of two), their bias constant, and how far from the threshold an estimate must be.
-REGISTERS, ALPHA, BAND = 64, 0.709, 1.6
+#: HyperLogLog: registers (a power of two) and their bias constant.
+REGISTERS, ALPHA = 64, 0.709
 
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
@@ -34,20 +33,21 @@ def _estimate(inverse: Column, used: Column) -> Column:
 
 
 def spread(lines: DataFrame) -> DataFrame:
-    """(line, estimate): distinct sites per line by its HyperLogLog sketch."""
+    """(line, estimate, used, n): distinct sites per line by its HyperLogLog sketch, registers filled, and occurrences."""
     bits = REGISTERS.bit_length() - 1
     rest = F.shiftrightunsigned("site", bits)
     rank = F.expr(f"{64 - bits} - if(rest = 0, 0, int(floor(log2(double(rest)))) + 1) + 1")
     registers = lines.select("line", F.col("site").bitwiseAND(F.lit(REGISTERS - 1)).alias("register"), rest.alias("rest")).withColumn("rank", rank)
-    merged = registers.groupBy("line", "register").agg(F.max("rank").alias("rank"))
-    return merged.groupBy("line").agg(F.sum(F.expr("pow(2D, -rank)")).alias("inverse"), F.count("*").alias("used")).select("line", _estimate(F.col("inverse"), F.col("used")).alias("estimate"))
+    merged = registers.groupBy("line", "register").agg(F.max("rank").alias("rank"), F.count("*").alias("n"))
+    sketch = merged.groupBy("line").agg(F.sum(F.expr("pow(2D, -rank)")).alias("inverse"), F.count("*").alias("used"), F.sum("n").alias("n"))
+    return sketch.select("line", _estimate(F.col("inverse"), F.col("used")).alias("estimate"), "used", "n")
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """(line): hashes of lines on at least ``sites`` distinct sites."""
-    estimated = written(spread(lines).where(F.col("estimate") >= sites / BAND))
-    sure = estimated.where(F.col("estimate") > sites * BAND).select("line")
-    near = estimated.where(F.col("estimate") <= sites * BAND).select("line")
+    open_ = written(spread(lines).where(F.col("n") >= sites).select("line", "used"))
+    sure = open_.where(F.col("used") >= sites).select("line")
+    near = open_.where(F.col("used") < sites).select("line")
     exact = lines.select("line", "site").join(near, "line", "left_semi").distinct().groupBy("line").count().where(F.col("count") >= sites)
     return sure.unionAll(exact.select("line"))
 

@@ -463,6 +463,15 @@ def test_spread_estimates(session):
         assert r["estimate"] == pytest.approx(r["line"], rel=0.4)
 
 
+def test_sites_that_share_registers(session):
+    names = session.range(3000).select(F.concat(F.lit("site"), "id").alias("source")).withColumn("register", F.xxhash64("source").bitwiseAND(F.lit(lines.REGISTERS - 1)))
+    sites = [r["source"] for r in names.where("register < 2").orderBy("source").limit(6).collect()]
+    made = [(i, f"text {i}\na line of six sites in two registers", s) for i, s in enumerate(sites)] + [(9, "text\nfive sites only", "x")]
+    made += [(10 + i, f"other {i}\nfive sites only", s) for i, s in enumerate(sites[:4])]
+    table = session.createDataFrame(made, "doc_id bigint, text string, source string")
+    assert {r["doc_id"]: r["lines_removed"] for r in lines.op9(table).collect()} == {m[0]: int(m[0] in range(1, 6)) for m in made}
+
+
 # -- 10 ---------------------------------------------------------------------------------------------------------------
 
 
