@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lossgrid.llm.common import by_key, columns, fresh, written
+from lossgrid.llm.common import SPACE, by_key, columns, fresh, written
 
 #: Distinct sites that make a line boilerplate.
 SITES = 6
+#: Words from which a line is a passage, and the documents that make it a repeated one, on whatever sites they are.
+LONG, COPIES = 50, 2
 #: HyperLogLog: registers (a power of two) and their bias constant.
 REGISTERS, ALPHA = 64, 0.709
 
@@ -21,7 +23,8 @@ def _lines(docs: DataFrame, site: str) -> DataFrame:
     """(doc_id, key, pos, line, site): the lines of each text that are not blank, as hashes of their trimmed text."""
     base = docs.select(F.col("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.col(site)).alias("site"), F.split("text", "\n").alias("_lines"))
     split = base.select("doc_id", "key", "site", F.posexplode("_lines").alias("pos", "_line"))
-    return split.withColumn("_line", F.trim("_line")).where("_line <> ''").select("doc_id", "key", "pos", F.xxhash64("_line").alias("line"), "site")
+    long = (F.size(F.split(F.trim("_line"), f"[{SPACE}]+")) >= LONG).alias("long")
+    return split.withColumn("_line", F.trim("_line")).where("_line <> ''").select("doc_id", "key", "pos", F.xxhash64("_line").alias("line"), "site", long)
 
 
 def _estimate(inverse: Column, used: Column) -> Column:
@@ -52,10 +55,17 @@ def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     return sure.unionAll(exact.select("line"))
 
 
-def removals(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
-    """(key, cut): positions of the lines to remove, for the texts that lose any; key is the hash of doc_id and text."""
+def removals(docs: DataFrame, site: str = "source", sites: int = SITES, copies: int | None = None) -> DataFrame:
+    """(key, cut): positions of the lines to remove, for the texts that lose any; key is the hash of doc_id and text.
+
+    With ``copies``, lines of at least ``LONG`` words are removed where so many documents carry them, inside one site too.
+    """
     lines = written(_lines(docs, site))
-    found = written(boilerplate(lines, sites))
+    if copies is None:
+        found = written(boilerplate(lines, sites))
+    else:
+        passages = lines.where("long").select("line", F.col("key").alias("site"))
+        found = written(boilerplate(lines.where("not long"), sites).unionAll(boilerplate(passages, copies)))
     hits = lines.join(found, "line", "left_semi")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "pos")
     first = hits.groupBy("line").agg(F.min(place).alias("first"))
@@ -68,15 +78,18 @@ def _without(cut: str) -> Column:
     return F.expr(f"if({cut} is null, text, array_join(filter(split(text, '\\n'), (x, i) -> not array_contains({cut}, i)), '\\n'))")
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
+def dedup_lines(docs: DataFrame, site: str = "source", sites: int = SITES, copies: int | None = COPIES) -> DataFrame:
     """The documents without repeated cross-site lines, with all their columns; n_chars follows the text if it exists.
 
+    Passages (lines of at least ``LONG`` words) are repeated from ``copies`` documents on, inside one site too; None
+    holds them to ``sites`` like all lines.
+
     Lines are compared without the white space around them; blank lines stay. A null site counts as one site. Null and
     empty texts stay as they are, a text that loses all lines becomes empty. The first occurrence by doc_id (null last)
     and line stays; rows with equal doc_id and text are the same occurrence.
     """
     key, cut, kept = fresh(docs, "_key", "_cut", "_kept")
-    cuts = written(removals(docs, site, sites)).withColumnsRenamed({"key": key, "cut": cut})
+    cuts = written(removals(docs, site, sites, copies)).withColumnsRenamed({"key": key, "cut": cut})
     marked = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(by_key(cuts), key, "left").withColumn(kept, _without(cut))
     changed = {"text": F.col(kept)}
     if "n_chars" in docs.columns:

@@ -472,6 +472,15 @@ def test_sites_that_share_registers(session):
     assert {r["doc_id"]: r["lines_removed"] for r in lines.op9(table).collect()} == {m[0]: int(m[0] in range(1, 6)) for m in made}
 
 
+def test_repeated_passages(session):
+    one, two, short = prose(70, 50), prose(71, 60), prose(72, 49)
+    made = [(1, f"a\n{one}\nb", "s1"), (2, f"c\n {one}", "s2"), (3, f"{two}\n{short}", "s1"), (4, f"d\n{two}\n{short}", "s1"), (5, prose(73, 80), "s1"), (5, prose(73, 80), "s1")]
+    table = session.createDataFrame(made, "doc_id bigint, text string, source string")
+    wanted = [(1, made[0][1]), (2, "c"), (3, made[2][1]), (4, f"d\n{short}"), (5, made[4][1]), (5, made[4][1])]
+    assert sorted((r["doc_id"], r["text"]) for r in lines.dedup_lines(table).collect()) == wanted
+    assert all(r["lines_removed"] == 0 for r in lines.op9(table).collect())  # op9 is held to its SQL
+
+
 # -- 10 ---------------------------------------------------------------------------------------------------------------
 
 
