@@ -321,6 +321,25 @@ def test_blocks():
     assert inside == ["Title & more", "First <one>", "Second one here", "Third é"]
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="no-sidebar"><article><p>Story</p></article></body>',
+    '<body id="menu"><main class="has-sidebar"><p>Story</p></main><div class="sidebar">Side</div></body>',
+    '<div id="header-fixed"><main><p>Story</p></main></div>',
+    '<article class="post comments-open"><p>Story</p><div class="comments"><article class="comment">Nice</article></div></article>',
+    '<form id="all"><div class="social"><article><p>Story</p><form><label>Send</label></form></article></div></form>',
+    '<article><div class="article-header"><p>Story</p></div><div class="share-bar">Share</div></article>',
+    '<div class="widget"><main><p>Story</p></main></div><div class="related"><article>Other</article></div><nav>Menu</nav>',
+])
+def test_marked_wrappers(page):
+    assert [t for t, k in pages.blocks(page) if k == pages.INSIDE] == ["Story"]
+
+
+def test_marked_parts_and_bare_forms():
+    assert [t for t, k in pages.blocks('<p>Story</p><div class="navbar navbar-fixed-top">Home</div><div id="cookie_notice">Yes</div><form>Go</form>') if k == pages.OUTSIDE] == ["Story"]
+    assert [t for t, k in pages.blocks('<form id="aspnet"><p>Story</p><nav>Menu</nav></form>') if k == pages.OUTSIDE] == ["Story"]
+    assert [t for t, k in pages.blocks('<article><p>Story</p></article><div id="comments"><article>Nice</article></div>') if k == pages.INSIDE] == ["Story"]
+
+
 def test_pages(session):
     plain = "<body><div>Site name</div><p>Story {0}</p><p>More of {0}</p><div>All rights reserved</div></body>"
     made = [(i, f"http://h.example/a/{i}", plain.format(i)) for i in range(6)]
