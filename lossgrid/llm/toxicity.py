@@ -36,7 +36,8 @@ LANDMARKS, NEGATIVES, SEED = 360, 8_000, 5
 #: Words a worker remembers the score of.
 REMEMBERED = 400_000
 
-#: Symbols: 1 to 26 for a to z, 32 to 63 for the accented Latin letters, which tell words apart in many languages.
+#: Symbols: 1 to 26 for a to z, 32 to 63 for the accented Latin letters, which tell words apart in many languages; all other
+#: code points from 0x100 on get a number of their own by hash, from 64 on.
 _DIGIT, _START, _END, _OTHER = 27, 28, 29, 30
 #: Numbers of subsequences: a hash of the four symbols to so many bits.
 NUMBERS = 1 << 20
@@ -46,12 +47,12 @@ _SPACED = re.compile(r"(?:(?<=\s)|^)(?:\w\s+){2,}\w(?=\s|$)")
 
 
 def _symbols() -> np.ndarray:
-    """Symbol of each code point below 0x250; 0 for signs, which are left out. Digits that look like a letter count as it."""
-    out = np.zeros(0x250, np.int64)
+    """Symbol of each code point below 0x100; 0 for signs, which are left out. Digits that look like a letter count as it."""
+    out = np.zeros(0x100, np.int64)
     look = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
-    for code in range(0x250):
+    for code in range(0x100):
         char = look.get(chr(code), chr(code).lower()[:1])
-        accented = 32 + (ord(char) & 31) if 0xC0 <= ord(char) <= 0xFF and char.isalpha() else _OTHER
+        accented = 32 + (ord(char) & 31) if ord(char) >= 0xC0 and char.isalpha() else _OTHER
         out[code] = ord(char) - 96 if "a" <= char <= "z" else _DIGIT if char.isdigit() else accented if char.isalpha() else 0
     return out
 
@@ -71,7 +72,7 @@ def units(text: str | None) -> list[str]:
 def _flat(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all words in a row, each word between its marks, and where each word starts. Other signs are left out."""
     codes = np.frombuffer(("\n" + "\n\n".join(words) + "\n").encode("utf-32-le", "replace"), np.uint32)
-    symbols = np.where(codes < 0x250, SYMBOLS[np.minimum(codes, 0x24F)], _OTHER)
+    symbols = np.where(codes < 0x100, SYMBOLS[np.minimum(codes, 0xFF)], 64 + (codes.astype(np.int64) * 0x9E3779B1 >> 12 & 0xFFFFF))
     line = codes == 10
     mark = np.flatnonzero(line)
     symbols[mark[0::2]], symbols[mark[1::2]] = _START, _END

@@ -174,6 +174,18 @@ def test_toxicity(session, docs, empty):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, y in made if not y}
 
 
+def test_toxicity_in_other_scripts():
+    rng = np.random.default_rng(6)
+    for low_code, high in ((0x3B1, 0x3C9), (0x430, 0x44F), (0x627, 0x64A), (0x4E00, 0x9000)):
+        words = ["".join(map(chr, rng.integers(low_code, high, 8))) for _ in range(240)]
+        bad, clean = words[:4], words[4:]
+        texts = [{*clean[i : i + 12], bad[i % 4]} for i in range(60)]
+        machine = toxicity.fit(texts, {w: 5 for w in clean}, 200)
+        found = toxicity.text_margins([f"{clean[0]} {b}" for b in bad] + clean, machine, {})
+        predicted = machine.probability(found) >= toxicity.THRESHOLD
+        assert predicted[:4].all() and predicted[4:].sum() <= 2
+
+
 # -- 4 ----------------------------------------------------------------------------------------------------------------
 
 
