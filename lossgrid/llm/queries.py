@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lossgrid.llm import lines, lm, mixing, packing, pages, simhash, sketch, token_ids, toxicity, vectors
+from lossgrid.llm import drift, lines, lm, mixing, packing, pages, prefixes, simhash, sketch, token_ids, toxicity, transducer, vectors
 from lossgrid.llm.common import table
 
 
@@ -31,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": _over("documents", simhash.op8),
     "op9_line_dedup": _over("documents", lines.op9),
     "op10_ann": _over("embeddings", vectors.op10),
+    "op11_token_counts": _over("documents", lambda docs: transducer.token_counts(docs, _tokenizer_path())),
+    "op12_clusters": _over("embeddings", drift.op12),
+    "op13_prefix_trie": _over("conversations", prefixes.op13),
 }
 
-ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL_OP9}
+ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL_OP9, "op12_clusters": drift.SQL_OP12, "op13_prefix_trie": prefixes.SQL_OP13}
