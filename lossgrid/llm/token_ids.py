@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ BLOCK = 512
 CHUNK_IDS = 1 << 17
 END_ID = 2
 #: Pieces of text a worker remembers before it forgets those it has not met since the last time.
-PIECES = 350_000
+PIECES = 600_000
 CHUNKS = "part int, seq int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, words binary, offsets binary, raw binary"
 
 
@@ -44,8 +45,9 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for s in range(len(PACKING) - 1, -1, -1):
         count, bits = PACKING[s]
         fits = ids < np.uint64(1 << bits)
-        if s and not fits.any():
-            break
+        # a word that fits nowhere as a whole cannot shorten the code: the wider ones reach a block's end as well
+        if s < len(PACKING) - 1 and np.diff(np.flatnonzero(~fits), prepend=-1, append=n).max() <= count:
+            continue
         need = np.minimum(count, left)
         bad = np.minimum.accumulate(np.where(fits, n, place)[::-1])[::-1]
         whole = bad - place >= need
@@ -171,16 +173,25 @@ class PieceEncoder:
             self.known, self.older = {"\n": b""}, self.known
         cut = [self._cut(text) for text in texts]
         known = self.known
-        new = {key for keys in cut if keys for key in keys if key not in known}
-        if new:
-            self._learn(new)
+        found = [None if keys is None else list(map(known.get, keys)) for keys in cut]
+        gaps = [i for i, ids in enumerate(found) if ids is not None and None in ids]
+        if gaps:
+            self._learn({key for i in gaps for key, ids in zip(cut[i], found[i]) if ids is None})
+            for i in gaps:
+                found[i] = map(known.__getitem__, cut[i])
         whole = iter(self._ids([text for text, keys in zip(texts, cut) if keys is None]))
-        return [next(whole) if keys is None else b"".join(map(known.__getitem__, keys)) for keys in cut]
+        return [next(whole) if ids is None else b"".join(ids) for ids in found]
+
+
+@lru_cache(maxsize=2)
+def _encoder(tokenizer_path: str) -> PieceEncoder:
+    """One encoder per worker process, which keeps its pieces from task to task."""
+    return PieceEncoder(tokenizer_path)
 
 
 def _chunks(tokenizer_path: str, end_id: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder = TaskContext.get().partitionId(), PieceEncoder(tokenizer_path)
+        part, encoder = TaskContext.get().partitionId(), _encoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         seq, before, held, ids, found = 0, 0, 0, [], []
 
