@@ -9,6 +9,7 @@ corpus is dealt to shards of about ``SHARD`` words by a hash of the document, an
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -18,6 +19,8 @@ from lossgrid.llm.common import SPACE, written
 CAPACITY, PER_SOURCE = 2048, 2
 #: Words in a shard: what one task packs.
 SHARD = 4_000_000
+#: A source or cluster of one piece in so many is common.
+OFTEN = 8
 
 
 def _codes(values: pd.Series, shared: bool) -> list[int]:
@@ -30,30 +33,58 @@ def _codes(values: pd.Series, shared: bool) -> list[int]:
     return kept.tolist()
 
 
+def _common(values: list[int]) -> set[int]:
+    """Values that at least one in ``1 / OFTEN`` has: at most that many."""
+    counts = Counter(v for v in values if v >= 0)
+    return {v for v, n in counts.items() if n * OFTEN >= len(values)}
+
+
 def best_fit(lengths: list[int], clusters: list[int], sources: list[int], capacity: int, per_source: int) -> list[tuple[int, int]]:
-    """(bin, start) of each piece, taken in the given order."""
-    free: list[tuple[int, int]] = []  # (words left, bin), ordered
+    """(bin, start) of each piece, taken in the given order: the tightest compatible bin, the oldest on ties.
+
+    A common source or cluster would make the search pass one bin after another that is closed to it. So open bins are kept
+    in one residual-ordered list for each set of common sources and clusters they are closed to: a piece looks only into
+    lists open to it, and in these passes bins for rare conflicts alone.
+    """
+    bits = {("source", s): 1 << i for i, s in enumerate(sorted(_common(sources)))}
+    bits |= {("cluster", c): 1 << (len(bits) + i) for i, c in enumerate(sorted(_common(clusters)))}
+    free: dict[int, list[tuple[int, int]]] = {}  # closed to these -> (words left, bin), ordered
+    closed: list[int] = []
     cluster_bits: list[int] = []
     source_bits: list[list[int]] = []
     placed = []
     for length, cluster, source in zip(lengths, clusters, sources):
         cluster_bit, source_bit = 1 << cluster if cluster >= 0 else 0, 1 << source
-        at = bisect_left(free, (length, -1))
-        while at < len(free) and (cluster_bits[free[at][1]] & cluster_bit or source_bits[free[at][1]][-1] & source_bit):
-            at += 1
-        if at < len(free):
-            left, chosen = free.pop(at)
+        common_source, common_cluster = bits.get(("source", source), 0), bits.get(("cluster", cluster), 0)
+        own, best, home, place = common_source | common_cluster, None, 0, 0
+        for state, bins in free.items():
+            if state & own:
+                continue
+            at = bisect_left(bins, (length, -1))
+            while at < len(bins) and (best is None or bins[at] < best):
+                chosen = bins[at][1]
+                if cluster_bits[chosen] & cluster_bit or source_bits[chosen][-1] & source_bit:
+                    at += 1
+                    continue
+                best, home, place = bins[at], state, at
+                break
+        if best is not None:
+            left, chosen = free[home].pop(place)
+            if not free[home]:
+                del free[home]
         else:
             left, chosen = capacity, len(cluster_bits)
             cluster_bits.append(0)
             source_bits.append([0] * per_source)
+            closed.append(0)
         placed.append((chosen, capacity - left))
         cluster_bits[chosen] |= cluster_bit
         levels = source_bits[chosen]
-        level = next(k for k, bits in enumerate(levels) if not bits & source_bit)
+        level = next(k for k, taken in enumerate(levels) if not taken & source_bit)
         levels[level] |= source_bit
+        closed[chosen] |= common_cluster | (common_source if level == per_source - 1 else 0)
         if left > length:
-            insort(free, (left - length, chosen))
+            insort(free.setdefault(closed[chosen], []), (left - length, chosen))
     return placed
 
 
