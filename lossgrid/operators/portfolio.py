@@ -312,7 +312,7 @@ def add_regressors(series: DataFrame, regressors: DataFrame, training_begin: str
     Regressors keep the first copy of a month. A month of the series without regressors, or with an empty one, raises:
     no row is lost and none goes on with a gap.
     """
-    kept = series.where(F.col(MONTH) >= F.lit(training_begin).cast("date"))
+    kept = materialise(series.where(F.col(MONTH) >= F.lit(training_begin).cast("date")))  # read by two checks and the result
     valid = first_copies(rename_first(regressors, REGRESSOR_MONTH), [MONTH])
     joined = join_with_coverage(kept, valid, [MONTH])
     names = [c for c in valid.columns if c != MONTH]
@@ -341,3 +341,36 @@ def non_null_profile(df: DataFrame) -> DataFrame:
 def marker_probe(cube: DataFrame) -> DataFrame:
     """One row: whether each contract dimension has rows where it was aggregated away."""
     return cube.agg(*[F.bool_or(F.col(d) == K.ANY).alias(d) for d in K.CONTRACT_DIMS])
+
+
+# --- stored member sketches --------------------------------------------------------------------------------
+
+#: Registers of a sketch as a power of two; one standard error of an estimate is about 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 14
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """Relative standard error of an estimate."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def census_sketches(members: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """One mergeable sketch of the distinct members per month and all contract dimensions; null members do not count.
+
+    Sketches are of bounded size, so they can be kept beside the census: a new month only appends its own rows.
+    """
+    return members.groupBy(MONTH, *K.CONTRACT_DIMS).agg(F.hll_sketch_agg(F.col("member_id").cast("string"), F.lit(bits)).alias("members"))
+
+
+def sketch_cube(sketches: DataFrame, period: Column | None = None) -> DataFrame:
+    """Estimated distinct members per month for every subset of the dimensions, merged from stored sketches alone.
+
+    ``period`` maps a month to a longer span (a year, say), over which members are counted once. Repeated appends of a month do
+    not change an estimate, as sketches of the same members merge to the same.
+    """
+    dims = K.CONTRACT_DIMS
+    span = (F.col(MONTH) if period is None else period).alias(MONTH)
+    merged = grouping_sets_total(sketches.select(span, *dims, "members"), [MONTH], dims, {"members": F.hll_union_agg("members")})
+    code = F.col("dims_kept")
+    shown = [F.when(code.bitwiseAND(1 << i) == 0, F.lit(K.ANY)).otherwise(F.col(d)).alias(d) for i, d in enumerate(dims)]
+    return merged.select(MONTH, "dims_kept", *shown, F.hll_sketch_estimate("members").alias("nb_member"))

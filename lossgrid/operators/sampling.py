@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
@@ -13,30 +12,93 @@ from lossgrid.operators.order_stats import values_at_ranks
 from lossgrid.operators.splits import hash_order
 from lossgrid.session import materialise
 
-MAX_PIVOTS = 256
+#: Points of a leaf, parts of a cut, and the leaves beyond which leaves grow instead: the tree is sent to every task.
+LEAF_ROWS, WAYS, MAX_LEAVES = 1024, 8, 1 << 16
 BLOCK_ROWS = 4096
 NEIGHBOURS = "array<struct<distance:double,id:string>>"
 
 
-def _pivots(points: DataFrame, features: list[str], count: int, seed: int) -> np.ndarray:
-    """A few points in hash order that cut the space into cells; their number is bounded."""
-    chosen = points.orderBy(hash_order(["_id"], seed)).limit(count).select(*features).collect()
-    return np.array([tuple(r) for r in chosen], dtype=float).reshape(len(chosen), len(features))
-
-
 def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.sqrt(sum((left[:, f, None] - right[None, :, f]) ** 2 for f in range(left.shape[1])))
 
 
-def _with_cells(points: DataFrame, features: list[str], pivots: np.ndarray) -> DataFrame:
-    """Nearest pivot of every point and the distances to all pivots."""
+class BoxTree:
+    """A partition of space into leaves of about ``LEAF_ROWS`` points, each node with the box around its points.
 
-    @F.pandas_udf("array<double>")
-    def to_pivots(vectors: pd.Series) -> pd.Series:
-        return pd.Series(list(_distances(np.stack(vectors.to_numpy()), pivots)))
+    Nodes are numbered level by level. A node with too many points is cut into up to ``WAYS`` parts along its longest side at
+    approximate percentiles, or in the middle where these do not cut. So the leaves grow in number with the points; past
+    ``MAX_LEAVES`` they grow in size, which bounds what every task is sent.
+    """
 
-    placed = points.withColumn("_far", to_pivots(F.array(*[F.col(c).cast("double") for c in features])))
-    return placed.withColumn("_cell", F.expr("array_position(_far, array_min(_far)) - 1").cast("int"))
+    def __init__(self, dims: int) -> None:
+        self.low, self.high = np.full((1, dims), -np.inf), np.full((1, dims), np.inf)
+        self.side, self.cuts = np.zeros(1, np.int64), np.full((1, WAYS - 1), np.inf)
+        self.first, self.parts = np.full(1, -1), np.zeros(1, np.int64)
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The deepest node of each point."""
+        node = np.zeros(len(x), np.int64)
+        moving = np.flatnonzero(self.first[node] >= 0)
+        while len(moving):
+            at = node[moving]
+            values = x[moving, self.side[at]]
+            node[moving] = self.first[at] + (values[:, None] >= self.cuts[at]).sum(axis=1)
+            moving = moving[self.first[node[moving]] >= 0]
+        return node
+
+    def split(self, node: int, side: int, cuts: list[float]) -> None:
+        self.side[node], self.first[node], self.parts[node] = side, len(self.low), len(cuts) + 1
+        self.cuts[node, : len(cuts)] = cuts
+        more = len(cuts) + 1
+        dims = self.low.shape[1]
+        self.low, self.high = np.vstack([self.low, np.full((more, dims), np.inf)]), np.vstack([self.high, np.full((more, dims), -np.inf)])
+        self.side, self.cuts = np.append(self.side, np.zeros(more, np.int64)), np.vstack([self.cuts, np.full((more, WAYS - 1), np.inf)])
+        self.first, self.parts = np.append(self.first, np.full(more, -1)), np.append(self.parts, np.zeros(more, np.int64))
+
+    def within(self, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, leaf) pairs of all leaves whose box comes within the reach of a point."""
+        point, node, found = np.arange(len(x)), np.zeros(len(x), np.int64), []
+        while len(point):
+            gap = np.maximum(np.maximum(self.low[node] - x[point], x[point] - self.high[node]), 0)
+            near = np.sqrt((gap * gap).sum(axis=1)) <= reach[point]
+            point, node = point[near], node[near]
+            leaf = self.first[node] < 0
+            found.append((point[leaf], node[leaf]))
+            point, node = point[~leaf], node[~leaf]
+            parts = self.parts[node]
+            offset = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            point, node = np.repeat(point, parts), np.repeat(self.first[node], parts) + offset
+        return np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)]), np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)])
+
+
+def _placed(points: DataFrame, features: list[str], tree: BoxTree) -> DataFrame:
+    @F.pandas_udf("int")
+    def place(vectors: pd.Series) -> pd.Series:
+        return pd.Series(tree.place(np.stack(vectors.to_numpy())))
+
+    return points.withColumn("_cell", place(F.array(*[F.col(c).cast("double") for c in features])))
+
+
+def box_tree(points: DataFrame, features: list[str], rows: int) -> BoxTree:
+    """The tree over all points: one aggregation over them per level, a row per node of the level."""
+    tree, leaf_rows, new = BoxTree(len(features)), max(LEAF_ROWS, -(-rows // MAX_LEAVES)), {0}
+    steps = F.array(*[F.lit(i / WAYS) for i in range(1, WAYS)])
+    while new:
+        sides = [[F.min(c).alias(f"_low{i}"), F.max(c).alias(f"_high{i}"), F.percentile_approx(F.col(c).cast("double"), steps, F.lit(1000)).alias(f"_cut{i}")] for i, c in enumerate(features)]
+        known = len(tree.low)
+        level = _placed(points, features, tree).where(F.col("_cell") >= min(new)).groupBy("_cell").agg(F.count("*").alias("_rows"), *[c for side in sides for c in side]).orderBy("_cell")
+        for row in level.collect():  # one row per new node
+            node = row["_cell"]
+            tree.low[node] = [row[f"_low{i}"] for i in range(len(features))]
+            tree.high[node] = [row[f"_high{i}"] for i in range(len(features))]
+            spread = tree.high[node] - tree.low[node]
+            side = int(spread.argmax())
+            if row["_rows"] > leaf_rows and spread[side] > 0:
+                cuts = sorted({c for c in row[f"_cut{side}"] if c > tree.low[node, side]}) or [float(tree.low[node, side] + spread[side] / 2)]
+                if cuts[0] > tree.low[node, side]:  # no number may lie between the two ends
+                    tree.split(node, side, cuts)
+        new = set(range(known, len(tree.low)))
+    return tree
 
 
 def _block_neighbours(features: list[str], k: int):
@@ -91,31 +153,41 @@ def _blocks(visits: DataFrame, members: DataFrame) -> DataFrame:
 def nearest_neighbours(points: DataFrame, features: list[str], k: int, seed: int = 0) -> DataFrame:
     """Exact k nearest other points of distinct points (_id, features): rows (_id, near).
 
-    First every point asks its own cell. The k-th distance found bounds the search: a cell is visited only if its
-    nearest possible member (distance to the pivot minus the cell radius) lies within the bound.
+    First every point asks its own leaf of a tree of boxes. The k-th distance found bounds the search: of the other leaves
+    it visits those whose box comes that close, found by descending the tree. With leaves of bounded size, what a
+    point costs does not grow with the number of points.
     """
-    total = points.count()
-    pivots = _pivots(points, features, max(1, min(MAX_PIVOTS, math.isqrt(total))), seed)
-    placed = materialise(_with_cells(points, features, pivots))
+    placed, tree = _housed(points, features)
     own = placed.select("_id", *features, "_cell")
     first = materialise(_merge_nearest(_visit(own, own, _blocks(own, own), features, k), k))
-    radii = placed.groupBy("_cell").agg(F.max(F.element_at("_far", F.col("_cell") + 1)).alias("radius")).collect()  # one row per pivot
-    reach = F.array(*[F.lit({r["_cell"]: r["radius"] for r in radii}.get(i)).cast("double") for i in range(len(pivots))])
-    bound = F.when(F.size("near") == k, F.element_at("near", -1)["distance"]).otherwise(F.lit(float("inf")))
-    searching = placed.join(first, "_id", "left").withColumn("_bound", F.coalesce(bound, F.lit(float("inf"))))
-    candidates = F.transform(
-        F.zip_with("_far", reach, lambda far, radius: far - radius), lambda gap, i: F.struct(gap.alias("gap"), i.alias("cell"))
-    )
-    others = searching.select("_id", *features, F.col("_cell").alias("_own"), "_bound", F.explode(candidates).alias("_c"))
-    # a hair of slack keeps members whose distance equals the bound up to rounding
-    visits = others.where(
-        F.col("_c.gap").isNotNull() & (F.col("_c.gap") <= F.col("_bound") * (1 + 1e-9) + 1e-12) & (F.col("_c.cell") != F.col("_own"))
-    )
-    visits = visits.select("_id", *features, F.col("_c.cell").cast("int").alias("_cell"))
+    visits = _visits(placed, first, features, k, tree)
     rest = _visit(visits, own, _blocks(visits, own), features, k)
     return _merge_nearest(first.unionByName(rest), k)
 
 
+def _housed(points: DataFrame, features: list[str]) -> tuple[DataFrame, BoxTree]:
+    tree = box_tree(points, features, points.count())
+    return materialise(_placed(points, features, tree)), tree
+
+
+def _visits(placed: DataFrame, first: DataFrame, features: list[str], k: int, tree: BoxTree) -> DataFrame:
+    """(_id, features, _cell) of every leaf besides its own that may hold a point nearer than the k-th found."""
+    bound = F.when(F.size("near") == k, F.element_at("near", -1)["distance"])
+    searching = placed.join(first, "_id", "left").select("_id", *features, "_cell", F.coalesce(bound, F.lit(float("inf"))).alias("_bound"))
+
+    @F.pandas_udf("array<int>")
+    def reached(vectors: pd.Series, bounds: pd.Series, cells: pd.Series) -> pd.Series:
+        # a hair of slack keeps members whose distance equals the bound up to rounding
+        point, leaf = tree.within(np.stack(vectors.to_numpy()), bounds.to_numpy(float) * (1 + 1e-9) + 1e-12)
+        other = leaf != cells.to_numpy()[point]
+        point, leaf = point[other], leaf[other]
+        order = np.argsort(point, kind="stable")
+        return pd.Series(np.split(leaf[order], np.cumsum(np.bincount(point, minlength=len(vectors)))[:-1]))
+
+    leaves = reached(F.array(*[F.col(c).cast("double") for c in features]), "_bound", "_cell")
+    return searching.select("_id", *features, F.explode(leaves).alias("_cell"))
+
+
 def smote(df: DataFrame, features: list[str], label: str, minority, keys: list[str], k: int = 5, seed: int = 0) -> DataFrame:
     """Synthetic minority rows until both classes are equally large: (features, label).
 

@@ -71,14 +71,15 @@ def segment_robust_scales(df: DataFrame, columns: list[str], segments: list[str]
 
 def fit_quantile(df: DataFrame, columns: list[str], quantiles: int = 1000) -> Fitted:
     """Map values to the uniform distribution through at most ``quantiles`` exact knots."""
-    rows = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    rows = df.agg(*[F.count(known(df, c)).alias(c) for c in columns]).first()
+    counts = {c: max(1, min(quantiles, rows[c])) for c in columns}
     forward = {}
-    for column in columns:
-        count = max(1, min(quantiles, rows[column]))
-        found = {r["knot"]: r["value"] for r in even_knots(df, [column], count).collect()}  # ``quantiles`` rows at most
+    for count in sorted(set(counts.values())):  # one ranking for all columns, but for those with fewer values than knots
+        alike = [c for c in columns if counts[c] == count]
+        found = {(r["feature"], r["knot"]): r["value"] for r in even_knots(df, alike, count).collect()}  # ``quantiles`` rows a column at most
         levels = [float(p) for p in np.linspace(0, 1, count)]
-        forward[column] = _quantile_map([found[k] for k in range(count)], levels)
-    return Fitted(forward)
+        forward |= {c: _quantile_map([found[c, k] for k in range(count)], levels) if (c, 0) in found else (lambda x: x.cast("double")) for c in alike}
+    return Fitted({c: forward[c] for c in columns})
 
 
 def _quantile_map(knots: list[float], levels: list[float]) -> Callable[[Column], Column]:
@@ -91,9 +92,16 @@ def _quantile_map(knots: list[float], levels: list[float]) -> Callable[[Column],
     return lambda x: to_uniform(x.cast("double"))
 
 
+#: Most categories that become columns of their own.
+MAX_CATEGORIES = 1000
+
+
 def categories(df: DataFrame, column: str) -> list:
-    """Sorted categories, one value each: they become the names of output columns."""
-    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+    """Sorted categories, one value each: they become the names of output columns. More than ``MAX_CATEGORIES`` raise."""
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()]
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories: use one_hot_vector, which makes two columns for any number")
+    return sorted(found)
 
 
 def one_hot_vector(df: DataFrame, column: str) -> DataFrame:
@@ -135,16 +143,23 @@ def fit_impute(df: DataFrame, columns: list[str], strategy: str, constant=None)
     elif strategy == "median":
         values = {c: p[0] for c, p in percentile_rows(df, columns, [0.5]).items()}
     elif strategy == "most_frequent":
-        values = {c: (most_frequent(df, c).first() or {c: None})[c] for c in columns}
+        values = most_frequent_values(df, columns)
     else:
         raise ValueError(f"unknown strategy {strategy}")
     floating = {c for c in columns if df.schema[c].dataType.typeName() in ("float", "double")}
     return Fitted({c: (lambda x, v=values[c], f=c in floating: F.coalesce(F.nanvl(x, F.lit(None).cast("double")) if f else x, F.lit(v))) for c in columns})
 
 
-def most_frequent(df: DataFrame, column: str) -> DataFrame:
-    counts = df.where(known(df, column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), F.asc(column)).limit(1)
+def most_frequent_values(df: DataFrame, columns: list[str]) -> dict[str, object]:
+    """The most frequent value of each column, the smallest on ties: one pass for all columns of a type, nothing is sorted."""
+    values: dict[str, object] = dict.fromkeys(columns)
+    kinds = {c: df.schema[c].dataType.simpleString() for c in columns}
+    for kind in sorted(set(kinds.values())):
+        alike = [c for c in columns if kinds[c] == kind]
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), known(df, c).alias("value")) for c in alike]))
+        counts = df.select(cells.alias("cell")).select("cell.*").where(F.col("value").isNotNull()).groupBy("feature", "value").agg((-F.count("*")).alias("n"))
+        values |= {r["feature"]: r["best"]["value"] for r in counts.groupBy("feature").agg(F.min(F.struct("n", "value")).alias("best")).collect()}
+    return values
 
 
 def fit_log1p(columns: list[str]) -> Fitted:
@@ -185,10 +200,18 @@ def column_transformer(df: DataFrame, blocks: list[tuple[list[Fit], list[str]]],
     repeated = {c for c in named if named.count(c) > 1} | (set(named) & set(discard or []))
     if repeated:
         raise ValueError(f"features used twice: {sorted(repeated)}")
-    fitted: list[Fitted] = []
-    for chain, columns in blocks:
-        for fit in chain:
-            step = fit(df, columns)
-            fitted.append(step)
-            df = step.transform(df)
-    return df.drop(*(discard or [])), fitted
+    fitted: list[list[Fitted]] = [[] for _ in blocks]
+    for level in range(max((len(chain) for chain, _ in blocks), default=0)):
+        # blocks share no feature, so equal steps of a level are fitted together: scans grow with levels and kinds of steps alone
+        wanted: dict[Fit, list[int]] = {}
+        for i, (chain, _) in enumerate(blocks):
+            if level < len(chain):
+                wanted.setdefault(chain[level], []).append(i)
+        forward: dict[str, Callable[[Column], Column]] = {}
+        for fit, places in wanted.items():
+            step = fit(df, [c for i in places for c in blocks[i][1]])
+            forward |= step.forward
+            for i in places:
+                fitted[i].append(Fitted({c: step.forward[c] for c in blocks[i][1]}, {c: step.inverse[c] for c in blocks[i][1] if c in step.inverse}))
+        df = Fitted(forward).transform(df)
+    return df.drop(*(discard or [])), [step for steps in fitted for step in steps]

@@ -61,7 +61,14 @@ def cumulative_cells(
         .groupBy("view", occurrence, *segments, "lag")
         .agg(F.sum("amount").alias("amount"), *counted.values())
     )
-    increments = materialise(increments)  # read for the cells and for the lags that occur
+    return cumulated(materialise(increments), segments, max_lag, occurrence)
+
+
+def cumulated(increments: DataFrame, segments: list[str], max_lag: int, occurrence: str = K.OCCURRENCE_COL) -> DataFrame:
+    """Running and ultimate totals of (view, occurrence, segments, lag) increments on the grid of lags that occur in the view.
+
+    ``increments`` is read twice: for the cells and for the lags that occur.
+    """
     # at most one cell per lag of the runoff, so the map is bounded by max_lag + 1 entries
     packed = increments.groupBy("view", occurrence, *segments).agg(
         F.map_from_entries(F.collect_list(F.struct("lag", F.struct(*MEASURES)))).alias("cells")

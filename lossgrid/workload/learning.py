@@ -293,7 +293,7 @@ def _probability_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _appended_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs appended to one table, the second with a column the first has not."""
     path = f"{run_dir(spark)}/scores-{uuid.uuid4().hex}"
-    scored = materialise(_batch_score(spark, sf_dir).where("split_name = 'test'"))
+    scored = materialise(_batch_score(spark, sf_dir))
     scoring.append_scores(scored, path)
     return scoring.append_scores(scored.withColumn("model_id", F.lit("m2")).withColumn("proba", F.lit(0.5)), path)
 
@@ -669,11 +669,11 @@ QUERIES = {
            JOIN st_ols USING (l_returnflag, l_linestatus)""",
     ),
     "ev8_append_scores": Query(
-        lambda s, d: _appended_scores(s, d).groupBy("model_id", "proba", "l_returnflag").agg(F.count("*").alias("rows"), F.avg("prediction").alias("prediction")),
-        "model_id:s proba:d l_returnflag:s rows:i prediction:d",
-        """SELECT model_id, proba, l_returnflag, count(*) AS rows, avg(intercept + slope * l_quantity) AS prediction
+        lambda s, d: _appended_scores(s, d).groupBy("model_id", "proba", "split_name", "l_returnflag").agg(F.count("*").alias("rows"), F.avg("prediction").alias("prediction")),
+        "model_id:s proba:d split_name:s l_returnflag:s rows:i prediction:d",
+        """SELECT model_id, proba, CASE WHEN r >= floor(n * 0.75) THEN 'test' ELSE 'train' END AS split_name, l_returnflag, count(*) AS rows, avg(intercept + slope * l_quantity) AS prediction
            FROM (SELECT *, dense_rank() OVER (ORDER BY l_shipdate) - 1 AS r, (SELECT CAST(count(DISTINCT l_shipdate) AS DOUBLE) FROM lineitem) AS n FROM lineitem) x
-           JOIN st_ols USING (l_returnflag, l_linestatus) CROSS JOIN (VALUES ('m1', CAST(NULL AS DOUBLE)), ('m2', 0.5)) m(model_id, proba) WHERE r >= floor(n * 0.75) GROUP BY 1, 2, 3""",
+           JOIN st_ols USING (l_returnflag, l_linestatus) CROSS JOIN (VALUES ('m1', CAST(NULL AS DOUBLE)), ('m2', 0.5)) m(model_id, proba) GROUP BY 1, 2, 3, 4""",
     ),
     "ev9_baseline": Query(
         _baseline,

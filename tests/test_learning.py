@@ -303,3 +303,33 @@ def test_early_stopping_uses_fewer_trees(rows):
 def test_tuning_prefers_the_better_setting(rows):
     best = learners.tune_learner(rows, ["x1", "x2"], "y", "regression", "ridge", {"regParam": [0.01, 100.0]})
     assert best.avgMetrics[0] < best.avgMetrics[1]
+
+
+def test_transformers_read_the_source_per_level_not_per_column(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i), float(i % 7), i % 3 if i % 5 else None, "xy"[i % 2], float("nan")) for i in range(200)], "a double, b double, c int, d string, e double")
+    calls = []
+    monkeypatch.setattr(transforms, "even_knots", lambda d, columns, knots, f=transforms.even_knots: calls.append(columns) or f(d, columns, knots))
+    fitted = transforms.fit_quantile(df, ["a", "b", "e"], 50)
+    assert calls == [["e"], ["a", "b"]]
+    found = fitted.transform(df).agg(F.max("a"), F.min("b"), F.count("e")).first()
+    assert found[:2] == (1.0, 0.0)
+    assert transforms.most_frequent_values(df, ["a", "c", "d", "e"]) == {"a": 0.0, "c": 0, "d": "x", "e": None}
+
+    def counting(fit):
+        return lambda d, columns: calls.append((fit.__name__, columns)) or fit(d, columns)
+
+    clip, standard, span = counting(transforms.fit_clip), counting(transforms.fit_standard), counting(transforms.fit_min_max)
+    calls.clear()
+    out, steps = transforms.column_transformer(df, [([clip, standard], ["a"]), ([clip, span], ["b"]), ([standard], ["c"])], ["d"])
+    assert calls == [("fit_clip", ["a", "b"]), ("fit_standard", ["c"]), ("fit_standard", ["a"]), ("fit_min_max", ["b"])]
+    alone = transforms.column_transformer(df.select("a"), [([transforms.fit_clip, transforms.fit_standard], ["a"])])[0]
+    assert sorted(r[0] for r in out.select("a").collect()) == sorted(r[0] for r in alone.collect())
+    assert len(steps) == 5 and out.columns == ["a", "b", "c", "e"]
+
+
+def test_one_hot_refuses_too_many_categories(spark, monkeypatch):
+    monkeypatch.setattr(transforms, "MAX_CATEGORIES", 5)
+    df = spark.range(6).selectExpr("cast(id as string) as k")
+    with pytest.raises(ValueError, match="one_hot_vector"):
+        transforms.one_hot(df, "k")
+    assert len(transforms.one_hot(df.where("k < '5'"), "k").columns) == 6

@@ -52,3 +52,40 @@ def test_materialised_frame_is_equal(spark):
     df = spark.range(50).withColumn("x", F.col("id") / 7)
     stored = materialise(df)
     assert stored.exceptAll(df).isEmpty() and stored.count() == 50
+
+
+def test_a_failure_between_rows_and_schema_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "scores")
+    sinks.append_table(spark.createDataFrame([(1,)], "a int"), path)
+    wider = spark.createDataFrame([(2, "x")], "a int, b string")
+
+    def lost(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(sinks, "_publish", lost)
+    with pytest.raises(OSError):
+        sinks.append_table(wider, path)
+    monkeypatch.undo()
+    assert sinks.read_appended(spark, path).collect() == [(1,)]
+    sinks.append_table(wider, path)
+    assert sorted(map(tuple, sinks.read_appended(spark, path).collect())) == [(1, None), (2, "x")]
+    assert not list((tmp_path / "scores.staged").glob("*"))
+
+
+def test_the_slower_of_two_writers_with_new_columns_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "scores")
+    sinks.append_table(spark.createDataFrame([(1,)], "a int"), path)
+    read = sinks._versions
+
+    def overtaken(session, at):
+        known = read(session, at)
+        monkeypatch.setattr(sinks, "_versions", read)
+        sinks.append_table(spark.createDataFrame([(2, 2.5)], "a int, c double"), path)
+        return known
+
+    monkeypatch.setattr(sinks, "_versions", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        sinks.append_table(spark.createDataFrame([(3, "x")], "a int, b string"), path)
+    assert sorted(map(tuple, sinks.read_appended(spark, path).collect())) == [(1, None), (2, 2.5)]
+    (tmp_path / "scores.schema" / "3").write_text("")  # a version that is just being written
+    assert sinks.appended_schema(spark, path).names == ["a", "c"]
