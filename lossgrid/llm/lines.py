@@ -1,12 +1,19 @@
 """Line dedup by distinct-site spread.
 
 Each line hash has a HyperLogLog sketch of the sites it occurs on, kept as rows (line, register, rank) that merge by
-taking the maximum. Sites fill no more registers than they are: a line with as many filled registers as the threshold
-reaches it, one with fewer occurrences does not, and all lines between get an exact count of distinct sites. Of a line that reaches the threshold only the first occurrence stays, so the text of a page that was copied to many sites is kept once.
+taking the maximum. The estimate of the merged sketch settles lines clearly above the threshold: while registers are empty
+and the estimate is small, it is a count of filled registers and sites fill no more registers than they are, so an estimate
+of at least that of ``sites`` filled registers proves them; for thresholds of more sites than registers, an estimate
+``SURE`` standard errors above the threshold is taken (it errs once in about 3 million such lines). Lines with fewer
+occurrences than the threshold cannot reach it. All lines between get an exact count of distinct sites; none is dropped on
+its estimate. Of a line that reaches the threshold only the first occurrence stays, so the text of a page that was copied to
+many sites is kept once.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrid.llm.common import SPACE, by_key, columns, fresh, written
@@ -15,8 +22,9 @@ from lossgrid.llm.common import SPACE, by_key, columns, fresh, written
 SITES = 6
 #: Words from which a line is a passage, and the documents that make it a repeated one, on whatever sites they are.
 LONG, COPIES = 50, 2
-#: HyperLogLog: registers (a power of two) and their bias constant.
-REGISTERS, ALPHA = 64, 0.709
+#: HyperLogLog: registers (a power of two), their bias constant, and the standard errors that settle a large estimate.
+REGISTERS, SURE = 256, 5
+ALPHA = 0.7213 / (1 + 1.079 / REGISTERS)
 
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
@@ -46,13 +54,22 @@ def spread(lines: DataFrame) -> DataFrame:
     return sketch.select("line", _estimate(F.col("inverse"), F.col("used")).alias("estimate"), "used", "n")
 
 
+def settled(sites: int) -> float:
+    """The estimate from which a line has at least ``sites`` sites."""
+    m = float(REGISTERS)
+    counted = m * math.log(m / (m - sites)) if sites < m else math.inf
+    if counted <= 2.5 * m:
+        return counted * (1 - 1e-9)
+    return max(2.5 * m, sites * (1 + SURE * 1.04 / math.sqrt(m)))
+
+
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """(line): hashes of lines on at least ``sites`` distinct sites."""
-    open_ = written(spread(lines).where(F.col("n") >= sites).select("line", "used"))
-    sure = open_.where(F.col("used") >= sites).select("line")
-    near = open_.where(F.col("used") < sites).select("line")
+    open_ = written(spread(lines).where(F.col("n") >= sites).select("line", "estimate"))
+    enough = F.col("estimate") >= settled(sites)
+    near = open_.where(~enough).select("line")
     exact = lines.select("line", "site").join(near, "line", "left_semi").distinct().groupBy("line").count().where(F.col("count") >= sites)
-    return sure.unionAll(exact.select("line"))
+    return open_.where(enough).select("line").unionAll(exact.select("line"))
 
 
 def removals(docs: DataFrame, site: str = "source", sites: int = SITES, copies: int | None = None) -> DataFrame:

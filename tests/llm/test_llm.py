@@ -271,6 +271,15 @@ def test_spellings_are_a_distribution():
     assert np.allclose(mixer.words([b"some", b"that", b"x"])[1], alone)  # a spelling does not depend on its neighbours
 
 
+def test_language_classes_come_from_training_rows(session, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "_blocks", lambda langs, made=lm._blocks: seen.append(langs) or made(langs))
+    held = [i for i in range(400) if fold(i, 7) == 2][:40]
+    rows = [(i, "some words here", "held") for i in held] + [(i, "other words there", "train") for i in range(400) if fold(i, 7) != 2][:20]
+    assert lm.score(session.createDataFrame(rows, "doc_id bigint, text string, lang string")).count() == 60
+    assert seen == [["train"]]
+
+
 # -- 6 ----------------------------------------------------------------------------------------------------------------
 
 
@@ -494,6 +503,19 @@ def test_spread_estimates(session):
         assert r["estimate"] == pytest.approx(r["line"], rel=0.4)
 
 
+@pytest.mark.parametrize("registers", [16, 256])
+def test_boilerplate_equals_exact_counts_at_every_threshold(session, monkeypatch, registers):
+    monkeypatch.setattr(lines, "REGISTERS", registers)
+    monkeypatch.setattr(lines, "ALPHA", 0.673 if registers == 16 else lines.ALPHA)
+    sizes = [1, 2, 3, 4, 5, 6, 7, 9, 12, 15, 16, 17, 20, 28, 40, 64, 90, 120, 200, 320, 500]
+    made = [(1000 * k + n, i) for k in range(6) for n in sizes for i in range(n)] + [(7, i % 3) for i in range(60)]
+    table = session.createDataFrame(made, "line bigint, number bigint").select("line", F.xxhash64("line", "number").alias("site"))
+    counts = {r["line"]: r["n"] for r in table.groupBy("line").agg(F.count_distinct("site").alias("n")).collect()}
+    for sites in (1, 2, 6, 16, 40, 150):
+        assert {r["line"] for r in lines.boilerplate(table, sites).collect()} == {line for line, n in counts.items() if n >= sites}
+    assert "estimate" in lines.spread(table).columns and lines.settled(6) == pytest.approx(registers * np.log(registers / (registers - 6)))
+
+
 def test_sites_that_share_registers(session):
     names = session.range(3000).select(F.concat(F.lit("site"), "id").alias("source")).withColumn("register", F.xxhash64("source").bitwiseAND(F.lit(lines.REGISTERS - 1)))
     sites = [r["source"] for r in names.where("register < 2").orderBy("source").limit(6).collect()]
@@ -567,3 +589,62 @@ def test_pipeline(session, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         spread_out = stage(session, spread, str(tmp_path))
         assert spread_out.collect() == []
+
+
+def test_pieces_equal_whole_texts_whatever_is_remembered(monkeypatch):
+    """Words, their signs, apostrophes, digits and odd white space, met for the first time, again and after forgetting."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    parts = ["naïve,", "Straße.", "don't", "it's,", "x1y", "word", "word,", "word))", "'tis", "...", "œuvre!?", "中文", "a", "été#", "İd", "ǆ:", "<|endoftext|>", "ª", "end\\", "12,5"]
+    rng = np.random.default_rng(3)
+    texts = ["".join(parts[i] + [" ", "\n", " ", "  ", "\t "][rng.choice(5, p=[0.7, 0.15, 0.1, 0.03, 0.02])] for i in rng.integers(0, len(parts), 40)) for _ in range(300)]
+    texts += [" ".join(parts), "\n".join(parts), "", " ", "\n"]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for memory in (10**6, 7):
+        monkeypatch.setattr(token_ids, "PIECES", memory)
+        encoder = token_ids.PieceEncoder(path)
+        assert [ids for low in range(0, len(texts), 20) for ids in encoder.encode(texts[low : low + 20])] == expected
+        assert encoder.encode(texts) == expected
+
+
+def shingles(text, size=5):
+    tokens = low(text).encode().split()
+    return {b" ".join(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))} if tokens else set()
+
+
+def test_sketch_estimates_stay_within_the_stated_error_of_exact_sets():
+    rng = np.random.default_rng(12)
+    far = []
+    for _ in range(150):
+        n = int(rng.integers(60, 3000))
+        tokens = [f"w{i}" for i in rng.integers(0, 10**6, n)]
+        other = tokens[: int(n * rng.random())] + [f"v{i}" for i in rng.integers(0, 10**6, int(rng.integers(1, 3000)))]
+        a, b = " ".join(tokens), " ".join(other)
+        x, y, p, q = sketch.Sketch.of(a), sketch.Sketch.of(b), shingles(a), shingles(b)
+        union = len(p | q)
+        for found, exact, size in ((x.likeness(y), len(p & q) / union, union), (x.inside(y), len(p & q) / len(p), len(p))):
+            far.append((found - exact) / max(np.sqrt(7 * max(exact * (1 - exact), 1 / size) / size), 1e-9))
+    assert np.abs(far).max() < 5 and 0.6 < np.std(far) < 1.3
+    # the kept hashes are those of the fraction, whatever the length of the text
+    for n in (3, 40, 5000):
+        text = " ".join(f"w{i}" for i in range(n))
+        hashes = {xxhash.xxh64_intdigest(s, sketch.SEED) >> 32 for s in shingles(text)}
+        assert sketch.Sketch.of(text).hashes.tolist() == sorted(h for h in hashes if h < 2**32 / 8)
+    coarse = sketch.Sketch.of(text, fraction=1 / 64)
+    assert 0 < len(coarse.hashes) < len(sketch.Sketch.of(text).hashes) and coarse.likeness(sketch.Sketch.of(text)) == 1
+
+
+def test_sketch_of_a_very_long_text_and_of_texts_without_hashes(session):
+    long = " ".join(f"w{i % 70_000}" for i in range(150_000))
+    rows = [(3, long), (2, "two words"), (1, "Two  Words"), (0, "other words")]
+    found = {r.doc_id: r for r in sketch.op6(session.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    exact = shingles(long)
+    changed = shingles(sketch.edited(long, "two words"))
+    assert found[3].near_edited == pytest.approx(len(exact & changed) / len(exact | changed), abs=0.02)
+    empty = [r for r in (found[2], found[1], found[0]) if len(r.fingerprint) == 10]
+    assert {r.near_next for r in empty} <= {0.0, 1.0}
+    if len(found[2].fingerprint) == 10 and len(found[1].fingerprint) == 10:
+        assert found[2].near_next == 1.0
