@@ -130,6 +130,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -
 
 
 def op2(docs: DataFrame) -> DataFrame:
+    """Size, source and words taken of every row.
+
+    Null and empty texts have size 0 and take nothing; a null source is a source of its own and comes last. Ties of size are
+    broken by a seeded hash of the row; repeated rows each get what the rule gives their hash. No rows give no rows.
+    """
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 

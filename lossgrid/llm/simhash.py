@@ -209,6 +209,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE)
 
 
 def op8(docs: DataFrame) -> DataFrame:
+    """Fingerprint and component of every row.
+
+    Null texts and texts without words have the fingerprint zero, which is linked like any other. Rows without doc_id take
+    part and have the component of the ids they reach, if any; repeated rows have one fingerprint. No rows give no rows.
+    """
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_duplicates(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")
 

@@ -256,6 +256,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op1(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of each row, read back from the written files.
+
+    Null and empty texts hold the end id alone. Null ids come first, rows with one id go by text, and repeated rows are
+    written as often as they occur. No rows give no rows. Columns besides doc_id and text are not read.
+    """
     import uuid
 
     spark = docs.sparkSession

@@ -359,11 +359,19 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def op3(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Scores of every row by a machine that learns from labelled rows of the training folds alone.
+
+    Null and empty texts get the score of a text without any word. Labels that are null, or of documents that do not exist,
+    are not used; repeated rows score alike. Without labels of both kinds the machine knows no toxic word. No rows give no rows.
+    """
     return score(docs, train(docs, labels))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns, texts untouched."""
+    """The documents that are not predicted toxic, with all their columns, texts untouched.
+
+    Null and empty texts have no toxic word and stay; repeated rows are judged alike, so all copies stay or go.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     @F.pandas_udf("boolean")
