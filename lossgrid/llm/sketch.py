@@ -1,8 +1,10 @@
 """Document fingerprints: every shingle hash below a fixed fraction of the hash range.
 
-Two sketches are compared below the lower of their two limits, where both are complete, so a short text can be held
-against a very long one, and sketches of parts merge by union. So that short texts can be compared too, the 64 smallest
-hashes are always kept; the limit of such a sketch is where its completeness ends.
+A sketch therefore grows with its text, and its limit does not depend on the text. Two sketches, of one fraction or two, are
+compared below the lower of their limits, where both are complete: a short text can be held against a very long one, and
+sketches of parts merge by union. Of n shingles about n / 8 are kept, so a share p is estimated with a standard error of about
+sqrt(7 p (1 - p) / n): at p = 0.5, 0.06 for 500 shingles and 0.19 for 50. Where neither text keeps a hash, nothing is known of
+their shingles, and likeness tells equal words from other ones.
 """
 
 from __future__ import annotations
@@ -19,37 +21,30 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lossgrid.llm.common import batches, lower_words, shingle_spans, written
 
 SHINGLE, SEED = 5, 17
-#: Hashes have 40 bits; those below FRACTION of the range are kept, and the LEAST smallest in any case.
-RANGE, FRACTION, LEAST = 1 << 40, 1 / 32, 64
+#: Hashes have 32 bits; those below FRACTION of the range are kept.
+RANGE, FRACTION = 1 << 32, 1 / 8
 
 
 class Sketch:
-    """Sorted distinct hashes that are complete below ``limit``."""
+    """All distinct hashes of a set of shingles below ``limit``, sorted."""
 
-    def __init__(self, hashes: np.ndarray, limit: int = RANGE) -> None:
-        hashes = hashes[hashes < limit]
-        below = int(np.searchsorted(hashes, int(RANGE * FRACTION)))
-        if len(hashes) > max(below, LEAST):
-            limit = int(RANGE * FRACTION) if below >= LEAST else int(hashes[LEAST])
-            hashes = hashes[: max(below, LEAST)]
-        self.hashes, self.limit = hashes, limit
+    def __init__(self, hashes: np.ndarray, limit: int = int(RANGE * FRACTION)) -> None:
+        self.hashes, self.limit = hashes[: np.searchsorted(hashes, limit)], limit
 
     @classmethod
-    def of(cls, text: str | None, size: int = SHINGLE) -> Sketch:
+    def of(cls, text: str | None, size: int = SHINGLE, fraction: float = FRACTION) -> Sketch:
         joined, starts, ends = shingle_spans(lower_words(text), size)
         digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts))
-        return cls(np.unique(hashes >> np.uint64(24)).astype(np.int64))
+        hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts)) >> np.uint64(32)
+        return cls(np.unique(hashes[hashes < np.uint64(RANGE * fraction)]).astype(np.int64), int(RANGE * fraction))
 
     @classmethod
     def unpack(cls, data: bytes) -> Sketch:
-        """The sketch of its binary form: the limit and then each hash, five bytes each but six for the limit."""
-        wide = np.zeros((len(data) // 5 - 1, 8), np.uint8)
-        wide[:, 3:] = np.frombuffer(data[6:], np.uint8).reshape(-1, 5)
-        return cls(wide.view(">i8").ravel().astype(np.int64), int.from_bytes(data[:6], "big"))
+        """The sketch of its binary form: the limit in five bytes, then each hash in four."""
+        return cls(np.frombuffer(data[5:], ">u4").astype(np.int64), int.from_bytes(data[:5], "big"))
 
     def pack(self) -> bytes:
-        return self.limit.to_bytes(6, "big") + self.hashes.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+        return self.limit.to_bytes(5, "big") + self.hashes.astype(">u4").tobytes()
 
     def text(self) -> str:
         return self.pack().hex()
@@ -64,7 +59,7 @@ class Sketch:
         return len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))
 
     def likeness(self, other: Sketch) -> float:
-        """Estimated share of common shingles among all of both; two texts without shingles are alike."""
+        """Estimated share of common shingles among all of both; two sketches without hashes are alike."""
         a, b, both = self._common(other)
         return both / (a + b - both) if a + b else 1.0
 
@@ -88,7 +83,8 @@ def _compare(doc_id: int | None, text: str, own: Sketch, following: str, next_sk
     changed = edited(text, following)
     other = Sketch.of(changed)
     digest = hashlib.sha256(changed.encode("utf-8", "replace")).digest()
-    return doc_id, len(text), digest, own.pack(), other.pack(), own.likeness(other), own.likeness(next_sketch), own.inside(other)
+    near = [own.likeness(s) if len(own.hashes) or len(s.hashes) else float(lower_words(text) == lower_words(t)) for s, t in ((other, changed), (next_sketch, following))]
+    return doc_id, len(text), digest, own.pack(), other.pack(), *near, own.inside(other)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
