@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lossgrid.llm.common import written
+from lossgrid.llm.common import parallelism, written
 
 SHARD, DEGREE, BEAM, RELAX, STEP = 5000, 24, 48, 1.2, 256
 SEARCH_BEAM, QUERIES, SEED = 96, 4096, 3
@@ -147,7 +147,12 @@ def index(vectors: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
         graph, start = build((x / max(np.abs(x).max(), 1e-300)).astype(np.float32))
         return rows.assign(place=np.arange(len(rows)), start=start, neighbours=[g[g >= 0].tolist() for g in graph])[[f.split()[0] for f in INDEX.split(", ")]]
 
-    return dealt.groupBy("dims", "shard").applyInPandas(run, INDEX)
+    return _spread(dealt, "dims", "shard").groupBy("dims", "shard").applyInPandas(run, INDEX)
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by the keys over a stated number of partitions, which stays: groups are few bytes but much work."""
+    return df.repartition(max(parallelism(df.sparkSession), df.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -185,6 +190,7 @@ def search(indexed: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BE
                 out += [(query, i, d) for d, i in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
+    held, asked = _spread(held, "dims", "shard", "block"), _spread(asked, "_dims", "_shard", "_block")
     found = held.groupBy("dims", "shard", "block").cogroup(asked.groupBy("_dims", "_shard", "_block")).applyInPandas(run, FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
