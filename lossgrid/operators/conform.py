@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lossgrid import constants as K
 from lossgrid.functions.columns import age_bucket, age_years, months_since, outward_postcode
 
+# Invoice columns of the source and their names in all later tables.
 INVOICE_NAMES = {
     "TreatmentDate": "treatment_date",
     "PaidDate": "payment_date",
