@@ -260,7 +260,9 @@ def test_spellings_are_a_distribution():
     for k in range(len(lm.ORDERS)):
         np.add.at(n0[k], slots[k][bit == 0], 1)
         np.add.at(n1[k], slots[k][bit == 1], 1)
-    mixer = lm.tune(n0, n1, words, np.ones(len(words), np.int64))
+    mixer, by_gate, by_bin = lm.tune(n0, n1, words)
+    mixer.adaptive = np.clip(mixer.adaptive, 1e-5, 1 - 1e-5)
+    assert by_gate.sum() == 2 * len(bit) and by_bin.sum() == len(bit)
     single = [bytes([b]) for b in range(1, 256)] + [b""]
     two = [bytes([116, b]) for b in range(1, 256)]
     p = 10 ** mixer.words(single)
@@ -271,6 +273,61 @@ def test_spellings_are_a_distribution():
     assert np.allclose(mixer.words([b"some", b"that", b"x"])[1], alone)  # a spelling does not depend on its neighbours
 
 
+def naive_tune(n0, n1, words, warm):
+    """Bit by bit, with dictionaries: counts without the word itself, mixing by gate, steps after each 200 words."""
+    weights, adaptive = {}, {}
+    centre = lambda b: 1 / (1 + np.exp(-((b - lm.BINS // 2) / 2)))
+    plan = [(0, words[:warm]), (1, words[:warm]), (1, words[warm:])]
+    for turn, chosen in plan:
+        for low in range(0, len(chosen), 200):
+            steps, places = {}, {}
+            for word in chosen[low : low + 200]:
+                slots, bits, at, _ = lm._bits([word])
+                for i, bit in enumerate(bits.tolist()):
+                    own = [(int(n0[k][slots[k, i]]) - (bit == 0), int(n1[k][slots[k, i]]) - (bit == 1)) for k in range(len(lm.ORDERS))]
+                    x = [np.log((max(b, 0) + 0.4) / (max(a, 0) + 0.4)) for a, b in own]
+                    gate = min(int(at[i]), lm.PLACES - 1) * (len(lm.ORDERS) + 1) + sum(a + b > 0 for a, b in own)
+                    mixed = sum(w * v for w, v in zip(weights.get(gate, [0.35] * len(x)), x))
+                    error = bit - 1 / (1 + np.exp(-mixed))
+                    steps.setdefault(gate, []).append([error * v for v in x])
+                    places.setdefault((gate, int(np.clip(np.rint(mixed * 2 + lm.BINS // 2), 0, lm.BINS - 1))), []).append(bit)
+            for gate, each in steps.items():
+                old = weights.get(gate, [0.35] * len(each[0]))
+                weights[gate] = [w + 0.15 / (1 + turn) * sum(e[k] for e in each) / max(len(each), 20) for k, w in enumerate(old)]
+            if turn or low >= len(chosen) // 2:
+                for (gate, b), each in places.items():
+                    old = adaptive.get((gate, b), centre(b))
+                    adaptive[gate, b] = old + (1 - (1 - lm.RATE) ** len(each)) * (np.mean(each) - old)
+    return weights, adaptive
+
+
+def test_mixer_against_a_naive_one_and_mean_over_groups(session):
+    words = sorted({f"{a}{b}".encode() for a in "ab abc the then st".split() for b in range(90)})
+    n0, n1 = lm.counted(session.createDataFrame([(bytearray(w),) for w in words], "word binary"), len(words))
+    wanted0, wanted1 = np.zeros((2, len(lm.ORDERS), 1 << lm.TABLE_BITS), np.int32)
+    slots, bit, _, _ = lm._bits(words)
+    for k in range(len(lm.ORDERS)):
+        np.add.at(wanted0[k], slots[k][bit == 0], 1)
+        np.add.at(wanted1[k], slots[k][bit == 1], 1)
+    assert (n0 == wanted0).all() and (n1 == wanted1).all()
+    mixer, by_gate, _ = lm.tune(n0, n1, words, 150)
+    weights, adaptive = naive_tune(n0, n1, words, 150)
+    assert set(np.flatnonzero(by_gate)) == set(weights)
+    for gate, w in weights.items():
+        assert np.allclose(mixer.weights[gate], w, atol=2e-3)
+    close = [abs(mixer.adaptive[g * lm.BINS + b] - v) for (g, b), v in adaptive.items()]
+    assert np.mean(np.array(close) < 0.01) > 0.98  # a mix on the border of two bins may fall into either
+
+    table = session.createDataFrame([(bytearray(w),) for w in words], "word binary").repartition(4)
+    dealt = {bytes(r["word"]): (r["g"], r["rank"]) for r in table.selectExpr("word", f"pmod(xxhash64(word, {lm.SEED}), 3) AS g", f"xxhash64(word, {lm.SEED + 1}) AS rank").collect()}
+    parts = [lm.tune(n0, n1, sorted((w for w in words if dealt[w][0] == g), key=lambda w: (dealt[w][1], w)), 60) for g in range(3)]
+    found = lm.learn(table, len(words), 200, 60)  # three groups
+    hits = sum(p[1] for p in parts)
+    mean = sum(p[0].weights * p[1][:, None] for p in parts) / np.maximum(hits, 1)[:, None]
+    assert np.allclose(found.weights[hits > 0], mean[hits > 0], atol=1e-5) and np.allclose(found.weights[hits == 0], 0.35)
+    assert (found.weights == lm.learn(table.repartition(7), len(words), 200, 60).weights).all()
+
+
 def test_language_classes_come_from_training_rows(session, monkeypatch):
     seen = []
     monkeypatch.setattr(lm, "_blocks", lambda langs, made=lm._blocks: seen.append(langs) or made(langs))
