@@ -233,7 +233,8 @@ def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     marked = written(groups.where("doc_id is not null").select("doc_id", "component_id").distinct())
     sized = marked.join(lengths.groupBy("doc_id").agg(F.max("_length").alias("_length")), "doc_id")
     best = sized.groupBy("component_id").agg(F.max_by("doc_id", F.struct("_length", -F.col("doc_id"))).alias("_kept"))
-    drop = written(marked.join(best, "component_id").groupBy("doc_id").agg(F.max(F.expr("doc_id = _kept")).alias("_stays")).where("not _stays").select("doc_id"))
+    stays = best.select(F.col("_kept").alias("doc_id"))
+    drop = written(marked.select("doc_id").distinct().join(stays, "doc_id", "left_anti"))  # by id, so that a large group is no key
     left = docs.join(by_key(drop), "doc_id", "left_anti").select(*columns(docs))
     repeated = written(lengths.groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if repeated.isEmpty():
