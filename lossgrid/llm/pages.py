@@ -1,10 +1,10 @@
 """Main text of web pages by differencing each page with the nearest URL of its host.
 
 The html is cut into text blocks. Pages of a host are ordered by URL path, and each is paired with the neighbour whose
-path has the longer common beginning. The blocks that lie outside the article are aligned with the partner's by a longest
-common subsequence, and blocks both share are deleted. Differencing alone would also delete passages that two articles
-quote and keep menus that differ from page to page, so the markup has a say: blocks inside an article or main element are
-never compared, and blocks inside navigation, advert, form or script elements never stay.
+path has the longer common beginning. All blocks of a page are aligned with all of the partner's by a longest common
+subsequence, and blocks both share are deleted. Differencing alone would also delete passages that two articles quote and
+keep menus that differ from page to page, so the markup has a say: blocks inside an article or main element go only if most
+pages of the host have them too, and blocks inside navigation, advert, form or script elements never stay.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lossgrid.llm.common import batches, written
@@ -40,6 +41,8 @@ TAG = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?
 ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 HTML = re.compile(r"(?i)^(?:complementary|navigation|banner|contentinfo|search|form|alert|dialog|menu)$")
 INSIDE, OUTSIDE, BESIDE = 0, 1, 2
+#: Pages of a host that must share a block before it can count as part of the site.
+SITES = 5
 
 
 @lru_cache(maxsize=10_000)
@@ -155,7 +158,7 @@ def _cut(html: str | None, wrappers: frozenset[int]) -> tuple[list[tuple[str, in
     return found, {k: frozenset(v) for k, v in holders.items()}
 
 
-def common(a: list[str], b: list[str]) -> set[int]:
+def common(a: list, b: list) -> set[int]:
     """Places in ``a`` of a longest common subsequence with ``b``: equal ends are taken off, then matches are chained."""
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -164,7 +167,7 @@ def common(a: list[str], b: list[str]) -> set[int]:
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
     shared = set(range(head)) | set(range(len(a) - tail, len(a)))
-    where: dict[str, list[int]] = {}
+    where: dict[object, list[int]] = {}
     for j in range(len(b) - tail - 1, head - 1, -1):
         where.setdefault(b[j], []).append(j)
     ends: list[int] = []
@@ -185,21 +188,27 @@ def common(a: list[str], b: list[str]) -> set[int]:
     return shared
 
 
-PARSED = "page_id bigint, url string, host string, path string, article string, texts array<string>, kinds array<int>"
+PARSED = "key bigint, site bigint, host string, path string, hashes array<bigint>, kinds array<int>, sizes array<int>"
 
 
 def _parse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, urls, pages in batches(rows, ["page_id", "url", "html"]):
+    """Every block of every page, inside articles too, as hash, kind and length; texts do not move."""
+    for keys, urls, pages in batches(rows, ["key", "url", "html"]):
         cut = [blocks(p) for p in pages]
         split = [re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)([^?#]*)", u or "") for u in urls]
+        hosts = [m.group(1).lower() if m else "" for m in split]
         yield pa.record_batch({
-            "page_id": pa.array(ids, pa.int64()), "url": pa.array(urls, pa.string()),
-            "host": pa.array([m.group(1).lower() if m else "" for m in split]), "path": pa.array([m.group(2) if m else u or "" for m, u in zip(split, urls)]),
-            "article": pa.array(["\n\n".join(t for t, k in c if k == INSIDE) or None for c in cut], pa.string()),
-            "texts": pa.array([[t for t, k in c if k != INSIDE] for c in cut], pa.list_(pa.string())), "kinds": pa.array([[k for _, k in c if k != INSIDE] for c in cut], pa.list_(pa.int32())),
+            "key": pa.array(keys, pa.int64()), "site": pa.array([_hash(h) for h in hosts], pa.int64()), "host": pa.array(hosts, pa.string()),
+            "path": pa.array([m.group(2) if m else u or "" for m, u in zip(split, urls)], pa.string()),
+            "hashes": pa.array([[_hash(t) for t, _ in c] for c in cut], pa.list_(pa.int64())),
+            "kinds": pa.array([[k for _, k in c] for c in cut], pa.list_(pa.int32())), "sizes": pa.array([[len(t) for t, _ in c] for c in cut], pa.list_(pa.int32())),
         })
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(xxhash.xxh64_digest(text.encode("utf-8", "replace")), "little", signed=True)
+
+
 def nearest(pages: DataFrame) -> DataFrame:
     """(key, partner): for each page (key, host, path) the neighbour in path order on its host with the longer common path.
 
@@ -221,31 +230,74 @@ def nearest(pages: DataFrame) -> DataFrame:
     return near.groupBy("key").agg(F.max_by("partner", F.struct("same", "before")).alias("partner"))
 
 
-def unshared(texts: list[str], kinds: list[int], other: list[str]) -> str:
-    """The blocks outside that the partner's blocks do not share, without those that markup sets aside."""
-    shared = common(texts, other)
-    return "\n\n".join(t for i, (t, k) in enumerate(zip(texts, kinds)) if k == OUTSIDE and i not in shared)
+def differ(hashes: list[int], kinds: list[int], sizes: list[int], other: list[int]) -> tuple[list[int], list[int]]:
+    """Places of the main blocks that go because the partner has them, and of those that go if most pages of the host have them.
+
+    Main blocks are those inside the article, or outside of set-aside elements on a page without article. All blocks of
+    both pages are aligned. What markup calls the article is not deleted on one partner's word, as two articles may quote
+    one passage, and not at all if half of its text is shared: then the partner is a copy. A bare page that would lose
+    all its text has a copy for partner as well, and only what most pages have goes.
+    """
+    shared = common(hashes, other)
+    article = INSIDE in kinds
+    main = [i for i, k in enumerate(kinds) if k == (INSIDE if article else OUTSIDE)]
+    found = [i for i in main if i in shared]
+    if not article:
+        return (found, []) if len(found) < len(main) else ([], found)
+    return [], found if 2 * sum(sizes[i] for i in found) < sum(sizes[i] for i in main) else []
+
+
+def widespread(parsed: DataFrame) -> DataFrame:
+    """(site, hash): the blocks that stand, outside of set-aside elements, on more than half of a host's pages, and on ``SITES`` at least."""
+    own = F.expr(f"array_distinct(transform(filter(arrays_zip(hashes, kinds), b -> b.kinds <> {BESIDE}), b -> b.hashes))")
+    counts = parsed.select("site", F.explode(own).alias("hash")).groupBy("site", "hash").agg(F.count("*").alias("n")).where(f"n >= {SITES}")
+    totals = parsed.groupBy("site").agg(F.count("*").alias("pages"))
+    return counts.join(totals, "site").where("2 * n > pages").select("site", "hash")
+
+
+def dropped(parsed: DataFrame) -> DataFrame:
+    """(key, drop): the places of the main blocks that differencing deletes, for every page (``PARSED``, distinct keys) that loses any."""
+    partners = nearest(parsed)
+    others = parsed.select(F.col("key").alias("partner"), F.col("hashes").alias("other"))
+    pairs = partners.join(others, "partner").join(parsed, "key").select("key", "site", "hashes", "kinds", "sizes", "other")
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, sites, *lists in batches(rows, ["key", "site", "hashes", "kinds", "sizes", "other"]):
+            found = [(k, s, h, *differ(h, *rest)) for k, s, h, *rest in zip(keys, sites, *lists)]
+            found = [f for f in found if f[3] or f[4]]
+            if found:
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=["key", "site", "hashes", "drop", "asked"])
+
+    found = written(pairs.mapInArrow(run, "key bigint, site bigint, hashes array<bigint>, drop array<int>, asked array<int>"))
+    asked = found.select("key", "site", F.explode("asked").alias("place"), "hashes").select("key", "site", "place", F.expr("hashes[place]").alias("hash"))
+    answered = asked.join(widespread(parsed), ["site", "hash"], "left_semi").select("key", "place")
+    return found.select("key", F.explode("drop").alias("place")).unionAll(answered).groupBy("key").agg(F.collect_list("place").alias("drop"))
+
+
+def main_text(html: str | None, drop: list[int] | None) -> str:
+    """The blocks inside the article, or on a page without one those outside of set-aside elements, but for the places in ``drop``."""
+    cut, gone = blocks(html), frozenset(drop or ())
+    main = INSIDE if any(k == INSIDE for _, k in cut) else OUTSIDE
+    return "\n\n".join(t for i, (t, k) in enumerate(cut) if k == main and i not in gone)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages`` (page_id, url, html).
 
     Null or empty html gives empty text. Pages without host share one; a host with one page has nothing to compare.
-    Rows with equal ids or URLs are pages of their own. Only the blocks outside articles move: a page with an article
-    keeps just that, whatever its partner has.
+    Rows with equal ids, URLs and html are one page, given as often as they occur; other rows are pages of their own.
+    Every page is aligned with its partner; hashes of blocks move, and html meets the places that go.
     """
     chosen = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
-    parsed = written(chosen.mapInArrow(_parse, PARSED).withColumn("key", F.monotonically_increasing_id()))
-    bare = parsed.where("article is null").select("key", "page_id", "url", "texts", "kinds")
-    partners = nearest(parsed).join(bare.select("key"), "key", "left_semi")
-    lines = parsed.select(F.col("key").alias("partner"), F.col("texts").alias("other"))
-    joined = bare.join(partners.join(lines, "partner").select("key", "other"), "key", "left").select("page_id", "url", "texts", "kinds", "other")
+    chosen = chosen.withColumn("key", F.xxhash64("page_id", F.coalesce("url", F.lit("")), F.lit(1), F.coalesce("html", F.lit(""))))
+    parsed = written(chosen.mapInArrow(_parse, PARSED).dropDuplicates(["key"]))
+    drops = written(dropped(parsed))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, urls, texts, kinds, others in batches(rows, ["page_id", "url", "texts", "kinds", "other"]):
-            found = [unshared(t, k, o or []) for t, k, o in zip(texts, kinds, others)]
-            yield pa.record_batch({"page_id": pa.array(ids, pa.int64()), "url": pa.array(urls, pa.string()), "text": pa.array(found, pa.string())})
+        for ids, urls, html, drop in batches(rows, ["page_id", "url", "html", "drop"]):
+            texts = [main_text(h, d) for h, d in zip(html, drop)]
+            yield pa.record_batch({"page_id": pa.array(ids, pa.int64()), "url": pa.array(urls, pa.string()), "text": pa.array(texts, pa.string())})
 
-    whole = parsed.where("article is not null").select("page_id", "url", F.col("article").alias("text"))
-    found = whole.unionByName(joined.mapInArrow(run, "page_id bigint, url string, text string"))
+    found = chosen.join(drops, "key", "left").select("page_id", "url", "html", "drop").mapInArrow(run, "page_id bigint, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -434,6 +434,35 @@ def test_pages(session):
     assert pages.extract(table.limit(0)).collect() == []
 
 
+def test_articles_are_differenced_with_their_nearest_page(session):
+    page = "<html><body><nav>Menu</nav><article><h1>Story {0}</h1><p>{1} told in some words</p>{2}<div>Read this story on our site, too.</div></article></body></html>"
+    quoted = "<blockquote>Passage that two neighbours quote</blockquote>"
+    made = [(i, f"http://a.example/n/{i}", page.format(i, prose(600 + i, 30), quoted if i in (2, 3) else "")) for i in range(7)]
+    copied = page.format(77, prose(77, 40), "")
+    made += [(20 + i, f"http://b.example/{i}", copied.replace("<div>", f"<p>Edition {i}</p><div>")) for i in range(6)]  # near copies alone on their host
+    bare = "<body><div>Site name</div><p>Story {0}</p><div>All rights reserved</div></body>"
+    made += [(30 + i, f"http://c.example/{i}", bare.format(i)) for i in range(5)] + [(40, "http://c.example/4/print", bare.format(4)), (36, "http://d.example/x", bare.format(6)), (36, "http://d.example/x", bare.format(6))]
+    table = session.createDataFrame(made, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["text"].split("\n\n") for r in pages.extract(table).collect()}
+    for i in range(7):  # the site's line goes, the passage two pages quote stays
+        assert found[i] == [f"Story {i}", f"{prose(600 + i, 30)} told in some words", *(["Passage that two neighbours quote"] if i in (2, 3) else [])]
+    for i in range(6):
+        assert found[20 + i] == ["Story 77", f"{prose(77, 40)} told in some words", f"Edition {i}", "Read this story on our site, too."]
+    assert found[34] == found[40] == ["Story 4"] and found[32] == ["Story 2"]  # a copy for neighbour does not empty a page
+    assert found[36] == ["Site name", "Story 6", "All rights reserved"] and pages.extract(table).count() == len(made)
+
+
+def test_nearest_against_all_pairs_of_a_host(session):
+    rng = np.random.default_rng(3)
+    made = sorted({(f"h{rng.integers(0, 3)}", "/" + "/".join("ab"[i] * int(rng.integers(1, 3)) for i in rng.integers(0, 2, rng.integers(1, 5)))) for _ in range(60)})
+    table = session.createDataFrame([(i, h, p) for i, (h, p) in enumerate(made)], "key bigint, host string, path string")
+    found = {r["key"]: r["partner"] for r in pages.nearest(table).collect()}
+    start = lambda x, y: next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    for i, (host, path) in enumerate(made):
+        rivals = [(start(path, p), -j) for j, (h, p) in enumerate(made) if h == host and j != i]
+        assert (max(rivals)[0] == start(path, made[found[i]][1]) and made[found[i]][0] == host) if rivals else i not in found
+
+
 # -- 8 ----------------------------------------------------------------------------------------------------------------
 
 
