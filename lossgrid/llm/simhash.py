@@ -36,7 +36,11 @@ def simhash(text: str | None, size: int = SHINGLE) -> int:
     if not starts:
         return 0
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts))
+    return voted(np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts)))
+
+
+def voted(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes; none give zero."""
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]

@@ -555,6 +555,23 @@ def test_pipeline_drops_edited_copies(session, limit):
         assert likeness.near_duplicates(table.limit(0)).collect() == []
 
 
+def test_near_dedup_goes_through_the_fingerprint_grid(session, monkeypatch):
+    import corpus_pipeline
+
+    base = prose(4400, 900).split()
+    made = [(0, " ".join(base)), (1, " ".join([*base[:400], "changed", *base[401:]])), (2, prose(4401, 900)), (3, "two words"), (4, None), (5, "")]
+    table = session.createDataFrame(made, "doc_id bigint, text string")
+    monkeypatch.setattr(likeness, "bands", lambda hashes: np.array([xxhash.xxh64_intdigest(hashes.tobytes())], np.uint64).view(np.int64))  # brings none together
+    wanted = {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 4}
+    rows = likeness.marked(table).collect()
+    prints = {r["doc_id"]: r["fp"] for r in rows}
+    assert 0 < bin((prints[0] ^ prints[1]) % 2**64).count("1") <= likeness.RADIUS and prints[4] == 0
+    cells = [set(r["cells"]) for r in rows if r["doc_id"] < 2]
+    assert not cells[0] & cells[1]
+    assert {r["doc_id"]: r["component_id"] for r in likeness.near_duplicates(table).collect()} == wanted
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(session, table, "").collect()) in ([0, 2, 3, 4], [1, 2, 3, 4])
+
+
 def test_components_of_a_chain(session):
     edges = session.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 100), (5, 5)], "a bigint, b bigint")
     found = {r["node"]: r["root"] for r in components(edges).collect()}
