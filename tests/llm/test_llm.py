@@ -253,6 +253,19 @@ def test_lm_counts_and_base(docs, empty):
     assert lm.score(docs.where("doc_id = 403").select("doc_id", "text")).count() == 1
 
 
+def test_words_of_blocks_move_by_numbers_alone(session, docs, monkeypatch):
+    made, moved = [], []
+    monkeypatch.setattr(lm, "written", lambda df, write=lm.written: made.append(write(df)) or made[-1])
+    join = type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda self, other, on=None, how=None: moved.append(self.columns) or join(self, other, on, how))
+    found = lm.score(docs)
+    assert made[0].schema["block"].dataType.simpleString() == "bigint" and ["asked_by", "place", "word"] in moved
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in found.collect():
+        size = sum(len(w.encode()) + 1 for w in split_words(low(texts[r["doc_id"]]))) + 2
+        assert abs(r["bits_per_byte"] + r["score"] * np.log2(10) / size) < 1e-9
+
+
 def test_spellings_are_a_distribution():
     words = [w.encode() for w in "the then than that this those these there".split()]
     n0, n1 = np.zeros((2, len(lm.ORDERS), 1 << lm.TABLE_BITS), np.int32)
