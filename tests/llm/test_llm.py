@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -726,6 +727,69 @@ def test_pieces_equal_whole_texts_whatever_is_remembered(monkeypatch):
         assert encoder.encode(texts) == expected
 
 
+def test_the_library_gets_a_piece_once_whatever_stands_beside_it():
+    """Words under signs and beside all white space: almost nothing of the texts goes to the library, and nothing again."""
+    import public_tokenizers
+
+    encoder = token_ids.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer, given = encoder.tokenizer, []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    rng = np.random.default_rng(4)
+    words, signs, spaces = [f"{a}{b}" for a in ("wor", "été", "Straß", "12") for b in ("da", "ne", "ê", "7")], ["", ",", ".", "!!", "%%%"], [" ", " ", "  ", " \n", "\n\n", "\t "]
+    texts = ["".join(words[rng.integers(16)] + signs[rng.integers(5)] + spaces[rng.integers(6)] for _ in range(200)) for _ in range(300)]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder.tokenizer = Spy()
+    assert encoder.encode(texts) == expected
+    assert 0 < sum(map(len, given)) < sum(map(len, texts)) / 50
+    given.clear()
+    assert encoder.encode(texts[::-1]) == expected[::-1] and not given
+
+
+@pytest.mark.parametrize("memory", [10**6, 50])
+def test_pieces_of_odd_texts(monkeypatch, memory):
+    """Any white space, controls, signs and whole or broken special strings beside each other; long pieces; pools of few bytes."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(token_ids, "PIECES", memory)
+    monkeypatch.setattr(token_ids, "POOL_BYTES", 3000)
+    rng = np.random.default_rng(11)
+    spaces = [*"\t\n\v\f\r\x1c\x1f  \n\x85\xa0\xad\u1680\u180e\u2000\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff\0"]
+    parts = ["a", "word", "é", "×", "'s", "'re", "'", "don't", "12", "5", "٣", "²", "ª", ".", "!!", "—", "“", "…", "中", "😀", "\u0301", "\x7f", "İ", "x" * 150]
+    parts += ["<|endoftext|>", "<|", "|>", "endoftext", "<|endoftext", "<|<|endoftext|>|>", "a<|endoftext|>,"]
+    texts = ["".join((spaces if rng.random() < (0.1, 0.4, 0.8)[i % 3] else parts)[int(rng.integers(25))] for _ in range(rng.integers(25))) for i in range(6000)]
+    texts += ["".join(parts[int(rng.integers(len(parts)))] for _ in range(rng.integers(12))) for _ in range(2000)] + [None, ""]
+    encoder, found = token_ids.PieceEncoder(path), []
+    rows = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts, pa.string())})
+    for ids, some in token_ids._pools(iter([rows.slice(0, 5), rows.slice(5, 0), rows.slice(5)])):
+        flat, ends = encoder.ids(some)
+        found += zip(ids, [x.tolist() for x in np.split(flat, ends)])
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert found == list(enumerate(expected))
+
+
+def test_every_word_holds_as_many_ids_as_fit():
+    rng = np.random.default_rng(12)
+    for _ in range(30):
+        n = int(rng.integers(1, 1500))
+        ids = rng.integers(0, 2**64 - 1, n, dtype=np.uint64, endpoint=True) >> rng.integers(0, 64, n).astype(np.uint64)
+        ids[rng.random(n) < 0.95] = 0
+        at, held = 0, []
+        while at < n:
+            left = min(token_ids.BLOCK - at % token_ids.BLOCK, n - at)
+            s = next((s for s, (count, bits) in enumerate(token_ids.PACKING) if (ids[at : at + min(count, left)] < 1 << bits).all()), token_ids.ESCAPE)
+            held += [s] if s < token_ids.ESCAPE else [s, None]
+            at += min(token_ids.PACKING[s][0], left) if s < token_ids.ESCAPE else 1
+        words, _, raw = token_ids.encode(ids)
+        assert [None if i in set(raw.tolist()) else int(w) >> 60 for i, w in enumerate(words)] == held
+
+
 def shingles(text, size=5):
     tokens = low(text).encode().split()
     return {b" ".join(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))} if tokens else set()
