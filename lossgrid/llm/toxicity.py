@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lossgrid.llm.common import batches, fold, fold_column
+from lossgrid.llm.common import batches, fold, fold_column, written
 
 #: Labelled rows the machine is fitted on, chosen by hash: at most so many of each kind.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
@@ -317,27 +317,43 @@ def text_margins(texts: list[str | None], machine: Machine, known: dict[str, flo
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
-    """Fit on a bounded sample, by hash, of labelled rows outside the held-out fold. Null labels and texts do not count."""
+    """Fit on a bounded sample, by hash, of labelled rows outside the held-out fold. Null labels and texts do not count.
+
+    One task fits, as its arrays would crowd the driver's memory: it gets each word of the clean texts with its count, and the
+    words of each toxic text. The driver gets the machine alone.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).where("_toxic is not null and _id is not null").where(fold_column(F.col("_id"), FOLDS) != HELD_OUT).distinct()
     chosen = []
     for kind, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
         chosen.append(known.where(F.col("_toxic") == kind).orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(rows))
-    sample = chosen[0].unionAll(chosen[1])
+    sample = written(chosen[0].unionAll(chosen[1]))
+    clean_texts = sample.where("_toxic = 0").count()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, kinds, texts in batches(rows, ["_id", "_toxic", "text"]):
+        for kinds, texts in batches(rows, ["_toxic", "text"]):
             words = [sorted(set(units(t))) for t in texts]
-            yield pa.record_batch({"id": pa.array(ids, pa.int64()), "toxic": pa.array(kinds, pa.int32()), "words": pa.array(words, pa.list_(pa.string()))})
-
-    joined = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string")).where("text is not null").join(sample, "_id").select(F.col("_id").cast("bigint"), "_toxic", "text")
-    found = joined.mapInArrow(run, "id bigint, toxic int, words array<string>")
-    clean = found.where("toxic = 0").select("id", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).toArrow()
-    toxic = found.where("toxic = 1").select("words").toArrow()
-    counts = dict(zip(clean.column("word").to_pylist(), clean.column("n").to_pylist()))
-    one = {w: w for w in counts}  # one string for each word
-    texts = [{one.setdefault(w, w) for w in words.as_py()} for words in toxic.column("words")]
-    del clean, toxic, one
-    return fit(texts, counts, sample.where("_toxic = 0").count())
+            yield pa.record_batch({"toxic": pa.array(kinds, pa.int32()), "words": pa.array(words, pa.list_(pa.string()))})
+
+    def learn(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        one: dict[str, str] = {}  # one string for each word
+        texts = []
+        for found, numbers, toxic in batches(rows, ["word", "n", "words"]):
+            counts.update((one.setdefault(w, w), n) for w, n in zip(found, numbers) if w is not None)
+            texts += [{one.setdefault(w, w) for w in own} for own in toxic if own is not None]
+        del one
+        machine = fit(texts, counts, clean_texts)
+        yield pa.record_batch({"weights": pa.array([machine.weights.tobytes()], pa.binary()), **{name: pa.array([float(getattr(machine, name))]) for name in ("bias", "slope", "offset")}})
+
+    joined = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string")).where("text is not null").join(sample, "_id").select("_toxic", "text")
+    found = written(joined.mapInArrow(run, "toxic int, words array<string>"))
+    clean = found.where("toxic = 0").select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    toxic = found.where("toxic = 1").select("words")
+    gathered = clean.unionByName(toxic, allowMissingColumns=True).repartition(1)
+    learned = gathered.mapInArrow(learn, "weights binary, bias double, slope double, offset double").collect()
+    if not learned:  # no partition, no task
+        return fit([], {}, clean_texts)
+    return Machine(np.frombuffer(learned[0]["weights"], np.float32), learned[0]["bias"], learned[0]["slope"], learned[0]["offset"])
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

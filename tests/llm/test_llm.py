@@ -175,6 +175,22 @@ def test_toxicity(session, docs, empty):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _, y in made if not y}
 
 
+def test_toxicity_is_not_fitted_in_the_driver(session, monkeypatch):
+    made = toxic_rows()
+    table = session.createDataFrame([(i, t) for i, t, _ in made], "doc_id bigint, text string")
+    labels = session.createDataFrame([(i, 1, y) for i, _, y in made for _ in range(2)], "doc_id bigint, quality int, toxic int")
+    kept = [(i, set(toxicity.units(t)), y) for i, t, y in made if fold(i, 3) != 1]
+    clean = [words for _, words, y in kept if not y]
+    counts = {w: sum(w in words for words in clean) for words in clean for w in words}
+    wanted = toxicity.fit([words for _, words, y in kept if y], counts, len(clean))
+    calls = []
+    monkeypatch.setattr(toxicity, "fit", lambda *a, f=toxicity.fit: calls.append(a) or f(*a))  # a task has a list of its own
+    machine = toxicity.train(table, labels)
+    assert calls == []
+    assert np.allclose(machine.weights, wanted.weights, atol=1e-4) and machine.weights.any()
+    assert (machine.bias, machine.slope, machine.offset) == pytest.approx((wanted.bias, wanted.slope, wanted.offset), abs=1e-4)
+
+
 def test_toxicity_in_other_scripts():
     rng = np.random.default_rng(6)
     for low_code, high in ((0x3B1, 0x3C9), (0x430, 0x44F), (0x627, 0x64A), (0x4E00, 0x9000)):
