@@ -367,6 +367,62 @@ def test_language_classes_come_from_training_rows(session, monkeypatch):
     assert seen == [["train"]]
 
 
+def test_bits_of_many_and_of_long_words_are_held_in_pieces():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    long = bytes(rng.integers(97, 123, 3 * 16_384 + 5).astype(np.uint8))
+    words = [f"word{i * 7919}".encode() for i in range(20_000)] + [long, b"", long[:16_383], long[:16_384]]
+    rows = [pa.record_batch({"word": pa.array(words[i : i + 1000], pa.binary())}) for i in range(0, len(words), 1000)]
+
+    def peak(run):
+        tracemalloc.start()
+        try:
+            return run(), tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    def counts():
+        table = np.zeros((len(lm.ORDERS) << (lm.TABLE_BITS - lm.RANGE_BITS), 2 << lm.RANGE_BITS), np.int32)
+        for batch in lm._count(iter(rows)):
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                table[part] = np.frombuffer(zlib.decompress(packed), np.int32)
+        return np.moveaxis(table.reshape(len(lm.ORDERS), -1, 2), 2, 0)
+
+    (n0, n1), mb = peak(counts)
+    assert mb < 80  # of which the two tables are 50; 20,000 words at once took 171
+    whole = np.zeros((2, len(lm.ORDERS), 1 << lm.TABLE_BITS), np.int32)
+    slots, bit, place, _ = lm._bits(words)
+    for k in range(len(lm.ORDERS)):
+        np.add.at(whole[0][k], slots[k][bit == 0], 1)
+        np.add.at(whole[1][k], slots[k][bit == 1], 1)
+    assert (n0 == whole[0]).all() and (n1 == whole[1]).all()
+
+    mixer = lm.untuned(n0, n1)
+    found, mb = peak(lambda: mixer.words([long * 4] * 8))
+    assert mb < 40 and len(set(found.tolist())) == 1  # 1.6 million bytes of words
+    found = mixer.words(words)
+    assert np.allclose(found[-4:], [mixer.words([w])[0] for w in words[-4:]], rtol=1e-12)
+    gate = mixer._gate(place, sum(mixer.seen[k][slots[k]].astype(np.int64) for k in range(len(lm.ORDERS))))
+    mixed = sum(mixer.weights[gate, k] * mixer.stretched[k][slots[k]] for k in range(len(lm.ORDERS)))
+    p = (1 / (1 + np.exp(-mixed)) + mixer.adaptive[mixer._bin(mixed, gate)]) / 2
+    assert np.isclose(found.sum(), np.log10(np.where(bit == 1, p, 1 - p)).sum(), rtol=1e-9)
+    assert peak(lambda: lm.tune(n0, n1, [long] * 3, 1))[1] < 120  # of which copies of the tables are most
+
+
+def test_texts_of_a_block_are_scored_a_few_at_a_time(docs, monkeypatch):
+    wanted = {str(r): r for r in lm.score(docs).collect()}
+
+    def few(number, text, work=lm._earlier):
+        if len(number) > 20 and text.max() > 0:
+            raise ValueError(f"{len(number)} words of several texts at once")
+        return work(number, text)
+
+    monkeypatch.setattr(lm, "_earlier", few)
+    monkeypatch.setattr(lm, "PIECE_TOKENS", 20, raising=False)
+    assert {str(r): r for r in lm.score(docs).collect()} == wanted
+
+
 # -- 6 ----------------------------------------------------------------------------------------------------------------
 
 
