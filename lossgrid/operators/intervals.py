@@ -39,7 +39,9 @@ def bucketed(intervals: DataFrame, start: str, end: str) -> DataFrame:
 def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
     """Inner join of points and intervals on equal keys and start <= at <= end.
 
-    Column names other than the keys must differ. The levels that occur, at most 64, are the only thing the driver reads.
+    Column names other than the keys must differ. The levels that occur, at most 64, are the only thing the driver reads. Spark
+    guesses the sizes of both sides from the files below them, a row per level not counted, so both are sorted and merged
+    instead of one being sent through the driver on such a guess.
     """
     kind = points.schema[at].dataType.simpleString()
     if kind != intervals.schema[start].dataType.simpleString() or kind != intervals.schema[end].dataType.simpleString():
@@ -50,4 +52,4 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at:
     looked = points.dropna(subset=[*keys, at]).withColumn("_at", _number(F.col(at), kind))
     looked = looked.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels]) if levels else none))
     looked = looked.withColumn("_bucket", F.expr("shiftright(_at, _level)")).drop("_at")
-    return looked.join(placed, [*keys, "_level", "_bucket"]).where(F.col(at).between(F.col(start), F.col(end))).drop("_level", "_bucket")
+    return looked.hint("merge").join(placed.hint("merge"), [*keys, "_level", "_bucket"]).where(F.col(at).between(F.col(start), F.col(end))).drop("_level", "_bucket")

@@ -92,6 +92,17 @@ def test_rows_per_interval_do_not_grow_with_its_length(daily):
     assert "_level" in plan and "sequence" not in plan
 
 
+def test_interval_join_sends_neither_side_through_the_driver(spark, daily, tmp_path):
+    versions, points = daily
+    for name, df in (("versions", versions), ("points", points)):  # files are small, so their estimates are
+        df.write.parquet(str(tmp_path / name))
+    versions, points = (spark.read.parquet(str(tmp_path / name)) for name in ("versions", "points"))
+    joined = intervals.interval_join(points, versions, ["k"], "day", "low", "high")
+    assert joined.count() > 1000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.fixture(scope="module")
 def members(spark):
     rng = np.random.default_rng(5)
