@@ -10,9 +10,7 @@ group apart; rows that it does not tell apart come in any order, as in a plain w
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrid.functions.columns import same_key
 from lossgrid.session import materialise
@@ -44,31 +42,47 @@ def _beside(rows: DataFrame, small: DataFrame, by: list[str], columns: list[str]
     return rows.join(renamed, match, "left").drop(*[f"_s_{c}" for c in [*by, PART]])
 
 
-def _carried(rows: DataFrame, by: list[str], own: Column, over: Callable[[str, WindowSpec], Column]) -> DataFrame:
-    """What the parts before hand to each part of a group: a row per group and part is windowed, never the rows."""
+def along(df: DataFrame, by: list[str], order: list[str], filled: dict[str, str], summed: dict[str, str], parts: int | None = None) -> DataFrame:
+    """Columns from ``filled`` (name: source), the last non-null value of the group up to and with each row, and from ``summed``, the
+    sum of the non-null values so far, NULL before the first.
+
+    Rows are dealt and written once for all of them and shuffled once more, to the windows of their parts. In a range at most one
+    group goes on from the range before, so what is carried is a row per part at most, whatever the number of groups.
+    """
+    keys = [*[F.col(c).asc_nulls_first() for c in by], *_ordered(order)]
+    cut = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    # the number is 2**33 times the partition's and the place in it, which goes on over all groups of the partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = materialise(cut.sortWithinPartitions(*keys).withColumns({PART: F.spark_partition_id(), PLACE: place}))
+    last = [F.max_by(source, F.when(F.col(source).isNotNull(), F.col(PLACE))).alias(f"_own_{i}") for i, source in enumerate(filled.values())]
+    total = [F.sum(source).alias(f"_sum_{i}") for i, source in enumerate(summed.values())]
     earlier = Window.partitionBy(*by).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.groupBy(*by, PART).agg(own.alias("_own")).select(*by, PART, over("_own", earlier).alias("_carried"))
+    carried = [F.last(f"_own_{i}", ignorenulls=True).over(earlier).alias(f"_last_{i}") for i in range(len(filled))]
+    carried += [F.sum(f"_sum_{i}").over(earlier).alias(f"_total_{i}") for i in range(len(summed))]
+    ends = rows.groupBy(*by, PART).agg(*last, *total)
+    later = ends.select(*by, PART, F.row_number().over(Window.partitionBy(*by).orderBy(PART)).alias("_nth"), *carried).where("_nth > 1").drop("_nth")
+    inside = Window.partitionBy(*by, PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shown = rows.withColumns(
+        {f"_in_last_{i}": F.last(source, ignorenulls=True).over(inside) for i, source in enumerate(filled.values())}
+        | {f"_in_total_{i}": F.sum(source).over(inside) for i, source in enumerate(summed.values())}
+    )
+    names = [*[f"_last_{i}" for i in range(len(filled))], *[f"_total_{i}" for i in range(len(summed))]]
+    joined = _beside(shown, materialise(later), by, names)
+    out = {name: F.coalesce(f"_in_last_{i}", f"_last_{i}") for i, name in enumerate(filled)}
+    for i, name in enumerate(summed):
+        own, before = F.col(f"_in_total_{i}"), F.col(f"_total_{i}")
+        out[name] = F.coalesce(own + before, own, before)
+    return joined.withColumns(out).drop(*names, *[f"_in{c}" for c in names], PART, PLACE)
 
 
 def forward_fill(df: DataFrame, by: list[str], order: list[str], column: str, into: str | None = None, parts: int | None = None) -> DataFrame:
     """The last non-null value of the group up to and with each row."""
-    rows = dealt(df, by, order, parts)
-    last_known = F.max_by(column, F.when(F.col(column).isNotNull(), F.col(PLACE)))
-    carried = _carried(rows, by, last_known, lambda c, w: F.last(c, ignorenulls=True).over(w))
-    inside = Window.partitionBy(*by, PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = rows.withColumn("_inside", F.last(column, ignorenulls=True).over(inside))
-    joined = _beside(filled, carried, by, ["_carried"])
-    return joined.withColumn(into or column, F.coalesce("_inside", "_carried")).drop("_inside", "_carried", PART, PLACE)
+    return along(df, by, order, {into or column: column}, {}, parts)
 
 
 def running_sum(df: DataFrame, by: list[str], order: list[str], column: str, into: str, parts: int | None = None) -> DataFrame:
     """Sum of the non-null values of the group up to and with each row, NULL before the first."""
-    rows = dealt(df, by, order, parts)
-    carried = _carried(rows, by, F.sum(column), lambda c, w: F.sum(c).over(w))
-    inside = Window.partitionBy(*by, PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = _beside(rows.withColumn("_inside", F.sum(column).over(inside)), carried, by, ["_carried"])
-    both = F.coalesce(F.col("_inside") + F.col("_carried"), F.col("_inside"), F.col("_carried"))
-    return joined.withColumn(into, both).drop("_inside", "_carried", PART, PLACE)
+    return along(df, by, order, {}, {into: column}, parts)
 
 
 def rolling(

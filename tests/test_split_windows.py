@@ -1,11 +1,13 @@
 """Split windows, bucketed intervals and stored sketches against their plain forms."""
 
+import time
 from datetime import date, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
+from lossgrid import session
 from lossgrid.operators import intervals, portfolio, split_windows
 
 
@@ -38,6 +40,40 @@ def test_fill_sum_and_mean_equal_plain_windows(rows, parts, order):
         assert sorted_rows(found) == expected
 
 
+def test_fills_and_sums_share_one_written_deal(spark, rows, monkeypatch):
+    written = []
+    monkeypatch.setattr(split_windows, "materialise", lambda df, f=split_windows.materialise: written.append(f(df)) or written[-1])
+    whole = rows.withColumn("x", F.round(F.col("x") * 1000)).withColumn("z", F.when(F.col("t") % 3 == 0, F.concat(F.lit("v"), "t")))
+    found = split_windows.along(whole, ["g"], ["t"], {"fill": "z", "x_fill": "x"}, {"y": "x", "n": "t"}, 40)
+    assert len(written) == 2 and written[0].count() == rows.count()
+    ends = written[1].count()
+    assert 0 < ends < 40 and ends == written[1].select("_part").distinct().count()  # one group at most goes on into a part
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") <= 1
+    so_far = Window.partitionBy("g").orderBy(F.asc_nulls_first("t")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = whole.withColumns({"fill": F.last("z", True).over(so_far), "x_fill": F.last("x", True).over(so_far), "y": F.sum("x").over(so_far), "n": F.sum("t").over(so_far)})
+    assert found.columns == plain.columns and sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_rows_alike_in_their_order_are_filled_in_one_order(spark):
+    df = spark.createDataFrame([("a", i // 20, float(i) if i % 2 else None) for i in range(200)], "g string, t int, x double")
+    found = split_windows.along(df, ["g"], ["t"], {"fill": "x"}, {"so_far": "x"}, 6).collect()
+    # a row's own value, then the one of the row before it; what goes over a cut is the last value of the part before
+    known = sorted((r.so_far, r.x) for r in found if r.x is not None)
+    fills = {r.so_far: r.fill for r in found if r.so_far is not None}
+    assert len(known) == 100 and all(fills[total] == value for total, value in known)
+
+
+def test_writing_leaves_no_shuffle_files(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").count("shuffle_")
+    was, setting = files(), spark.conf.get(session.CLEANUP)
+    written = session.materialise(spark.range(20000).withColumn("x", F.rand(1)).repartition(7, "x"))
+    for _ in range(50):
+        if files() <= was:
+            break
+        time.sleep(0.2)
+    assert files() <= was and written.count() == 20000 and spark.conf.get(session.CLEANUP) == setting
+
+
 def test_one_segment_with_all_rows_spans_tasks(spark):
     df = spark.range(5000).selectExpr("'s' as g", "cast(id as int) as t", "cast(id % 5 as double) as x")
     dealt = split_windows.dealt(df, ["g"], ["t"], 8).groupBy("_part").count().collect()
