@@ -108,6 +108,11 @@ def grouping_sets_total(
     return grouped.agg(code.alias("dims_kept"), *[expr.alias(name) for name, expr in aggregates.items()])
 
 
+def counted_invoices(invoices: DataFrame, before: str) -> DataFrame:
+    """The rows and columns of the invoices of the claims run that ``monthly_invoices`` reads."""
+    return invoices.where(F.col("payment_date") < F.lit(before).cast("date")).select("invoice_id", "claim_id", "treatment_date", "payment_date", "amount_paid", *K.ALL_DIMS)
+
+
 def monthly_invoices(invoices: DataFrame, before: str) -> DataFrame:
     """Paid amount, distinct claims and invoices per month and dimensions, from the first date column present."""
     invoices = rename_first(invoices, INVOICE_NAMES)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -23,7 +24,11 @@ def reserving_export(payload: DataFrame, run_type: str) -> DataFrame:
 
 @dataclass
 class InflationRun:
-    """Builds each table of the run from ``source(name)`` and the tables of the claims run."""
+    """Builds each table of the run from ``source(name)`` and the tables of the claims run.
+
+    ``shares`` are claims runs over parts of the invoices, each invoice with all its copies in one of them: where there are
+    several, the invoices of one after the other are written, and no more than one share of them is shuffled at a time.
+    """
 
     source: Callable[[str], DataFrame]
     claims: ClaimsRun
@@ -31,19 +36,30 @@ class InflationRun:
     cut_off: str
     training_begin: str
     training_end: str
+    shares: list[ClaimsRun] = field(default_factory=list)
 
     def contract_versions(self) -> DataFrame:
         versions = predictions.rename_first(self.source("contract_versions"), portfolio.MEMBER_NAMES)
         return self.claims.contracts(write=True).join(versions, portfolio.VERSION_KEYS)
 
-    def member_months(self) -> DataFrame:
-        return portfolio.monthly_members(self.contract_versions(), self.claims.checked("active_members"), self.as_of, self.cut_off)
+    def member_months(self, write: bool = False) -> DataFrame:
+        """With ``write``, the active members are written first: their shuffles are gone before those of the versions."""
+        active = self.claims.checked("active_members")
+        return portfolio.monthly_members(self.contract_versions(), materialise(active) if write else active, self.as_of, self.cut_off)
+
+    def census_cube(self, write: bool = False) -> DataFrame:
+        return portfolio.census_cube(self.member_months(write))
 
-    def census_cube(self) -> DataFrame:
-        return portfolio.census_cube(self.member_months())
+    def invoices(self) -> DataFrame:
+        if len(self.shares) < 2:
+            return self.claims.invoices()
+        contracts = self.claims.contracts(write=True)
+        for run in self.shares:
+            run.once("contracts", lambda: contracts)
+        return reduce(DataFrame.unionAll, [materialise(portfolio.counted_invoices(run.invoices(), self.cut_off)) for run in self.shares])
 
     def invoice_months(self) -> DataFrame:
-        return portfolio.monthly_invoices(self.claims.invoices(), self.cut_off)
+        return portfolio.monthly_invoices(self.invoices(), self.cut_off)
 
     def coefficients(self) -> DataFrame:
         export = materialise(reserving_export(self.source("reserving_payload"), "ibnr_inflation"))

@@ -14,8 +14,12 @@ from lossgrid.workload.steps import (
 )
 
 
-def claims_run(spark: SparkSession, sf_dir: str) -> ClaimsRun:
-    return ClaimsRun(lambda name: staging.stage(spark, sf_dir, name), AS_OF, EARLIEST, first_preauth_year=1995)
+def claims_run(spark: SparkSession, sf_dir: str, share: tuple[int, int] | None = None) -> ClaimsRun:
+    """The run over all invoices, or over those of one (number, of how many) share of the orders."""
+    def source(name: str) -> DataFrame:
+        return staging.stage_share(spark, sf_dir, name, *share) if share else staging.stage(spark, sf_dir, name)
+
+    return ClaimsRun(source, AS_OF, EARLIEST, first_preauth_year=1995)
 
 
 def gold(spark: SparkSession, sf_dir: str, years: int = 5) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrid.operators import portfolio, predictions, quality
 from lossgrid.plans.inflation import InflationRun
+from lossgrid.session import materialise
 from lossgrid.sources import catalog, staging
 from lossgrid.workload.claims import claims_run
 from lossgrid.workload.query import Query
@@ -108,7 +109,16 @@ def inflation_run(spark: SparkSession, sf_dir: str) -> InflationRun:
     def source(name: str) -> DataFrame:
         return staging.stage(spark, sf_dir, name)
 
-    return InflationRun(source, claims_run(spark, sf_dir), AS_OF, CUT_OFF, TRAINING_BEGIN, "2001-07-01")
+    shares = staging.invoice_shares(spark, sf_dir)
+    runs = [claims_run(spark, sf_dir, (k, shares)) for k in range(shares)] if shares > 1 else []
+    return InflationRun(source, claims_run(spark, sf_dir), AS_OF, CUT_OFF, TRAINING_BEGIN, "2001-07-01", runs)
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cube, facts and clusters are written one after the other, so the shuffles of one are gone before those of the next."""
+    run = inflation_run(spark, sf_dir)
+    clusters = materialise(portfolio.cluster_dims(run.source("clusters")))
+    return portfolio.cluster_members(materialise(run.census_cube(write=True)), run.facts(), clusters, ["MajorICDGroupingDescription"])
 
 
 def _inflated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,9 +230,7 @@ QUERIES = {
     ),
     "pf9_cluster_series": Query(lambda s, d: inflation_run(s, d).series(), SERIES_COLUMNS, "SELECT * FROM st_series"),
     "ag9_cluster_members": Query(
-        lambda s, d: portfolio.cluster_members(
-            inflation_run(s, d).census_cube(), inflation_run(s, d).facts(), portfolio.cluster_dims(staging.stage(s, d, "clusters")), ["MajorICDGroupingDescription"]
-        ),
+        _members,
         "cluster_id:s year_month_date:t nb_member:i",
         "SELECT * FROM st_cluster_members",
     ),

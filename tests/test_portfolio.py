@@ -1,10 +1,13 @@
-from datetime import date
+from datetime import date, datetime, timedelta
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lossgrid.operators import portfolio
+from lossgrid.sources import staging
+from lossgrid.workload.portfolio import QUERIES, inflation_run
 
 M1, M2 = date(2020, 1, 1), date(2020, 2, 1)
 
@@ -122,3 +125,37 @@ def test_grouping_sets_top_row_is_the_total(spark, members):
     totals = portfolio.grouping_sets_total(members, [], ["PolicySubType", "UKMemberRegion"], {"n": F.count("*")})
     assert totals.where("dims_kept = 0").first()["n"] == members.count()
     assert totals.where("dims_kept = 3").agg(F.sum("n")).first()[0] == members.count()
+
+
+def test_invoices_in_shares_give_the_same_portfolio(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(8)
+    day = lambda i: datetime(1996, 1, 1) + timedelta(int(i))
+    pick = lambda values: values[int(rng.integers(len(values)))]
+    orders = [(i if i % 41 else None, int(rng.integers(60)) if i % 37 else None, "F", float(i), day(rng.integers(1800)), pick(["1-URGENT", "5-LOW", "4-NOT SPECIFIED"])) for i in range(400)]
+    lines = []
+    for _ in range(2500):  # few numbers, so many lines have copies that differ, some of them with another state or part
+        number, key = int(rng.integers(1, 8)), int(rng.integers(400))
+        lines.append((key if rng.random() < 0.97 else None, int(rng.integers(80)), int(rng.integers(20)), number if rng.random() < 0.97 else None, float(rng.integers(50)), float(rng.integers(100, 999)), 0.1, 0.0, pick("ANR"), pick("FO"), day(1800 + rng.integers(300))))
+    lines += lines[::9]
+    tables = {
+        "customer": ([(i, f"c{i}", i % 5, 1.0, "M") for i in range(60)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "nation": ([(i, f"n{i}", i % 2) for i in range(5)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "EAST"), (1, "WEST")], "r_regionkey int, r_name string"),
+        "part": ([(i, "p", "b", pick(["LARGE", "SMALL", None]), 1, 1.0) for i in range(80)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "orders": (orders + orders[::50], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found, written = [], []
+    for size in (1, 1 << 40):
+        monkeypatch.setattr(staging, "SHARE_BYTES", size)
+        run = inflation_run(spark, str(tmp_path))
+        assert len(run.shares) == (staging.SHARES if size == 1 else 0)
+        months = run.invoice_months().collect()
+        members = QUERIES["ag9_cluster_members"].run(spark, str(tmp_path)).collect()
+        found.append([sorted(repr(r.asDict() | ({"amount_paid": round(r.amount_paid, 6)} if "amount_paid" in r else {})) for r in rows) for rows in (months, members)])
+        if size == 1:
+            written = [share.invoices().count() for share in run.shares]
+    assert found[0] == found[1] and all(found[0]) and len(found[0][0]) > 100
+    assert sum(written) == inflation_run(spark, str(tmp_path)).claims.invoices().count() and max(written) < 0.5 * sum(written)
